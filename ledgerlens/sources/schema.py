@@ -34,7 +34,7 @@ COIN_HEX_DIGITS = 7
 COIN_SCALE = float(16 ** COIN_HEX_DIGITS)
 
 TXN_SCHEMA = T.StructType([
-    T.StructField("txn_id", T.LongType(), False),
+    T.StructField("txn_id", T.LongType(), True),
     T.StructField("name_orig", T.LongType(), True),
     T.StructField("name_dest", T.LongType(), True),
     T.StructField("type", T.StringType(), True),
@@ -53,7 +53,7 @@ TXN_CSV_SCHEMA = T.StructType(
 
 # One scoring request (the dashboard form, widened to the fitted features).
 REQUEST_SCHEMA = T.StructType([
-    T.StructField("txn_id", T.LongType(), False),
+    T.StructField("txn_id", T.LongType(), True),
     T.StructField("type", T.StringType(), True),
     T.StructField("amount", T.DoubleType(), True),
     T.StructField("oldbalanceOrg", T.DoubleType(), True),
