@@ -101,7 +101,10 @@ def auc_exact(pred: DataFrame, score: Column | None = None, label: str = LABEL,
     )
     inside = Window.partitionBy("rid").orderBy(F.col("s").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cum = (pts.join(F.broadcast(offsets), "rid")
+    # every range has an offsets row, so a left join equals the inner join;
+    # unlike it, it infers no extra filter on the points side, which lets the
+    # points exchange be reused by the totals branch instead of recomputed
+    cum = (pts.join(F.broadcast(offsets), "rid", "left")
               .select("pos", "neg",
                       (F.col("op") + F.sum("pos").over(inside)).alias("tp"),
                       (F.col("on") + F.sum("neg").over(inside)).alias("fp")))
