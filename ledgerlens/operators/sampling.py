@@ -111,7 +111,7 @@ def split_except_strict(df: DataFrame, id_col: str = "txn_id", label: str = LABE
     It shuffles on every column; use only when that semantics is required.
     """
     train = df.filter(train_mask(id_col, label, fractions, seed))
-    return train, df.subtract(train)
+    return train, except_distinct(df, train)
 
 
 def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -120,4 +120,8 @@ def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.subtract(b)
+    """EXCEPT DISTINCT (null-safe, by position) with both sides de-duplicated
+    first: the distinct's partial aggregation collapses copies of a row inside
+    each task, so a row repeated across a third of the data never reaches the
+    anti join's shuffle as one hot key."""
+    return a.distinct().subtract(b.distinct())
