@@ -1,5 +1,9 @@
 """Derived frames and fitted models shared by the plans of one session.
 
+``balanced`` is hash-partitioned on ``txn_id`` into one partition per core
+(``defaultParallelism``; fewer for small frames) so model fits use the whole
+cluster.
+
 ``balanced`` is checkpointed (reliable checkpoint in the shared
 ``spark.checkpoint.dir``): model fits iterate over its descendants many
 times, and a lost executor must not send them back through the scan and
@@ -22,6 +26,8 @@ from ..session import shared_dir
 from ..sources.schema import DEFAULT_SEED
 from ..sources.tables import txn_frame
 
+ROWS_PER_PARTITION = 16384
+
 
 class Workbench:
     def __init__(self, spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
@@ -30,12 +36,24 @@ class Workbench:
         shared_dir(spark)
         self.txn = txn_frame(spark, sf_dir)
         balanced = sampling.balance(self.txn, seed=seed)
-        self.balanced = balanced.checkpoint(eager=True) if checkpoint else balanced
-        self.train, self.test = sampling.split_train_test(self.balanced, seed=seed)
+        if checkpoint:
+            balanced = balanced.checkpoint(eager=True)
+        # Iterative fits parallelise over the partitions of this frame; a
+        # filtered scan leaves either very few (one file -> one partition) or
+        # very many nearly empty ones.  Hash-partition on the unique id (no hot
+        # key, deterministic on recompute) into one partition per core, fewer
+        # when the frame is small (per-task overhead dominates tiny tasks).
         self._memo: dict = {}
         self._persisted: list[DataFrame] = []
+        self.balanced = self.persist(balanced.repartition(self.partitions(balanced), "txn_id"))
+        self.train, self.test = sampling.split_train_test(self.balanced, seed=seed)
         self._lock = threading.RLock()
 
+    def partitions(self, balanced: DataFrame) -> int:
+        cores = max(1, int(self.spark.sparkContext.defaultParallelism))
+        rows = balanced.count()          # reads the checkpoint, not the input
+        return max(1, min(cores, -(-rows // ROWS_PER_PARTITION)))
+
     def memo(self, key, build: Callable):
         with self._lock:
             if key not in self._memo:
