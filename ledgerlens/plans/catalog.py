@@ -779,6 +779,38 @@ def model_anomaly(spark, sf_dir):
                        F.col("prediction").cast("int").alias("prediction"), "fraud_cluster")
 
 
+@query("model_anomaly_test_mapped", None, "R")
+def model_anomaly_test_mapped(spark, sf_dir):
+    """The original mapping: clusters mapped to classes with the test labels."""
+    wb = _wb(spark, sf_dir)
+    pred = anomaly.anomaly_predictions(_anomaly_full(wb), wb.test_features(), wb.test_features())
+    return pred.select("txn_id", LABEL, F.round("rawPrediction", 6).alias("rawPrediction"),
+                       F.col("prediction").cast("int").alias("prediction"), "fraud_cluster")
+
+
+@query("model_linear_wide_weighted", None, "R")
+def model_linear_wide_weighted(spark, sf_dir):
+    """Wide features (balance deltas, unseen-type slot, NaN-keeping assembly),
+    scaled, class-weighted binomial LR (maxIter 50, no regularisation)."""
+    from .training import fit_predict
+
+    return _prediction_rows(fit_predict(_wb(spark, sf_dir), "LinearWeighted"))
+
+
+@query("results_json_roundtrip", O.with_base(_rules_long_sql() + ",\n" + _MW2_SQL + ",\n" + _UNPIVOT_SQL
+                                             + """,\nbest AS (SELECT model AS best_model FROM long
+  WHERE metric = 'F1' AND value IS NOT NULL ORDER BY value DESC, position ASC LIMIT 1)""",
+                                             "SELECT best_model, model, metric, value FROM long, best"))
+def results_json_roundtrip(spark, sf_dir):
+    """Rule-scorer metrics written in the nested results shape
+    ``{best_model, all_metrics}`` and read back as (model, metric, value)."""
+    long = _rules_long(spark, sf_dir)
+    path = files.scratch_dir(spark, "results")
+    files.write_results_json(long.drop("position"), ev.select_best(ev.metrics_wide(long)), path)
+    back = files.read_results_json(spark, path)
+    return files.nested_metrics_to_long(back, keep=("best_model",))
+
+
 def leaderboard_predictions(wb) -> list[tuple[str, DataFrame]]:
     test = wb.test_features()
     return [

@@ -9,14 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import anomaly, evaluation as ev, models
+from pyspark.ml import Pipeline
+
+from ..operators import anomaly, evaluation as ev, features as feat, models
 from ..sources import files
 from .workbench import Workbench, workbench
 
 ALL_MODELS = ("LogisticRegression", "RandomForest", "AnomalyDetector", "XGBoost")
 
 
-def fit_predict(wb: Workbench, name: str) -> DataFrame:
+def linear_weighted_pipeline() -> Pipeline:
+    """The saved linear pipelines' shape: 8 numbers (with balance deltas) +
+    one-hot type with an unseen slot, scaled, class-weighted binomial LR."""
+    return models.full_pipeline(feat.feature_stages(wide=True), models.weighted_logistic_regression())
+
+
+def fit_predict(wb: Workbench, name: str, map_on: str = "train") -> DataFrame:
     train, test = wb.train_features(), wb.test_features()
     if name == "LogisticRegression":
         m = wb.fitted("lr", lambda: models.logistic_regression().fit(train))
@@ -26,7 +34,11 @@ def fit_predict(wb: Workbench, name: str) -> DataFrame:
         m = wb.fitted("gbt", lambda: models.boosted_trees(seed=wb.seed).fit(train))
     elif name == "AnomalyDetector":
         m = wb.fitted("anomaly", lambda: anomaly.fit_anomaly(train, seed=wb.seed))
-        return anomaly.anomaly_predictions(m, test, train)
+        return anomaly.anomaly_predictions(m, test, test if map_on == "test" else train)
+    elif name == "LinearWeighted":
+        m = wb.fitted("linear_weighted", lambda: linear_weighted_pipeline().fit(
+            feat.with_class_weights(feat.with_balance_deltas(wb.train))))
+        return m.transform(feat.with_balance_deltas(wb.test))
     else:
         raise ValueError(f"unknown model {name}")
     return m.transform(test)
@@ -52,7 +64,9 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, names=
     if best_name and best_name != "AnomalyDetector":
         key = {"LogisticRegression": "lr", "RandomForest": "rf", "XGBoost": "gbt"}[best_name]
         models.save_model(models.combine(wb.feature_model(), wb.fitted(key, lambda: None)), f"{out}/best_model")
-    files.write_metrics_json(ev.to_long(wide.drop("position")), f"{out}/metrics")
+    long = ev.to_long(wide.drop("position"))
+    files.write_metrics_json(long, f"{out}/metrics")
+    files.write_results_json(long, ev.select_best(wide), f"{out}/results")
     rows = wide.orderBy("position").collect()    # one row per model
     wide.unpersist()
     return {"best_model": best_name, "out_dir": out,

@@ -73,9 +73,27 @@ NESTED_METRICS_SCHEMA = T.StructType([
 ])
 
 
-def nested_metrics_to_long(nested: DataFrame) -> DataFrame:
+def results_frame(metrics_long: DataFrame, best: DataFrame) -> DataFrame:
+    """One row ``{best_model, all_metrics: {model: {metric: value}}}`` built
+    by aggregation (bounded by models x metrics), the published results shape."""
+    per_model = metrics_long.groupBy("model").agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("m"))
+    maps = per_model.agg(F.map_from_entries(F.collect_list(F.struct("model", "m"))).alias("all_metrics"))
+    best_name = best.select("best_model").scalar()
+    return maps.select(best_name.alias("best_model"), "all_metrics")
+
+
+def write_results_json(metrics_long: DataFrame, best: DataFrame, path: str) -> None:
+    results_frame(metrics_long, best).coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_results_json(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(NESTED_METRICS_SCHEMA).option("multiLine", True).json(path)
+
+
+def nested_metrics_to_long(nested: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``{best_model, all_metrics: {model: {metric: value}}}`` -> (model, metric, value)."""
-    per_model = nested.select(F.inline(F.map_entries("all_metrics")))  # key, value
+    per_model = nested.select(*keep, F.inline(F.map_entries("all_metrics")))  # key, value
     return per_model.select(
-        F.col("key").alias("model"), F.inline(F.map_entries("value"))
-    ).select("model", F.col("key").alias("metric"), F.col("value").alias("value"))
+        *keep, F.col("key").alias("model"), F.inline(F.map_entries("value"))
+    ).select(*keep, "model", F.col("key").alias("metric"), F.col("value").alias("value"))

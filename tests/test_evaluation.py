@@ -92,3 +92,15 @@ def test_auc_points_window_is_partitioned_by_range(spark):
     # cumulative counts over points run per score range, never in one task
     assert re.search(r"Window \[.*\], \[rid#\d+\], \[s#\d+ DESC", plan)
     assert F is not None
+
+
+def test_rule_metrics_do_not_depend_on_partitioning(spark, wb):
+    from ledgerlens.plans import catalog
+
+    results = []
+    for n in (1, 4, 8):
+        test = wb.test.repartition(n)
+        pred = catalog._rule_scored(test)
+        long = ev.metrics_long([("AmountRule", pred)], score=F.col("score"))
+        results.append(sorted((r.metric, r.value) for r in long.collect()))
+    assert results[0] == results[1] == results[2]

@@ -89,3 +89,24 @@ def test_gbt_engine_defaults_to_spark_gbt():
     assert isinstance(models.boosted_trees(), GBTClassifier)
     m = models.boosted_trees()
     assert (m.getMaxIter(), m.getMaxDepth(), m.getStepSize()) == (50, 6, 0.1)
+
+
+def test_wide_weighted_linear_beats_constant(wb):
+    from ledgerlens.plans.training import fit_predict
+
+    pred = fit_predict(wb, "LinearWeighted")
+    assert ev.auc_exact(pred).first().roc_auc > 0.9
+
+
+def test_run_job_writes_best_model_and_results(spark, wb):
+    from ledgerlens.plans.training import run_job
+
+    out = run_job(spark, wb.sf_dir, names=("LogisticRegression", "RandomForest"))
+    assert out["best_model"] in ("LogisticRegression", "RandomForest")
+    f1 = {k: v["F1"] for k, v in out["all_metrics"].items()}
+    assert f1[out["best_model"]] == max(f1.values())
+    back = files.read_results_json(spark, out["out_dir"] + "/results").first()
+    assert back.best_model == out["best_model"]
+    assert set(back.all_metrics) == {"LogisticRegression", "RandomForest"}
+    reloaded = models.load_model(out["out_dir"] + "/best_model")
+    assert scoring.score_batch(reloaded, wb.test).count() == wb.test.count()
