@@ -19,9 +19,16 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.scoring import scored_columns
 
 
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+
+
 def scored_stream(spark: SparkSession, model: PipelineModel, source_dir: str,
                   schema: T.StructType, keep: Sequence[str] = ("txn_id",),
-                  digits: int | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                  digits: int | None = None,
+                  max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Bounded micro-batches: a backlog is drained in batches of at most
+    ``max_files_per_trigger`` files, each committed to the checkpoint, so a
+    failure replays one batch, not the whole backlog."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
