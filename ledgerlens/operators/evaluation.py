@@ -57,8 +57,14 @@ def prf(conf: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 # --------------------------------------------------------------------- E3, E4
+MAX_BUCKETS = 1024
+
+
 def _default_buckets(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    """One score range per shuffle partition, at most ``MAX_BUCKETS``: the
+    range lookup scans the boundary array (O(B) per distinct score), and
+    1024 ranges already keep each window task to ~1e6 points per 1e9."""
+    return max(1, min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
 
 
 def score_points(pred: DataFrame, score: Column | None = None, label: str = LABEL) -> DataFrame:

@@ -824,8 +824,10 @@ def leaderboard_predictions(wb) -> list[tuple[str, DataFrame]]:
 @query("leaderboard", None, "R")
 def leaderboard(spark, sf_dir):
     """All four models, metrics side by side (model x metric), best first."""
+    from .training import scored_for_metrics
+
     wb = _wb(spark, sf_dir)
-    long = ev.metrics_long(leaderboard_predictions(wb))
+    long = ev.metrics_long([(n, scored_for_metrics(wb, p)) for n, p in leaderboard_predictions(wb)])
     return ev.metrics_wide(long.withColumn("value", F.round("value", METRIC_DIGITS)))
 
 

@@ -44,10 +44,23 @@ def fit_predict(wb: Workbench, name: str, map_on: str = "train") -> DataFrame:
     return m.transform(test)
 
 
+def scored_for_metrics(wb: Workbench, pred: DataFrame) -> DataFrame:
+    """The three columns the metrics read, persisted: confusion counts and the
+    two AUC passes then reuse one model inference instead of three."""
+    from pyspark.sql import functions as F
+
+    from ..functions.exprs import score_of
+    from ..sources.schema import LABEL
+
+    narrow = pred.select(F.col(LABEL), F.col("prediction").cast("double").alias("prediction"),
+                         score_of(pred.schema).alias("rawPrediction"))
+    return wb.persist(narrow)
+
+
 def evaluate(spark: SparkSession, sf_dir: str, names=ALL_MODELS, seed: int = 42) -> DataFrame:
     """Wide metrics table (model, position, six metrics) for ``names``."""
     wb = workbench(spark, sf_dir, seed)
-    long = ev.metrics_long([(n, fit_predict(wb, n)) for n in names])
+    long = ev.metrics_long([(n, scored_for_metrics(wb, fit_predict(wb, n))) for n in names])
     return ev.metrics_wide(long)
 
 
@@ -77,4 +90,5 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, names=
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """load -> balance -> split -> features + LR -> score -> fused metrics."""
     wb = workbench(spark, sf_dir)
-    return ev.metrics_wide(ev.metrics_long([("LogisticRegression", fit_predict(wb, "LogisticRegression"))]))
+    pred = scored_for_metrics(wb, fit_predict(wb, "LogisticRegression"))
+    return ev.metrics_wide(ev.metrics_long([("LogisticRegression", pred)]))
