@@ -94,6 +94,19 @@ def src_csv_scan(spark, sf_dir):
     return files.read_txn_csv(spark, path).select(*[f.name for f in TXN_CSV_SCHEMA.fields])
 
 
+@query("src_labelled_csv", O.with_base(None, "SELECT type, amount, oldbalanceOrg, newbalanceOrig, oldbalanceDest, "
+                                       "newbalanceDest, isFraud FROM txn"))
+def src_labelled_csv(spark, sf_dir):
+    """A labelled CSV without ids, schema inferred (the reference's read):
+    label cast, content key added, required columns checked."""
+    path = files.scratch_dir(spark, "labelled-csv")
+    cols = ["type"] + NUMERIC_FEATURES
+    (_wb(spark, sf_dir).txn.select(*cols, F.col(LABEL).cast("int").alias(LABEL))
+        .write.option("header", True).csv(path))
+    df = files.read_labelled_csv(spark, path)
+    return df.select(*cols, LABEL)
+
+
 @query("src_request_rows", O.with_base(None, "SELECT " + ", ".join(f.name for f in REQUEST_SCHEMA.fields)
                                        + " FROM test"))
 def src_request_rows(spark, sf_dir):

@@ -30,11 +30,14 @@ ROWS_PER_PARTITION = 16384
 
 
 class Workbench:
-    def __init__(self, spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
-                 checkpoint: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str | None, seed: int = DEFAULT_SEED,
+                 checkpoint: bool = True, txn: DataFrame | None = None):
+        """Either ``sf_dir`` (the driver's tables, through the ``txn``
+        fixture) or ``txn`` (any labelled transaction frame with a unique or
+        content key ``txn_id``)."""
         self.spark, self.sf_dir, self.seed = spark, sf_dir, seed
         shared_dir(spark)
-        self.txn = txn_frame(spark, sf_dir)
+        self.txn = txn if txn is not None else txn_frame(spark, sf_dir)
         balanced = sampling.balance(self.txn, seed=seed)
         if checkpoint:
             balanced = balanced.checkpoint(eager=True)
@@ -98,6 +101,13 @@ def workbench(spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED) -> Wor
         return wb
 
 
+def register_workbench(spark: SparkSession, source: str, wb: Workbench, seed: int = DEFAULT_SEED) -> Workbench:
+    """Make ``wb`` (e.g. built over a CSV input) the workbench for ``source``."""
+    with _BENCH_LOCK:
+        _BENCHES[(spark.sparkContext.applicationId, source.rstrip("/"), seed)] = wb
+    return wb
+
+
 def reset_workbenches() -> None:
     with _BENCH_LOCK:
         for wb in _BENCHES.values():

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schema import LABEL, METRICS_SCHEMA, REQUEST_SCHEMA, TXN_CSV_SCHEMA
+from .schema import LABEL, METRICS_SCHEMA, NUMERIC_FEATURES, REQUEST_SCHEMA, TXN_CSV_SCHEMA, TYPE
 
 
 class InputNotFound(FileNotFoundError):
@@ -47,6 +47,41 @@ def read_txn_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFra
     return df.withColumn(LABEL, F.col(LABEL).try_cast("double"))
 
 
+REQUIRED_COLUMNS = [TYPE] + NUMERIC_FEATURES + [LABEL]
+
+
+def with_row_key(df: DataFrame, key: str = "txn_id") -> DataFrame:
+    """Add a content key when the input has no unique id: ``xxhash64`` over
+    every column.  Deterministic and independent of partitioning; exact
+    duplicate rows share a key (and therefore the same coin), which agrees
+    with EXCEPT DISTINCT semantics."""
+    if key in df.columns:
+        return df
+    return df.withColumn(key, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+
+
+def read_labelled_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Any labelled transaction CSV with a header (the reference's input):
+    schema inferred (one extra pass, as in the reference) unless declared;
+    label ``try_cast`` to double, required columns checked, key added,
+    numeric features cast to double; other columns pass through."""
+    reader = spark.read.option("header", True)
+    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+    try:
+        df = reader.csv(path)
+    except AnalysisException as err:
+        if _missing(err):
+            raise InputNotFound(f"input not found: {path}") from err
+        raise
+    missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"input lacks required columns {missing}")
+    df = df.withColumn(LABEL, F.col(LABEL).cast("string").try_cast("double"))
+    for c in NUMERIC_FEATURES:
+        df = df.withColumn(c, F.col(c).cast("double"))
+    return with_row_key(df)
+
+
 def request_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """Scoring requests as a typed DataFrame (the dashboard form's rows)."""
     return spark.createDataFrame(rows, schema=REQUEST_SCHEMA)
