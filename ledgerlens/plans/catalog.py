@@ -84,14 +84,16 @@ def _rule_scored_sql(rule=RULES[0], src: str = "test") -> str:
 
 
 # =========================================================== sources / sinks
-@query("src_csv_scan", O.with_base(None, "SELECT * FROM txn"))
+@query("src_csv_scan", O.with_base(None, "SELECT * REPLACE (CAST(name_dest AS VARCHAR) AS name_dest) FROM txn"))
 def src_csv_scan(spark, sf_dir):
     """Write the transactions as CSV to the shared folder, read them back with
     the declared schema (no inference job) and ``try_cast`` the label."""
     path = files.scratch_dir(spark, "csv")
     txn = _wb(spark, sf_dir).txn
     txn.withColumn(LABEL, F.col(LABEL).cast("int").cast("string")).write.option("header", True).csv(path)
-    return files.read_txn_csv(spark, path).select(*[f.name for f in TXN_CSV_SCHEMA.fields])
+    back = files.read_txn_csv(spark, path).select(*[f.name for f in TXN_CSV_SCHEMA.fields])
+    # the nullable destination id is returned as text (lossless, same in any engine)
+    return back.withColumn("name_dest", F.col("name_dest").cast("string"))
 
 
 @query("src_labelled_csv", O.with_base(None, "SELECT type, amount, oldbalanceOrg, newbalanceOrig, oldbalanceDest, "
@@ -204,10 +206,11 @@ def filter_class(spark, sf_dir):
 _ORD_CASE = "CASE type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in TYPE_ORDINALS.items()) + " END"
 
 
-@query("proj_ordinal_encode", O.with_base(None, f"SELECT txn_id, type, CAST({_ORD_CASE} AS INTEGER) AS type_code "
+@query("proj_ordinal_encode", O.with_base(None, f"SELECT txn_id, type, CAST({_ORD_CASE} AS DOUBLE) AS type_code "
                                           "FROM txn"))
 def proj_ordinal_encode(spark, sf_dir):
-    return _wb(spark, sf_dir).txn.select("txn_id", "type", ordinal_encode("type").alias("type_code"))
+    """Fixed dictionary code as a feature value (double; unknown -> NULL)."""
+    return _wb(spark, sf_dir).txn.select("txn_id", "type", ordinal_encode("type").cast("double").alias("type_code"))
 
 
 _TYPE_RATE_CTE = "rate AS (SELECT type, round(avg(isFraud), 4) AS p FROM train GROUP BY type)"
@@ -296,10 +299,14 @@ def split_train_test(spark, sf_dir):
               .unionByName(te.select("txn_id", LABEL, F.lit("test").alias("side"))))
 
 
-@query("split_except_strict", O.with_base(None, "SELECT * FROM balanced EXCEPT SELECT * FROM train"))
+@query("split_except_strict", O.with_base(None, """SELECT * REPLACE (CAST(name_dest AS VARCHAR) AS name_dest)
+FROM (SELECT * FROM balanced EXCEPT SELECT * FROM train)"""))
 def split_except_strict(spark, sf_dir):
+    """EXCEPT DISTINCT over whole rows; the nullable destination id is
+    returned as text (lossless)."""
     wb = _wb(spark, sf_dir)
-    return sampling.split_except_strict(wb.balanced, seed=wb.seed)[1]
+    test = sampling.split_except_strict(wb.balanced, seed=wb.seed)[1]
+    return test.withColumn("name_dest", F.col("name_dest").cast("string"))
 
 
 @query("set_union_all", O.with_base(None, """SELECT txn_id, isFraud FROM txn, frac
