@@ -837,7 +837,7 @@ def leaderboard_predictions(wb) -> list[tuple[str, DataFrame]]:
         ("LogisticRegression", _lr_full(wb).transform(test)),
         ("RandomForest", _rf_full(wb).transform(test)),
         ("AnomalyDetector", anomaly.anomaly_predictions(_anomaly_full(wb), test, wb.train_features())),
-        ("XGBoost", _gbt_full(wb).transform(test)),
+        (models.boosted_name(), _gbt_full(wb).transform(test)),
     ]
 
 

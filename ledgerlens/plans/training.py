@@ -15,7 +15,8 @@ from ..operators import anomaly, evaluation as ev, features as feat, models
 from ..sources import files
 from .workbench import Workbench, workbench
 
-ALL_MODELS = ("LogisticRegression", "RandomForest", "AnomalyDetector", "XGBoost")
+BOOSTED = models.boosted_name()
+ALL_MODELS = ("LogisticRegression", "RandomForest", "AnomalyDetector", BOOSTED)
 
 
 def linear_weighted_pipeline() -> Pipeline:
@@ -30,7 +31,7 @@ def fit_predict(wb: Workbench, name: str, map_on: str = "train") -> DataFrame:
         m = wb.fitted("lr", lambda: models.logistic_regression().fit(train))
     elif name == "RandomForest":
         m = wb.fitted("rf", lambda: models.random_forest(seed=wb.seed).fit(train))
-    elif name == "XGBoost":
+    elif name in ("XGBoost", "GradientBoostedTrees"):
         m = wb.fitted("gbt", lambda: models.boosted_trees(seed=wb.seed).fit(train))
     elif name == "AnomalyDetector":
         m = wb.fitted("anomaly", lambda: anomaly.fit_anomaly(train, seed=wb.seed))
@@ -74,9 +75,13 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, names=
     best = ev.select_best(wide).first()
     out = out_dir or files.scratch_dir(spark, "job")
     best_name = best["best_model"] if best else None
-    if best_name and best_name != "AnomalyDetector":
-        key = {"LogisticRegression": "lr", "RandomForest": "rf", "XGBoost": "gbt"}[best_name]
-        models.save_model(models.combine(wb.feature_model(), wb.fitted(key, lambda: None)), f"{out}/best_model")
+    if best_name:
+        key = {"LogisticRegression": "lr", "RandomForest": "rf", "XGBoost": "gbt", "AnomalyDetector": "anomaly",
+               "GradientBoostedTrees": "gbt", "LinearWeighted": "linear_weighted"}[best_name]
+        fitted = wb.fitted(key, lambda: None)
+        # the wide linear model is already a features+model pipeline
+        artifact = fitted if key == "linear_weighted" else models.combine(wb.feature_model(), fitted)
+        models.save_model(artifact, f"{out}/best_model")
     long = ev.to_long(wide.drop("position"))
     files.write_metrics_json(long, f"{out}/metrics")
     files.write_results_json(long, ev.select_best(wide), f"{out}/results")
