@@ -84,6 +84,16 @@ def linear_contributions(coefs: Mapping[str, float | Column], centre: Mapping[st
     return out
 
 
+def model_contributions(features_col: str, coefficients: Sequence[float],
+                        names: Sequence[str]) -> dict[str, Column]:
+    """coef_j * x_j over the model's own (scaled) feature vector; the
+    coefficients are model state (one number per feature)."""
+    from pyspark.ml.functions import vector_to_array
+
+    x = vector_to_array(F.col(features_col))
+    return {n: F.lit(float(w)) * x[j] for j, (n, w) in enumerate(zip(names, coefficients))}
+
+
 def next_action(p: Column | str) -> Column:
     pc = F.col(p) if isinstance(p, str) else p
     expr = F.lit(NO_ACTION)

@@ -935,6 +935,23 @@ def explain_top3_reasons(spark, sf_dir):
     return reasons.select("txn_id", *[F.try_element_at("r", F.lit(k)).alias(f"reason_{k}") for k in (1, 2, 3)])
 
 
+@query("explain_top3_reasons_lr", None, "R")
+def explain_top3_reasons_lr(spark, sf_dir):
+    """Reason codes from the fitted logistic regression: the three largest
+    positive ``coef_j * x_j`` over its scaled features, for every test row
+    the model flags."""
+    wb = _wb(spark, sf_dir)
+    lr = _lr_full(wb)
+    labels = wb.feature_model().stages[0].labels
+    names = NUMERIC_FEATURES + [f"type={t}" for t in labels[:-1]]      # one-hot drops the last label
+    contrib = explain.model_contributions("features", lr.coefficients.toArray().tolist(), names)
+    flagged = lr.transform(wb.test_features()).filter(F.col("prediction") == 1.0)
+    bound = flagged.select("txn_id", *[v.alias(f"c{i}") for i, v in enumerate(contrib.values())])
+    reasons = bound.select("txn_id", explain.top_reasons(
+        {n: F.col(f"c{i}") for i, n in enumerate(contrib)}, 3).alias("r"))
+    return reasons.select("txn_id", *[F.try_element_at("r", F.lit(k)).alias(f"reason_{k}") for k in (1, 2, 3)])
+
+
 @query("explain_next_action", O.with_base(_TYPE_RATE_CTE, """SELECT test.txn_id, rate.p AS probability,
   CASE WHEN rate.p >= 0.9 THEN 'hold transaction' WHEN rate.p >= 0.7 THEN 'ask customer'
        WHEN rate.p > 0.5 THEN 'investigate account' ELSE 'no action' END AS next_action

@@ -110,3 +110,21 @@ def test_run_job_writes_best_model_and_results(spark, wb):
     assert set(back.all_metrics) == {"LogisticRegression", "RandomForest"}
     reloaded = models.load_model(out["out_dir"] + "/best_model")
     assert scoring.score_batch(reloaded, wb.test).count() == wb.test.count()
+
+
+def test_top_reasons_positive_only_ties_by_name(spark):
+    from ledgerlens.operators import explain
+
+    df = spark.createDataFrame([(3.0, 1.0, 3.0, -2.0, 0.5)], "a double, b double, c double, d double, e double")
+    r = df.select(explain.top_reasons({k: F.col(k) for k in "abcde"}, 3).alias("r")).first().r
+    assert r == ["a", "c", "b"]
+    none = df.select(explain.top_reasons({"d": F.col("d")}, 3).alias("r")).first().r
+    assert none == []
+
+
+def test_next_action_bands(spark):
+    from ledgerlens.operators import explain
+
+    df = spark.createDataFrame([(0.95,), (0.7,), (0.51,), (0.5,), (None,)], "p double")
+    got = [r.a for r in df.select(explain.next_action("p").alias("a")).collect()]
+    assert got == ["hold transaction", "ask customer", "investigate account", "no action", "no action"]
