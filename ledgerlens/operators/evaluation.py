@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import guarded_ratio, score_of
 from ..sources.schema import LABEL, METRIC_NAMES
+from .joins import join_small
 
 
 # --------------------------------------------------------------------- E1, E2
@@ -110,7 +111,7 @@ def auc_exact(pred: DataFrame, score: Column | None = None, label: str = LABEL,
     # every range has an offsets row, so a left join equals the inner join;
     # unlike it, it infers no extra filter on the points side, which lets the
     # points exchange be reused by the totals branch instead of recomputed
-    cum = (pts.join(F.broadcast(offsets), "rid", "left")
+    cum = (join_small(pts, offsets, "rid", "left", small_rows=b)
               .select("pos", "neg",
                       (F.col("op") + F.sum("pos").over(inside)).alias("tp"),
                       (F.col("on") + F.sum("neg").over(inside)).alias("fp")))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schema import LABEL, NUMERIC_FEATURES, TYPE, WEIGHT_COL, WIDE_EXTRA_FEATURES
+from .joins import join_small
 
 BALANCE_TOLERANCE = 0.01
 
@@ -52,8 +53,7 @@ def class_weight_table(df: DataFrame, label: str = LABEL) -> DataFrame:
 def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Attach the balanced class weight.  The weight table has a proven bound
     of two rows, so it is broadcast; the large side is never shuffled."""
-    w = class_weight_table(df, label)
-    return df.join(F.broadcast(w), on=label, how="left")
+    return join_small(df, class_weight_table(df, label), label, "left", small_rows=2)
 
 
 def feature_stages(wide: bool = False, keep_invalid: bool = False, scale: bool = True,

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.coin import coin_salt, hash_coin
 from ..functions.exprs import fixed4, label_text, ordinal_encode, over_threshold
 from ..operators import anomaly, evaluation as ev, explain, features as feat, models, sampling, scoring
+from ..operators.joins import join_small
 from ..sources import files
 from ..sources.schema import (
     LABEL, METRIC_NAMES, NUMERIC_FEATURES, REQUEST_SCHEMA, TXN_CSV_SCHEMA, TYPE_ORDINALS, WEIGHT_COL,
@@ -118,7 +119,7 @@ def src_request_rows(spark, sf_dir):
 
 def _rules_long(spark, sf_dir) -> DataFrame:
     test = _wb(spark, sf_dir).test
-    preds = [(name, _rule_scored(test, r)) for r in RULES for name in [r[0]]]
+    preds = [(rule[0], _rule_scored(test, rule)) for rule in RULES]
     long = ev.metrics_long(preds, score=F.col("score"))
     return long.withColumn("value", F.round("value", METRIC_DIGITS))
 
@@ -218,18 +219,24 @@ _TYPE_RATE_CTE = "rate AS (SELECT type, round(avg(isFraud), 4) AS p FROM train G
 
 def _type_rate(train: DataFrame) -> DataFrame:
     """Empirical fraud probability per type on the training side (the closed
-    form of the saturated one-hot model).  Joined without a hint: the
-    optimizer broadcasts it by its statistics or sort-merges beyond them."""
+    form of the saturated one-hot model)."""
     return train.groupBy("type").agg(F.round(F.avg(LABEL), 4).alias("p"))
 
 
+def _with_type_rate(wb) -> DataFrame:
+    """Test rows with their type's rate.  The rate table has one row per type
+    (plus NULL); the fitted indexer's label list bounds that count, so the
+    broadcast is checked -- beyond the bound the optimizer picks the join."""
+    n_types = len(wb.feature_model().stages[0].labels) + 1
+    return join_small(wb.test, _type_rate(wb.train), "type", small_rows=n_types)
+
+
 @query("proj_threshold", O.with_base(_TYPE_RATE_CTE,
                                      "SELECT test.txn_id, rate.p AS probability, "
                                      "CAST(rate.p > 0.5 AS INTEGER) AS prediction "
                                      "FROM test JOIN rate ON test.type = rate.type"))
 def proj_threshold(spark, sf_dir):
-    wb = _wb(spark, sf_dir)
-    scored = wb.test.join(_type_rate(wb.train), "type")
+    scored = _with_type_rate(_wb(spark, sf_dir))
     return scored.select("txn_id", F.col("p").alias("probability"), over_threshold("p").alias("prediction"))
 
 
@@ -238,8 +245,7 @@ def proj_threshold(spark, sf_dir):
                                       "AS label_text, printf('%.4f', rate.p) AS probability_text "
                                       "FROM test JOIN rate ON test.type = rate.type"))
 def proj_label_text(spark, sf_dir):
-    wb = _wb(spark, sf_dir)
-    scored = wb.test.join(_type_rate(wb.train), "type")
+    scored = _with_type_rate(_wb(spark, sf_dir))
     return scored.select("txn_id", label_text(over_threshold("p")).alias("label_text"),
                          fixed4("p").alias("probability_text"))
 
