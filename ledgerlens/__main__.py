@@ -4,7 +4,8 @@
     python -m ledgerlens --tables /root/testdata/sf0.1
 
 ``--input`` takes a labelled transaction CSV with a header (schema inferred,
-or ``--declared`` for the fixture's column layout) or parquet; ``--tables``
+optionally from a sample, or declared with ``--layout payments|fixture``) or
+parquet; ``--tables``
 takes a folder of the driver's tables.  Output (best features+model pipeline,
 metrics JSON in flat and nested form) goes to ``--out`` or to a folder in the
 shared ``spark.checkpoint.dir``.
@@ -25,7 +26,10 @@ def main(argv=None) -> int:
     ap.add_argument("--seed", type=int, default=42)
     ap.add_argument("--out", default=None)
     ap.add_argument("--models", default="LogisticRegression,RandomForest,AnomalyDetector,XGBoost")
-    ap.add_argument("--declared", action="store_true", help="CSV in the fixture's declared layout")
+    ap.add_argument("--layout", choices=["infer", "payments", "fixture"], default="infer",
+                    help="CSV schema: inferred, the payments-log layout, or the fixture layout")
+    ap.add_argument("--schema-sample", type=float, default=1.0,
+                    help="fraction of the CSV read to infer its schema (layout=infer)")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
@@ -33,7 +37,7 @@ def main(argv=None) -> int:
     from .plans.workbench import register_workbench, Workbench
     from .session import build_session
     from .sources import files
-    from .sources.schema import TXN_CSV_SCHEMA
+    from .sources.schema import PAYMENTS_CSV_SCHEMA, TXN_CSV_SCHEMA
 
     spark = build_session(args.master)
     names = tuple(n for n in args.models.split(",") if n)
@@ -43,7 +47,8 @@ def main(argv=None) -> int:
         if args.input.endswith(".parquet"):
             df = files.with_row_key(files.read_parquet_checked(spark, args.input))
         else:
-            df = files.read_labelled_csv(spark, args.input, TXN_CSV_SCHEMA if args.declared else None)
+            schema = {"infer": None, "payments": PAYMENTS_CSV_SCHEMA, "fixture": TXN_CSV_SCHEMA}[args.layout]
+            df = files.read_labelled_csv(spark, args.input, schema, args.schema_sample)
         source = f"input:{args.input}"
         register_workbench(spark, source, Workbench(spark, None, args.seed, txn=df), args.seed)
     out = run_job(spark, source, args.out, names, args.seed)

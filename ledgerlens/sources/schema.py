@@ -52,6 +52,22 @@ TXN_CSV_SCHEMA = T.StructType(
     [f if f.name != LABEL else T.StructField(LABEL, T.StringType(), True) for f in TXN_SCHEMA.fields]
 )
 
+# Payments-log layout of the reference's input CSV (declared: no inference
+# pass over the file).  Fixed values: column names and order of that log.
+PAYMENTS_CSV_SCHEMA = T.StructType([
+    T.StructField("step", T.IntegerType(), True),
+    T.StructField("type", T.StringType(), True),
+    T.StructField("amount", T.DoubleType(), True),
+    T.StructField("nameOrig", T.StringType(), True),
+    T.StructField("oldbalanceOrg", T.DoubleType(), True),
+    T.StructField("newbalanceOrig", T.DoubleType(), True),
+    T.StructField("nameDest", T.StringType(), True),
+    T.StructField("oldbalanceDest", T.DoubleType(), True),
+    T.StructField("newbalanceDest", T.DoubleType(), True),
+    T.StructField("isFraud", T.StringType(), True),
+    T.StructField("isFlaggedFraud", T.IntegerType(), True),
+])
+
 # One scoring request (the dashboard form, widened to the fitted features).
 REQUEST_SCHEMA = T.StructType([
     T.StructField("txn_id", T.LongType(), True),

@@ -48,3 +48,15 @@ def test_missing_required_column_is_reported(spark, tmp_path):
     p.write_text("type,amount\nPAYMENT,1.0\n")
     with pytest.raises(ValueError, match="required"):
         files.read_labelled_csv(spark, str(p))
+
+
+def test_payments_layout_reads_without_inference(spark, tmp_path):
+    from ledgerlens.sources.schema import PAYMENTS_CSV_SCHEMA
+
+    p = str(tmp_path / "tx")
+    _write_csv(spark, p)
+    df = files.read_labelled_csv(spark, p, PAYMENTS_CSV_SCHEMA)
+    assert df.filter("isFraud = 1.0").count() == 89
+    assert dict(df.dtypes)["nameDest"] == "string"
+    sampled = files.read_labelled_csv(spark, p, sampling_ratio=0.5)
+    assert sampled.count() == 1500
