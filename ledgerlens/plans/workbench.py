@@ -4,10 +4,10 @@
 (``defaultParallelism``; fewer for small frames) so model fits use the whole
 cluster.
 
-``balanced`` is checkpointed (reliable checkpoint in the shared
-``spark.checkpoint.dir``): model fits iterate over its descendants many
-times, and a lost executor must not send them back through the scan and
-the four-table join.  The hash coin makes any recomputation identical anyway.
+``balanced`` is written as a parquet table in the shared
+``spark.checkpoint.dir`` and read back: model fits iterate over its
+descendants many times, and a lost executor must not send them back through
+the scan and the four-table join.  The hash coin makes any recomputation identical anyway.
 Feature frames are persisted MEMORY_AND_DISK and released by ``close()``.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import features as feat
 from ..operators import sampling
 from ..session import shared_dir
+from ..sources import files
 from ..sources.schema import DEFAULT_SEED
 from ..sources.tables import txn_frame
 
@@ -40,7 +41,12 @@ class Workbench:
         self.txn = txn if txn is not None else txn_frame(spark, sf_dir)
         balanced = sampling.balance(self.txn, seed=seed)
         if checkpoint:
-            balanced = balanced.checkpoint(eager=True)
+            # lineage cut: a parquet table in the shared folder (columnar,
+            # compressed, column-pruned re-reads, real statistics for the
+            # optimizer) -- a lost executor never sends fits back to the input
+            path = files.scratch_dir(spark, "balanced")
+            balanced.write.parquet(path)
+            balanced = spark.read.parquet(path)
         # Iterative fits parallelise over the partitions of this frame; a
         # filtered scan leaves either very few (one file -> one partition) or
         # very many nearly empty ones.  Hash-partition on the unique id (no hot
@@ -54,7 +60,7 @@ class Workbench:
 
     def partitions(self, balanced: DataFrame) -> int:
         cores = max(1, int(self.spark.sparkContext.defaultParallelism))
-        rows = balanced.count()          # reads the checkpoint, not the input
+        rows = balanced.count()          # reads the written table, not the input
         return max(1, min(cores, -(-rows // ROWS_PER_PARTITION)))
 
     def memo(self, key, build: Callable):
