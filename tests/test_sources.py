@@ -51,7 +51,7 @@ def test_request_frame_schema(spark):
 def test_metrics_json_roundtrip_nested(spark, tmp_path):
     import json
 
-    p = tmp_path / "results.json"
+    p = tmp_path / "metrics_nested.json"
     p.write_text(json.dumps({"best_model": "m", "all_metrics": {"A": {"F1": 0.5, "ROC-AUC": None},
                                                                 "B": {"F1": 0.7}}}))
     nested = spark.read.schema(files.NESTED_METRICS_SCHEMA).option("multiLine", True).json(str(p))
