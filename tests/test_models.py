@@ -128,3 +128,20 @@ def test_next_action_bands(spark):
     df = spark.createDataFrame([(0.95,), (0.7,), (0.51,), (0.5,), (None,)], "p double")
     got = [r.a for r in df.select(explain.next_action("p").alias("a")).collect()]
     assert got == ["hold transaction", "ask customer", "investigate account", "no action", "no action"]
+
+
+def test_stream_drains_backlog_in_bounded_batches(spark, wb):
+    model = catalog._saturated_lr(wb)
+    base = files.scratch_dir(spark, "test-stream-batches")
+    src, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ck"
+    cols = ["txn_id", "type", "amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
+    wb.test.select(*cols).repartition(4).write.parquet(src)          # four files
+    schema = spark.read.parquet(src).schema
+    stream = scoring_stream.scored_stream(spark, model, src, schema, digits=4, max_files_per_trigger=1)
+    q = scoring_stream.drain_to_sink(stream, sink, ckpt)
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 4
+    out = spark.read.parquet(sink)
+    batch = scoring.score_batch(model, wb.test.select(*cols), digits=4)
+    assert out.count() == batch.count()
+    assert out.exceptAll(batch.select(*out.columns)).count() == 0
