@@ -7,16 +7,21 @@ load -> balance (hash coin) -> split (complementary filters) -> fit features
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.ml import Pipeline
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.exprs import score_of
 from ..operators import anomaly, evaluation as ev, features as feat, models
 from ..sources import files
+from ..sources.schema import LABEL
 from .workbench import Workbench, workbench
 
 BOOSTED = models.boosted_name()
 ALL_MODELS = ("LogisticRegression", "RandomForest", "AnomalyDetector", BOOSTED)
+# leaderboard name -> workbench key of the fitted model
+MODEL_KEYS = {"LogisticRegression": "lr", "RandomForest": "rf", "XGBoost": "gbt", "GradientBoostedTrees": "gbt",
+              "AnomalyDetector": "anomaly", "LinearWeighted": "linear_weighted"}
 
 
 def linear_weighted_pipeline() -> Pipeline:
@@ -26,6 +31,8 @@ def linear_weighted_pipeline() -> Pipeline:
 
 
 def fit_predict(wb: Workbench, name: str, map_on: str = "train") -> DataFrame:
+    """Fit (once per workbench) and score the test side.  ``map_on="test"``
+    maps anomaly clusters with test labels, as the original job did."""
     train, test = wb.train_features(), wb.test_features()
     if name == "LogisticRegression":
         m = wb.fitted("lr", lambda: models.logistic_regression().fit(train))
@@ -48,11 +55,6 @@ def fit_predict(wb: Workbench, name: str, map_on: str = "train") -> DataFrame:
 def scored_for_metrics(wb: Workbench, pred: DataFrame) -> DataFrame:
     """The three columns the metrics read, persisted: confusion counts and the
     two AUC passes then reuse one model inference instead of three."""
-    from pyspark.sql import functions as F
-
-    from ..functions.exprs import score_of
-    from ..sources.schema import LABEL
-
     narrow = pred.select(F.col(LABEL), F.col("prediction").cast("double").alias("prediction"),
                          score_of(pred.schema).alias("rawPrediction"))
     return wb.persist(narrow)
@@ -76,8 +78,7 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, names=
     out = out_dir or files.scratch_dir(spark, "job")
     best_name = best["best_model"] if best else None
     if best_name:
-        key = {"LogisticRegression": "lr", "RandomForest": "rf", "XGBoost": "gbt", "AnomalyDetector": "anomaly",
-               "GradientBoostedTrees": "gbt", "LinearWeighted": "linear_weighted"}[best_name]
+        key = MODEL_KEYS[best_name]
         fitted = wb.fitted(key, lambda: None)
         # the wide linear model is already a features+model pipeline
         artifact = fitted if key == "linear_weighted" else models.combine(wb.feature_model(), fitted)
