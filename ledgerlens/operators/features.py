@@ -100,12 +100,15 @@ def string_index_model(pipeline: PipelineModel):
     return pipeline.stages[0]
 
 
-def normalise_pca_signs(components: list[list[float]]) -> list[list[float]]:
-    """Flip each principal component so its largest-magnitude loading is
-    positive (component signs are arbitrary)."""
-    out = []
+def pca_sign_flips(components: list[list[float]]) -> list[float]:
+    """+1/-1 per principal component so that its largest-magnitude loading
+    becomes positive (component signs are arbitrary)."""
+    flips = []
     for comp in components:
         j = max(range(len(comp)), key=lambda i: abs(comp[i]))
-        s = -1.0 if comp[j] < 0 else 1.0
-        out.append([s * v for v in comp])
-    return out
+        flips.append(-1.0 if comp[j] < 0 else 1.0)
+    return flips
+
+
+def normalise_pca_signs(components: list[list[float]]) -> list[list[float]]:
+    return [[f * v for v in comp] for f, comp in zip(pca_sign_flips(components), components)]

@@ -590,9 +590,15 @@ def feat_pca_2d(spark, sf_dir):
 
 @query("feat_pca_k5", None, "R")
 def feat_pca_k5(spark, sf_dir):
+    """PCA(k=5) projections of the test features, each component's sign fixed
+    so that its largest-magnitude loading is positive."""
     wb = _wb(spark, sf_dir)
     model = wb.fitted("pca5", lambda: feat.pca_stage(5).fit(wb.train_features()))
-    return feat.vector_columns(model.transform(wb.test_features()), "pcaFeatures", 5, prefix="pc")
+    pc = model.pc.toArray()                                  # d x k model state
+    raw = [[float(pc[r, k]) for r in range(pc.shape[0])] for k in range(pc.shape[1])]
+    flips = feat.pca_sign_flips(raw)
+    out = feat.vector_columns(model.transform(wb.test_features()), "pcaFeatures", 5, prefix="pc")
+    return out.select("txn_id", *[(F.col(f"pc{k}") * F.lit(flips[k])).alias(f"pc{k}") for k in range(5)])
 
 
 # ============================================================= evaluation
