@@ -76,3 +76,15 @@ def test_balance_deltas(spark):
 
 def test_pca_sign_normalisation():
     assert feat.normalise_pca_signs([[0.2, -0.9], [0.5, 0.1]]) == [[-0.2, 0.9], [0.5, 0.1]]
+
+
+def test_pca_transform_projects_without_centring(wb):
+    import numpy as np
+
+    model = feat.pca_stage(5).fit(wb.train_features())
+    pc = model.pc.toArray()
+    row = model.transform(wb.test_features()).select(
+        vector_to_array("features").alias("x"), vector_to_array("pcaFeatures").alias("p")).first()
+    assert np.allclose(np.array(row.x) @ pc, np.array(row.p), atol=1e-9)
+    ev = model.explainedVariance.toArray()
+    assert np.all(np.diff(ev) <= 1e-12) and ev.sum() <= 1.0 + 1e-9
