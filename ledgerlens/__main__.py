@@ -2,6 +2,7 @@
 
     python -m ledgerlens --input transactions.csv [--seed 42] [--out DIR]
     python -m ledgerlens --tables /root/testdata/sf0.1
+    python -m ledgerlens --input new.csv --score-with /shared/run1/best_model --out /shared/scored
 
 ``--input`` takes a labelled transaction CSV with a header (schema inferred,
 optionally from a sample, or declared with ``--layout payments|fixture``) or
@@ -18,6 +19,26 @@ import json
 import sys
 
 
+def score_only(spark, args) -> int:
+    """Score new transactions (the dashboard's prediction, for whole files):
+    txn_id, probability, prediction, label_text, probability_text as parquet."""
+    from .operators import models, scoring
+    from .sources import files
+    from .sources.schema import PAYMENTS_CSV_SCHEMA, TXN_CSV_SCHEMA
+
+    if not args.input:
+        raise SystemExit("--score-with needs --input")
+    if args.input.endswith(".parquet"):
+        df = files.with_row_key(files.read_parquet_checked(spark, args.input))
+    else:
+        schema = {"infer": None, "payments": PAYMENTS_CSV_SCHEMA, "fixture": TXN_CSV_SCHEMA}[args.layout]
+        df = files.read_labelled_csv(spark, args.input, schema, args.schema_sample, require_label=False)
+    out = args.out or files.scratch_dir(spark, "scored")
+    scoring.score_batch(models.load_model(args.score_with), df).write.mode("overwrite").parquet(out)
+    print(json.dumps({"scored": out}))
+    return 0
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="ledgerlens")
     src = ap.add_mutually_exclusive_group(required=True)
@@ -30,6 +51,8 @@ def main(argv=None) -> int:
                     help="CSV schema: inferred, the payments-log layout, or the fixture layout")
     ap.add_argument("--schema-sample", type=float, default=1.0,
                     help="fraction of the CSV read to infer its schema (layout=infer)")
+    ap.add_argument("--score-with", default=None,
+                    help="saved features+model pipeline: score --input instead of training")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
@@ -40,6 +63,8 @@ def main(argv=None) -> int:
     from .sources.schema import PAYMENTS_CSV_SCHEMA, TXN_CSV_SCHEMA
 
     spark = build_session(args.master)
+    if args.score_with:
+        return score_only(spark, args)
     names = tuple(n for n in args.models.split(",") if n)
     if args.tables:
         source = args.tables

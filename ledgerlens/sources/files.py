@@ -61,7 +61,7 @@ def with_row_key(df: DataFrame, key: str = "txn_id") -> DataFrame:
 
 
 def read_labelled_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                      sampling_ratio: float = 1.0) -> DataFrame:
+                      sampling_ratio: float = 1.0, require_label: bool = True) -> DataFrame:
     """Any labelled transaction CSV with a header (the reference's input).
 
     With a declared ``schema`` there is no inference job.  Otherwise the
@@ -81,10 +81,12 @@ def read_labelled_csv(spark: SparkSession, path: str, schema: T.StructType | Non
         if _missing(err):
             raise InputNotFound(f"input not found: {path}") from err
         raise
-    missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]
+    required = REQUIRED_COLUMNS if require_label else [c for c in REQUIRED_COLUMNS if c != LABEL]
+    missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"input lacks required columns {missing}")
-    df = df.withColumn(LABEL, F.col(LABEL).cast("string").try_cast("double"))
+    if LABEL in df.columns:
+        df = df.withColumn(LABEL, F.col(LABEL).cast("string").try_cast("double"))
     for c in NUMERIC_FEATURES:
         df = df.withColumn(c, F.col(c).cast("double"))
     return with_row_key(df)

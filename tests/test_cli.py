@@ -39,6 +39,12 @@ def test_cli_runs_the_job_on_a_csv(spark, tmp_path, capsys):
     assert set(out["all_metrics"]) == {"LogisticRegression", "RandomForest"}
     back = files.read_results_json(spark, str(tmp_path / "out" / "results")).first()
     assert back.best_model == out["best_model"]
+    # score the same file with the saved best pipeline (the dashboard's job)
+    assert main(["--input", p, "--score-with", str(tmp_path / "out" / "best_model"),
+                 "--out", str(tmp_path / "scored")]) == 0
+    scored = spark.read.parquet(str(tmp_path / "scored"))
+    assert scored.count() == 1500
+    assert set(scored.columns) >= {"txn_id", "probability", "prediction", "label_text"}
 
 
 def test_missing_required_column_is_reported(spark, tmp_path):
