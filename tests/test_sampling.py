@@ -96,3 +96,24 @@ def test_balance_plan_has_no_shuffle_beyond_fixture(wb):
     # the scalar subquery (class counts) carries its own copy of the fixture
     assert main_plan.count("Exchange") <= 2 * n_base + 1
     assert F is not None
+
+
+def test_hash_coin_is_uniform(spark):
+    from ledgerlens.functions.coin import hash_coin
+
+    u = spark.range(0, 200000).select(hash_coin("bal42", F.col("id")).alias("u"))
+    r = u.agg(F.avg("u").alias("m"), F.min("u").alias("lo"), F.max("u").alias("hi"),
+              *[F.count_if(F.col("u") < q).alias(f"q{int(q * 10)}") for q in (0.1, 0.5, 0.9)]).first()
+    assert abs(r.m - 0.5) < 0.005 and r.lo >= 0.0 and r.hi < 1.0
+    for q, got in ((0.1, r.q1), (0.5, r.q5), (0.9, r.q9)):
+        assert abs(got / 200000 - q) < 0.005
+
+
+def test_other_seed_gives_other_valid_split(wb):
+    tr42, _ = sampling.split_train_test(wb.balanced, seed=42)
+    tr7, te7 = sampling.split_train_test(wb.balanced, seed=7)
+    a = {r.txn_id for r in tr42.select("txn_id").collect()}
+    b = {r.txn_id for r in tr7.select("txn_id").collect()}
+    c = {r.txn_id for r in te7.select("txn_id").collect()}
+    assert a != b and not (b & c) and len(b | c) == 4158
+    assert abs(len(b) / 4158 - 0.8) < 0.03
