@@ -8,8 +8,6 @@ aggregation for trees).  Features and model are always saved together as one
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -89,12 +87,3 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-# Registry of supervised models run by the leaderboard: (name, factory(seed)).
-# The cluster-based detector is added by the leaderboard plan (anomaly.py).
-MODEL_REGISTRY: list[tuple[str, Callable[[int], object]]] = [
-    ("LogisticRegression", lambda seed: logistic_regression()),
-    ("RandomForest", lambda seed: random_forest(seed=seed)),
-    (boosted_name(), lambda seed: boosted_trees(seed=seed)),
-]

@@ -30,6 +30,7 @@ from ..sources.schema import (
 )
 from ..streaming import scoring_stream
 from . import oracle as O
+from .training import fit_predict, fitted_model, scored_for_metrics
 from .workbench import workbench
 
 
@@ -764,19 +765,19 @@ def model_kmeans_1d(spark, sf_dir):
 
 # ================================================================ full models
 def _lr_full(wb):
-    return wb.fitted("lr", lambda: models.logistic_regression().fit(wb.train_features()))
+    return fitted_model(wb, "LogisticRegression")
 
 
 def _rf_full(wb):
-    return wb.fitted("rf", lambda: models.random_forest(seed=wb.seed).fit(wb.train_features()))
+    return fitted_model(wb, "RandomForest")
 
 
 def _gbt_full(wb):
-    return wb.fitted("gbt", lambda: models.boosted_trees(seed=wb.seed).fit(wb.train_features()))
+    return fitted_model(wb, models.boosted_name())
 
 
 def _anomaly_full(wb):
-    return wb.fitted("anomaly", lambda: anomaly.fit_anomaly(wb.train_features(), seed=wb.seed))
+    return fitted_model(wb, "AnomalyDetector")
 
 
 def _prediction_rows(pred: DataFrame) -> DataFrame:
@@ -824,8 +825,6 @@ def model_anomaly_test_mapped(spark, sf_dir):
 def model_linear_wide_weighted(spark, sf_dir):
     """Wide features (balance deltas, unseen-type slot, NaN-keeping assembly),
     scaled, class-weighted binomial LR (maxIter 50, no regularisation)."""
-    from .training import fit_predict
-
     return _prediction_rows(fit_predict(_wb(spark, sf_dir), "LinearWeighted"))
 
 
@@ -856,8 +855,6 @@ def leaderboard_predictions(wb) -> list[tuple[str, DataFrame]]:
 @query("leaderboard", None, "R")
 def leaderboard(spark, sf_dir):
     """All four models, metrics side by side (model x metric), best first."""
-    from .training import scored_for_metrics
-
     wb = _wb(spark, sf_dir)
     long = ev.metrics_long([(n, scored_for_metrics(wb, p)) for n, p in leaderboard_predictions(wb)])
     return ev.metrics_wide(long.withColumn("value", F.round("value", METRIC_DIGITS)))

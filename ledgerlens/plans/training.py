@@ -19,9 +19,6 @@ from .workbench import Workbench, workbench
 
 BOOSTED = models.boosted_name()
 ALL_MODELS = ("LogisticRegression", "RandomForest", "AnomalyDetector", BOOSTED)
-# leaderboard name -> workbench key of the fitted model
-MODEL_KEYS = {"LogisticRegression": "lr", "RandomForest": "rf", "XGBoost": "gbt", "GradientBoostedTrees": "gbt",
-              "AnomalyDetector": "anomaly", "LinearWeighted": "linear_weighted"}
 
 
 def linear_weighted_pipeline() -> Pipeline:
@@ -30,26 +27,37 @@ def linear_weighted_pipeline() -> Pipeline:
     return models.full_pipeline(feat.feature_stages(wide=True), models.weighted_logistic_regression())
 
 
+# Model registry: leaderboard name -> (workbench key, fit(workbench)).  The
+# supervised models fit on the shared scaled features; the wide linear model
+# carries its own feature stages; the anomaly detector is scored separately.
+REGISTRY = {
+    "LogisticRegression": ("lr", lambda wb: models.logistic_regression().fit(wb.train_features())),
+    "RandomForest": ("rf", lambda wb: models.random_forest(seed=wb.seed).fit(wb.train_features())),
+    BOOSTED: ("gbt", lambda wb: models.boosted_trees(seed=wb.seed).fit(wb.train_features())),
+    "AnomalyDetector": ("anomaly", lambda wb: anomaly.fit_anomaly(wb.train_features(), seed=wb.seed)),
+    "LinearWeighted": ("linear_weighted", lambda wb: linear_weighted_pipeline().fit(
+        feat.with_class_weights(feat.with_balance_deltas(wb.train)))),
+}
+MODEL_KEYS = {name: key for name, (key, _) in REGISTRY.items()}
+
+
+def fitted_model(wb: Workbench, name: str):
+    if name not in REGISTRY:
+        raise ValueError(f"unknown model {name}; known: {sorted(REGISTRY)}")
+    key, fit = REGISTRY[name]
+    return wb.fitted(key, lambda: fit(wb))
+
+
 def fit_predict(wb: Workbench, name: str, map_on: str = "train") -> DataFrame:
     """Fit (once per workbench) and score the test side.  ``map_on="test"``
     maps anomaly clusters with test labels, as the original job did."""
-    train, test = wb.train_features(), wb.test_features()
-    if name == "LogisticRegression":
-        m = wb.fitted("lr", lambda: models.logistic_regression().fit(train))
-    elif name == "RandomForest":
-        m = wb.fitted("rf", lambda: models.random_forest(seed=wb.seed).fit(train))
-    elif name in ("XGBoost", "GradientBoostedTrees"):
-        m = wb.fitted("gbt", lambda: models.boosted_trees(seed=wb.seed).fit(train))
-    elif name == "AnomalyDetector":
-        m = wb.fitted("anomaly", lambda: anomaly.fit_anomaly(train, seed=wb.seed))
-        return anomaly.anomaly_predictions(m, test, test if map_on == "test" else train)
-    elif name == "LinearWeighted":
-        m = wb.fitted("linear_weighted", lambda: linear_weighted_pipeline().fit(
-            feat.with_class_weights(feat.with_balance_deltas(wb.train))))
+    m = fitted_model(wb, name)
+    if name == "AnomalyDetector":
+        test = wb.test_features()
+        return anomaly.anomaly_predictions(m, test, test if map_on == "test" else wb.train_features())
+    if name == "LinearWeighted":
         return m.transform(feat.with_balance_deltas(wb.test))
-    else:
-        raise ValueError(f"unknown model {name}")
-    return m.transform(test)
+    return m.transform(wb.test_features())
 
 
 def scored_for_metrics(wb: Workbench, pred: DataFrame) -> DataFrame:
@@ -78,10 +86,9 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, names=
     out = out_dir or files.scratch_dir(spark, "job")
     best_name = best["best_model"] if best else None
     if best_name:
-        key = MODEL_KEYS[best_name]
-        fitted = wb.fitted(key, lambda: None)
+        fitted = fitted_model(wb, best_name)
         # the wide linear model is already a features+model pipeline
-        artifact = fitted if key == "linear_weighted" else models.combine(wb.feature_model(), fitted)
+        artifact = fitted if best_name == "LinearWeighted" else models.combine(wb.feature_model(), fitted)
         models.save_model(artifact, f"{out}/best_model")
     long = ev.to_long(wide.drop("position"))
     files.write_metrics_json(long, f"{out}/metrics")
