@@ -27,7 +27,8 @@ from ..sources import files
 from ..sources.schema import DEFAULT_SEED
 from ..sources.tables import txn_frame
 
-ROWS_PER_PARTITION = 16384
+ROWS_PER_PARTITION = 16384        # below this per task, scheduling overhead dominates
+MAX_ROWS_PER_PARTITION = 1_000_000   # ~100-200 MB of features per task
 
 
 class Workbench:
@@ -59,9 +60,13 @@ class Workbench:
         self._lock = threading.RLock()
 
     def partitions(self, balanced: DataFrame) -> int:
+        """One partition per core; fewer when small (tasks of at least
+        ``ROWS_PER_PARTITION`` rows), more when huge (tasks of at most
+        ``MAX_ROWS_PER_PARTITION`` rows, run in several waves)."""
         cores = max(1, int(self.spark.sparkContext.defaultParallelism))
         rows = balanced.count()          # reads the written table, not the input
-        return max(1, min(cores, -(-rows // ROWS_PER_PARTITION)))
+        n = min(cores, -(-rows // ROWS_PER_PARTITION))
+        return max(1, n, -(-rows // MAX_ROWS_PER_PARTITION))
 
     def memo(self, key, build: Callable):
         with self._lock:

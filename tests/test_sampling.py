@@ -117,3 +117,20 @@ def test_other_seed_gives_other_valid_split(wb):
     c = {r.txn_id for r in te7.select("txn_id").collect()}
     assert a != b and not (b & c) and len(b | c) == 4158
     assert abs(len(b) / 4158 - 0.8) < 0.03
+
+
+def test_partition_sizing_rule(wb, monkeypatch):
+    from ledgerlens.plans import workbench as W
+
+    class Fake:
+        def __init__(self, n):
+            self.n = n
+
+        def count(self):
+            return self.n
+
+    cores = wb.spark.sparkContext.defaultParallelism
+    assert wb.partitions(Fake(10)) == 1
+    assert wb.partitions(Fake(W.ROWS_PER_PARTITION * 2 + 1)) == min(cores, 3)
+    huge = W.MAX_ROWS_PER_PARTITION * (cores + 5)
+    assert wb.partitions(Fake(huge)) == cores + 5
