@@ -42,7 +42,10 @@ def drain_to_sink(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
          .outputMode("append")
          .trigger(availableNow=True)
          .start(sink_dir))
-    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    if timeout_s and not finished and q.isActive:
+        q.stop()          # progress so far is committed; a re-run resumes from the checkpoint
+        raise TimeoutError(f"streaming scoring did not drain within {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(f"streaming scoring failed: {q.exception()}")
     return q
