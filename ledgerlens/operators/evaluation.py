@@ -186,6 +186,23 @@ def metrics_wide(long: DataFrame, id_cols: Sequence[str] = ("model", "position")
     return long.groupBy(*id_cols).pivot("metric", METRIC_NAMES).agg(F.first("value"))
 
 
+def summary_lines(long: DataFrame, digits: int = 9) -> DataFrame:
+    """The printed summary as rows: ``model:`` headers and ``  metric: value``
+    lines (``None`` for a missing AUC), with their order as columns
+    (position, line_no) instead of relying on row order."""
+    # format_string renders a NULL argument as "null", so NULL is handled first
+    value = F.when(F.col("value").isNull(), F.lit("None")).otherwise(
+        F.format_string(f"%.{digits}f", F.col("value").cast("double")))
+    metric_no = F.lit(0)
+    for i, m in enumerate(METRIC_NAMES):
+        metric_no = F.when(F.col("metric") == m, F.lit(i + 1)).otherwise(metric_no)
+    lines = long.select("model", "position", metric_no.alias("line_no"),
+                        F.concat(F.lit("  "), F.col("metric"), F.lit(": "), value).alias("line"))
+    heads = long.select("model", "position").distinct().select(
+        "model", "position", F.lit(0).alias("line_no"), F.concat(F.col("model"), F.lit(":")).alias("line"))
+    return heads.unionByName(lines)
+
+
 def select_best(wide: DataFrame, metric: str = "F1", position: str = "position") -> DataFrame:
     """Best model by ``metric`` (strictly greater wins; earlier position wins
     ties) as one global aggregate -- no sort."""

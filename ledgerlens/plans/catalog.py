@@ -653,6 +653,19 @@ def metrics_long(spark, sf_dir):
 _WIDE_COLS_SQL = ", ".join(f'max(CASE WHEN metric = \'{m}\' THEN value END) AS "{m}"' for m in METRIC_NAMES)
 
 
+_METRIC_NO_SQL = "CASE metric " + " ".join(f"WHEN '{m}' THEN {i + 1}" for i, m in enumerate(METRIC_NAMES)) \
+    + " ELSE 0 END"
+
+
+@query("metrics_summary", O.with_base(_rules_long_sql() + ",\n" + _MW2_SQL + ",\n" + _UNPIVOT_SQL,
+                                      f"""SELECT DISTINCT model, position, 0 AS line_no, model || ':' AS line FROM long
+UNION ALL SELECT model, position, {_METRIC_NO_SQL} AS line_no,
+  '  ' || metric || ': ' || coalesce(printf('%.{METRIC_DIGITS}f', value), 'None') AS line FROM long"""))
+def metrics_summary(spark, sf_dir):
+    """The summary listing (model header, then one line per metric)."""
+    return ev.summary_lines(_rules_long(spark, sf_dir), METRIC_DIGITS)
+
+
 @query("metrics_wide", O.with_base(_rules_long_sql() + ",\n" + _MW2_SQL + ",\n" + _UNPIVOT_SQL,
                                    f"SELECT model, position, {_WIDE_COLS_SQL} FROM long GROUP BY model, position"), "ER")
 def metrics_wide(spark, sf_dir):

@@ -117,3 +117,11 @@ def test_rule_metrics_do_not_depend_on_partitioning(spark, wb):
         long = ev.metrics_long([("AmountRule", pred)], score=F.col("score"))
         results.append(sorted((r.metric, r.value) for r in long.collect()))
     assert results[0] == results[1] == results[2]
+
+
+def test_summary_lines_show_missing_auc_as_none(spark):
+    a = spark.createDataFrame([(1.0, 1.0), (0.0, 0.0)], "isFraud double, prediction double")
+    rows = ev.summary_lines(ev.metrics_long([("m", a)])).orderBy("position", "line_no").collect()
+    assert [r.line for r in rows] == ["m:", "  Accuracy: 1.000000000", "  Precision: 1.000000000",
+                                      "  Recall: 1.000000000", "  F1: 1.000000000", "  ROC-AUC: None",
+                                      "  PR-AUC: None"]
