@@ -40,8 +40,15 @@ def over_threshold(p: Column | str, threshold: float = PROBABILITY_THRESHOLD) ->
     return (_c(p) > F.lit(float(threshold))).cast("int")
 
 
+def fixed(x: Column | str, digits: int = 4) -> Column:
+    """``%.{digits}f`` text; NULL stays NULL (``format_string`` alone would
+    render it as the text "null")."""
+    c = _c(x).cast("double")
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", c))
+
+
 def fixed4(x: Column | str) -> Column:
-    return F.format_string("%.4f", _c(x).cast("double"))
+    return fixed(x, 4)
 
 
 def squared_distance(arr: Column | str, centre: Sequence[float] | Column) -> Column:

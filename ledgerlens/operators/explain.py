@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import label_text
+from ..functions.exprs import fixed, label_text
 from ..sources.schema import NUMERIC_FEATURES
 
 # ---------------------------------------------------------------------------
@@ -40,7 +40,7 @@ def transaction_details(fields: Sequence[str] = DETAIL_FIELDS, pred_col: str = "
     parts = []
     for name in fields:
         c = F.col(name)
-        v = c if name == "type" else F.format_string("%.4f", c.cast("double"))
+        v = c if name == "type" else fixed(c, 4)
         parts += [F.lit(f"{name}: "), F.coalesce(v, F.lit("null")), F.lit(", ")]
     parts += [F.lit("predicted_label: "), F.col(pred_col).cast("int").cast("string")]
     return F.concat(F.lit("{"), *parts, F.lit("}"))

@@ -910,9 +910,9 @@ def score_stream(spark, sf_dir):
   || '2) List up to 3 attributes that look suspicious (amount, balances, type etc.).' || chr(10)
   || '3) Suggest one short next action (e.g., hold transaction, ask customer, investigate account).'
   || chr(10) || chr(10) || 'Transaction: {type: ' || coalesce(type, 'null')
-  || ', amount: ' || printf('%.4f', amount) || ', oldbalanceOrg: ' || printf('%.4f', oldbalanceOrg)
-  || ', newbalanceOrig: ' || printf('%.4f', newbalanceOrig) || ', oldbalanceDest: ' || printf('%.4f', oldbalanceDest)
-  || ', newbalanceDest: ' || printf('%.4f', newbalanceDest) || ', predicted_label: '
+  || ', amount: ' || coalesce(printf('%.4f', amount), 'null') || ', oldbalanceOrg: ' || coalesce(printf('%.4f', oldbalanceOrg), 'null')
+  || ', newbalanceOrig: ' || coalesce(printf('%.4f', newbalanceOrig), 'null') || ', oldbalanceDest: ' || coalesce(printf('%.4f', oldbalanceDest), 'null')
+  || ', newbalanceDest: ' || coalesce(printf('%.4f', newbalanceDest), 'null') || ', predicted_label: '
   || CAST(CAST(prediction AS INTEGER) AS VARCHAR) || '}' || chr(10) || chr(10)
   || 'Keep the answer short (max 120 words). Use clear bullet points or numbered lines.' AS prompt
 FROM sc WHERE prediction = 1"""))

@@ -145,3 +145,13 @@ def test_stream_drains_backlog_in_bounded_batches(spark, wb):
     batch = scoring.score_batch(model, wb.test.select(*cols), digits=4)
     assert out.count() == batch.count()
     assert out.exceptAll(batch.select(*out.columns)).count() == 0
+
+
+def test_text_formatting_keeps_null(spark):
+    from ledgerlens.functions.exprs import fixed4
+    from ledgerlens.operators import explain
+
+    df = spark.createDataFrame([(None, "PAYMENT", 1)], "amount double, type string, prediction int")
+    assert df.select(fixed4("amount").alias("t")).first().t is None
+    det = df.select(explain.transaction_details(["type", "amount"]).alias("d")).first().d
+    assert det == "{type: PAYMENT, amount: null, predicted_label: 1}"
