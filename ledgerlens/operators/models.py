@@ -1,4 +1,4 @@
-"""Estimators, the model registry, and persistence.
+"""Estimators and persistence (the model registry lives in plans/training.py).
 
 All models are Spark ML estimators: their fits are distributed
 (``treeAggregate`` per iteration for LR / KMeans, per-level histogram
