@@ -105,7 +105,9 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def write_metrics_json(metrics_long: DataFrame, path: str) -> None:
-    metrics_long.write.mode("overwrite").json(path)
+    """(model, metric, value) lines; a missing metric is written as an
+    explicit ``"value": null``, as in the published metrics file."""
+    metrics_long.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:

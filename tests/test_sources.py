@@ -57,3 +57,18 @@ def test_metrics_json_roundtrip_nested(spark, tmp_path):
     nested = spark.read.schema(files.NESTED_METRICS_SCHEMA).option("multiLine", True).json(str(p))
     long = {(r.model, r.metric): r.value for r in files.nested_metrics_to_long(nested).collect()}
     assert long == {("A", "F1"): 0.5, ("A", "ROC-AUC"): None, ("B", "F1"): 0.7}
+
+
+def test_flat_metrics_json_keeps_explicit_null(spark, tmp_path):
+    import glob
+
+    from ledgerlens.operators import evaluation as ev
+
+    a = spark.createDataFrame([(1.0, 1.0), (0.0, 0.0)], "isFraud double, prediction double")
+    long = ev.metrics_long([("m", a)]).drop("position")
+    path = str(tmp_path / "flat")
+    files.write_metrics_json(long, path)
+    text = "".join(open(f).read() for f in glob.glob(path + "/part-*"))
+    assert '"metric":"ROC-AUC","value":null' in text
+    back = {(r.metric, r.value) for r in files.read_metrics_json(spark, path).collect()}
+    assert ("ROC-AUC", None) in back and ("F1", 1.0) in back
