@@ -1,4 +1,8 @@
-"""Every exact query against its DuckDB oracle (the driver's gate), at sf0.001."""
+"""Every exact query against its DuckDB oracle (the driver's gate).
+
+Runs at sf0.001 by default; ``LEDGERLENS_ORACLE_SF=/root/testdata/sf0.01``
+runs the driver's scale.
+"""
 
 import math
 import os
@@ -10,6 +14,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 TABLES = ["customer", "supplier", "orders", "lineitem"]
+SF = os.environ.get("LEDGERLENS_ORACLE_SF", SF_SMALL)
 
 
 def _norm(v):
@@ -35,7 +40,7 @@ def _rows(df):
 def con():
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
 
@@ -45,7 +50,7 @@ def test_every_oracle_names_a_query():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    got = E.queries()[name](spark, SF).toPandas()
     want = con.execute(E.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
@@ -54,7 +59,7 @@ def test_query_matches_oracle(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = E.queries()[name](spark, SF)
     assert df.count() > 0
 
 
