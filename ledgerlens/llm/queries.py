@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,9 +12,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, rules, simhash
+from ..session import shared_dir
+from . import bpe, embedding, htmltext, mixing, quality, rules, simhash, toxicity, urlfilter, warc
 from .common import prepare
 
+#: Fixed rules of the URL query.
+URL_RULES = [urlfilter.UrlRule("com/", "allow"), urlfilter.UrlRule("example.com/en/", "block"),
+             urlfilter.UrlRule("www.example.com/en/", "allow"), urlfilter.UrlRule("net/es/", "block"),
+             urlfilter.UrlRule("net/fr/", "block")]
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -27,11 +33,45 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
+
+
+def op3_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding.near_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id",
+                        F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archive(warc.with_revisits(_table(spark, sf_dir, "pages")), path)
+    kept = warc.read_archive(spark, path).filter("record_type = 'response'")
+    again = warc.read_archive(spark, path, payload=False).filter("record_type = 'revisit'")
+    page = warc.page_id("record_id").alias("page_id")
+    return kept.select(
+        page, F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"),
+        "record_type", F.lit(None).cast("long").alias("refers_to"),
+    ).unionByName(again.select(
+        page, F.col("payload_length").alias("payload_bytes"), F.regexp_replace("payload_digest", "^sha256:", "").alias("payload_digest"),
+        "record_type", warc.page_id("refers_to").alias("refers_to")))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scored.withColumnRenamed("id", "doc_id")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = htmltext.with_main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
@@ -65,7 +105,8 @@ def digests(docs: DataFrame, lexicon_file: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    named = [op1_simhash, op6_quality_classifier, op8_mixing, op9_quality_rules, op10_bpe]
+    named = [op1_simhash, op2_url_filter, op3_embedding, op4_toxicity, op5_warc, op6_quality_classifier, op7_html_text,
+             op8_mixing, op9_quality_rules, op10_bpe]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
@@ -135,5 +176,30 @@ FROM x
 """
 
 
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first_id IS NOT NULL AND first_id IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+OP3_SQL = f"""
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+u AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM e
+      WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+      ON a.vec_id <> b.vec_id AND list_dot_product(a.v, b.v) / (a.norm * b.norm) >= {embedding.LIMIT}),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+c AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c.b, vec_id)) AS component_id,
+  vec_id <= coalesce(c.b, vec_id) AS kept
+FROM e LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": OP8_SQL, "op9_quality_rules": OP9_SQL}
+    return {"op3_embedding": OP3_SQL, "op5_warc": OP5_SQL, "op8_mixing": OP8_SQL, "op9_quality_rules": OP9_SQL}
