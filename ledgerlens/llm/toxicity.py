@@ -1,8 +1,8 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic texts are the positives; every other text is unlabelled, never
-a negative.  A linear classifier over the presence of words and word beginnings
-is trained in numpy on the non-negative risk
+a negative.  A linear classifier over the rates of words and word beginnings is
+trained in numpy on the non-negative risk
 
     prior * E_pos[l(z, +)] + max(0, E_unl[l(z, -)] - prior * E_pos[l(z, -)])
 
@@ -16,12 +16,13 @@ chosen by a hash of the id); scoring covers every whole text.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -32,30 +33,66 @@ FOLDS, FOLD = 4, 2
 POSITIVES, UNLABELLED = 4000, 16000
 FEATURES = 4096
 LEAST_DOCS = 3
-BEGINNING = 5
+STRONG = 1.0
+#: A feature enters with this log-likelihood ratio; chance exceeds it about once in 1,000 features.
+LEAST_EVIDENCE = 12.0
+BEGINNINGS = (4, 5, 6)
 EPOCHS, RATE, DECAY = 300, 0.1, 1e-3
 THRESHOLD = 0.3
 
 #: Lower-cases A-Z and turns ASCII punctuation, digits and controls into spaces.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _CHUNK = 1 << 22
+MEMO_WORDS = 300_000
+#: A rate is occurrences per 100 words, with words added to every text so that
+#: one word of a short text does not weigh like many of a long one.
+PER, ADDED = 100.0, 30.0
 
 
-def features(data: bytes | None) -> set[bytes]:
-    """The words of a text, and the first letters of longer words with a ``^``."""
-    out: set[bytes] = set()
+def word_runs(data: bytes | None) -> Iterator[list[bytes]]:
+    """The words of a whole text in runs of bounded size."""
     data = data or b""
     at = 0
     while at < len(data):
         end = at + _CHUNK
         if end < len(data):
             end = len(data) if (cut := data.find(b" ", end)) < 0 else cut
-        out.update(data[at:end].translate(_FOLD).split())
+        yield data[at:end].translate(_FOLD).split()
         at = end
-    out.update([b"^" + w[:BEGINNING] for w in out if len(w) > BEGINNING])
+
+
+def features_of(word: bytes) -> list[bytes]:
+    """The word, and the beginnings of a longer one with a ``^``."""
+    return [word, *(b"^" + word[:k] for k in BEGINNINGS if len(word) > k)]
+
+
+def rates(data: bytes | None) -> dict[bytes, float]:
+    """The rate of every feature of a text."""
+    words: Counter = Counter()
+    for run in word_runs(data):
+        words.update(run)
+    out: dict[bytes, float] = defaultdict(float)
+    scale = PER / (words.total() + ADDED)
+    for word, n in words.items():
+        for f in features_of(word):
+            out[f] += n * scale
     return out
 
 
+class _Memo(dict):
+    """The weight of a word with its beginnings, worked out once; bounded."""
+
+    def __init__(self, weights: dict[bytes, float]):
+        self.weights = weights
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        get = self.weights.get
+        self[word] = w = sum(get(f, 0.0) for f in features_of(word))
+        return w
+
+
 @dataclass
 class Linear:
     """Weights by feature; without training data every score is the prior."""
@@ -63,25 +100,29 @@ class Linear:
     weights: dict[bytes, float]
     bias: float
 
-    def score(self, data: bytes | None) -> float:
-        known = self.weights
-        z = self.bias + sum(known[f] for f in features(data) & known.keys()) if known else self.bias
-        return float(1.0 / (1.0 + np.exp(-np.clip(z, -700, 700))))
-
-
-def fit_pu(rows: list[np.ndarray], positive: np.ndarray, n_features: int, prior: float, epochs: int = EPOCHS,
-           rate: float = RATE, decay: float = DECAY) -> tuple[np.ndarray, float]:
-    """Weights and bias by full-batch Adam on the non-negative risk; ``rows``
-    hold the feature numbers of each text."""
-    size = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), size)
+    def scores(self, texts: list[bytes | None]) -> np.ndarray:
+        memo = _Memo(self.weights)
+        z = np.full(len(texts), self.bias)
+        for i, t in enumerate(texts if self.weights else []):
+            total, n = 0.0, 0
+            for run in word_runs(t):
+                total += sum(map(memo.__getitem__, run))
+                n += len(run)
+            z[i] += total * PER / (n + ADDED)
+        return 1.0 / (1.0 + np.exp(-np.clip(z, -700, 700)))
+
+
+def fit_pu(owner: np.ndarray, flat: np.ndarray, x: np.ndarray, positive: np.ndarray, n_features: int, prior: float,
+           epochs: int = EPOCHS, rate: float = RATE, decay: float = DECAY) -> tuple[np.ndarray, float]:
+    """Weights and bias by full-batch Adam on the non-negative risk, from the
+    entries (text number, feature number, rate) of the texts."""
+    n_texts = len(positive)
     n_pos, n_unl = positive.sum(), (~positive).sum()
     theta = np.zeros(n_features + 1)
     theta[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, epochs + 1):
-        z = np.bincount(owner, theta[flat], len(rows)) + theta[-1]
+        z = np.bincount(owner, theta[flat] * x, n_texts) + theta[-1]
         p = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
         minus = np.logaddexp(0, z)                                  # l(z, -)
         rest = minus[~positive].mean() - prior * minus[positive].mean()
@@ -90,7 +131,7 @@ def fit_pu(rows: list[np.ndarray], positive: np.ndarray, n_features: int, prior:
             g = down + np.where(positive, prior * (p - 1) / n_pos, 0.0)
         else:
             g = -down
-        grad = np.append(np.bincount(flat, g[owner], n_features), g.sum())
+        grad = np.append(np.bincount(flat, g[owner] * x, n_features), g.sum())
         grad[:-1] += decay * theta[:-1]
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
@@ -98,6 +139,18 @@ def fit_pu(rows: list[np.ndarray], positive: np.ndarray, n_features: int, prior:
     return theta[:-1], float(theta[-1])
 
 
+def evidence(p: Column, u: Column, n_pos: int, n_unl: int) -> Column:
+    """Log-likelihood ratio of a feature in ``p`` of the positive and ``u`` of the
+    unlabelled texts, against one share for both; 0 where positives have it less."""
+    def fit(k: Column, n: int, share: Column) -> Column:
+        return (F.when(k > 0, k * F.log(share)).otherwise(0.0)
+                + F.when(k < n, (n - k) * F.log(1 - share)).otherwise(0.0))
+
+    own, other, both = p / float(n_pos), u / float(n_unl), (p + u) / float(n_pos + n_unl)
+    ratio = 2 * (fit(p, n_pos, own) + fit(u, n_unl, other) - fit(p, n_pos, both) - fit(u, n_unl, both))
+    return F.when(own > 2 * other, ratio).otherwise(0.0)
+
+
 def _some(ids: DataFrame, n: int) -> DataFrame:
     """Up to ``n`` ids, the smallest by a seeded hash."""
     return ids.distinct().orderBy(F.xxhash64(F.col("id"), F.lit("toxicity")), "id").limit(n)
@@ -128,16 +181,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(features(t)) for t in utf8_values(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.binary()))], ["y", "f"])
+            found = [sorted(rates(t).items()) for t in utf8_values(batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([[f for f, _ in o] for o in found], pa.list_(pa.binary())),
+                 pa.array([[int(r >= STRONG) for _, r in o] for o in found], pa.list_(pa.int32()))], ["y", "f", "s"])
 
-    one = sample.mapInArrow(listed, "y int, f array<binary>")
+    one = sample.mapInArrow(listed, "y int, f array<binary>, s array<int>")
     n_pos, n_unl = sample.agg(F.sum("y"), F.sum(1 - F.col("y"))).first()
     if not n_pos or not n_unl:
         return Linear({}, float(np.log(prior / (1 - prior))))
-    seen = one.select("y", F.explode("f").alias("f")).groupBy("f").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("u"))
-    share, other = (F.col("p") + 0.5) / (n_pos + 1.0), (F.col("u") + 0.5) / (n_unl + 1.0)
-    best = seen.filter(F.col("p") >= LEAST_DOCS).withColumn("gain", share * F.log(share / other)).filter("gain > 0")
+    other = 1 - F.col("y")
+    seen = one.select("y", F.explode(F.arrays_zip("f", "s")).alias("e")).groupBy("e.f").agg(
+        F.sum("y").alias("p"), F.sum(other).alias("u"),
+        F.sum(F.col("y") * F.col("e.s")).alias("ps"), F.sum(other * F.col("e.s")).alias("us"))
+    # in any number, or often: an innocent word may stand in many texts once
+    best = seen.filter(F.col("p") >= LEAST_DOCS).withColumn("gain", F.greatest(
+        evidence(F.col("p"), F.col("u"), n_pos, n_unl), evidence(F.col("ps"), F.col("us"), n_pos, n_unl)))
+    best = best.filter(F.col("gain") >= LEAST_EVIDENCE)
     vocabulary = [bytes(r.f) for r in best.orderBy(F.desc("gain"), "f").limit(FEATURES).collect()]
     if not vocabulary:
         return Linear({}, float(np.log(prior / (1 - prior))))
@@ -145,24 +205,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows_ = [sorted(number[f] for f in features(t) & number.keys()) for t in utf8_values(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows_, pa.list_(pa.int32()))], ["y", "f"])
-
-    got = sample.mapInArrow(numbered, "y int, f array<int>").toArrow()
-    lists = got.column("f").combine_chunks()
-    ends = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))])
-    flat = np.asarray(lists.flatten())
-    y = np.asarray(got.column("y")) == 1
+            own = [sorted((number[f], r) for f, r in rates(t).items() if f in number) for t in utf8_values(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([[f for f, _ in o] for o in own], pa.list_(pa.int32())),
+                                              pa.array([[r for _, r in o] for o in own], pa.list_(pa.float64()))], ["y", "f", "r"])
+
     # a fixed order of the rows gives the same sums in every run
-    texts = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
-    order = sorted(range(len(texts)), key=lambda i: (bool(y[i]), texts[i].tobytes()))
-    weights, bias = fit_pu([texts[i] for i in order], y[order], len(vocabulary), prior)
+    got = sample.mapInArrow(numbered, "y int, f array<int>, r array<double>").orderBy("y", "f", "r").toArrow()
+    lists, values = got.column("f").combine_chunks(), got.column("r").combine_chunks()
+    owner = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
+    weights, bias = fit_pu(owner, np.asarray(lists.flatten()), np.asarray(values.flatten()), np.asarray(got.column("y")) == 1,
+                           len(vocabulary), prior)
     return Linear({f: float(w) for f, w in zip(vocabulary, weights)}, bias)
 
 
 def with_score(docs: DataFrame, model: Linear, text: str = "text", out: str = "score", drop_text: bool = False) -> DataFrame:
     """``docs`` with the toxicity of the whole ``text`` (0 to 1) in ``out``."""
-    return with_value(docs, text, lambda texts: pa.array([model.score(t) for t in texts], pa.float64()), out, DoubleType(), drop_text)
+    return with_value(docs, text, lambda texts: pa.array(model.scores(texts), pa.float64()), out, DoubleType(), drop_text)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
