@@ -1,9 +1,9 @@
 """Near-duplicate vectors by collision-counting projections.
 
 Unit vectors are projected on many fixed Gaussian directions.  On each
-direction only the tails are kept (values of at least TAIL standard deviations,
-either sign): close vectors share tails, unrelated ones hardly ever, so a
-direction's sorted tail is short.  Two vectors collide on a direction if both
+direction only the tails are kept (the outermost half percent of values for
+vectors of 64 components, either sign): close vectors share tails, unrelated
+ones hardly ever, so a direction's sorted tail is short.  Two vectors collide on a direction if both
 lie in its tail within the query-centred window; pairs that collide often
 enough are verified by their cosine in double precision.  The count that a pair
 must reach is calibrated: the largest at which pairs of exactly the limit
@@ -30,8 +30,10 @@ from .common import parts, written
 from .components import connected_components
 
 LIMIT = 0.9
-DIRECTIONS = 2048
-TAIL = 2.75
+DIRECTIONS = 3072
+#: Shares of a direction's values that may form its tails; the first that reaches the recall is
+#: taken, with as many directions as give a vector as many tails as DIRECTIONS do at the first.
+TAIL_SHARES = (0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0)
 WINDOW = 1.25
 RECALL = 0.97
 TILE = 512
@@ -45,12 +47,15 @@ def directions(d: int, n: int = DIRECTIONS) -> np.ndarray:
     return (g / np.linalg.norm(g, axis=1, keepdims=True) * np.sqrt(d)).T
 
 
-def tails(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(row, cell, value)`` of all tail values, by row and cell."""
+def tails(unit: np.ndarray, n: int | None = None, least: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, cell, value)`` of all tail values, by row and cell, on the first
+    ``n`` directions from value ``least`` on (by default as :func:`settings` has it)."""
+    if n is None:
+        n, least, _ = settings(unit.shape[1])
     row, cell, value = [], [], []
     for at in range(0, len(unit), 512):
-        p = unit[at:at + 512] @ directions(unit.shape[1])
-        r, c = np.nonzero(np.abs(p) >= TAIL)
+        p = unit[at:at + 512] @ directions(unit.shape[1])[:, :n]
+        r, c = np.nonzero(np.abs(p) >= least)
         v = p[r, c]
         row.append(r + at)
         cell.append(c * 2 + (v < 0))
@@ -74,27 +79,33 @@ def collisions(row: np.ndarray, cell: np.ndarray, value: np.ndarray, n: int) ->
 
 
 @functools.cache
-def needed_count(d: int, limit: float = LIMIT, recall: float = RECALL, trials: int = 4000) -> int:
-    """The largest collision count that pairs of cosine ``limit`` reach with the
-    wanted recall, measured on seeded random pairs."""
+def settings(d: int, limit: float = LIMIT, recall: float = RECALL, trials: int = 3000) -> tuple[int, float, int]:
+    """For vectors of ``d`` components the number of directions, the value at
+    which tails begin, and the collision count a pair must reach: the shortest
+    tails, then the largest count, at which seeded random pairs of cosine
+    ``limit`` are found with the wanted recall."""
     g = np.random.default_rng([SEED, d, 1])
-    x = g.standard_normal((trials, d))
+    x, y = g.standard_normal((2, trials, d))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    y = g.standard_normal((trials, d))
     y -= (y * x).sum(axis=1, keepdims=True) * x
     y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
     y = limit * x + np.sqrt(1 - limit * limit) * y
-    (r1, c1, v1), (r2, c2, v2) = tails(x), tails(y)
-    n_cells = 2 * DIRECTIONS
-    at = np.searchsorted(k2 := r2 * n_cells + c2, k1 := r1 * n_cells + c1)
-    at = np.minimum(at, max(0, len(k2) - 1))
-    order = np.argsort(k2, kind="stable")
-    k2, v2 = k2[order], v2[order]
-    at = np.minimum(np.searchsorted(k2, k1), len(k2) - 1)
-    hit = (k2[at] == k1) & (np.abs(v2[at] - v1) <= WINDOW)
-    count = np.bincount(r1[hit], minlength=trials)
-    good = [c for c in range(1, 50) if (count >= c).mean() >= recall]
-    return max(good, default=1)
+    sample = np.abs(x[:400] @ directions(d)).ravel()
+    for share in TAIL_SHARES:
+        n = int(np.ceil(DIRECTIONS * TAIL_SHARES[0] / share))
+        least = float(np.quantile(sample, 1 - share)) if share < 1 else 0.0
+        (r1, c1, v1), (r2, c2, v2) = tails(x, n, least), tails(y, n, least)
+        k1, k2 = r1 * 2 * n + c1, r2 * 2 * n + c2                         # sorted, by row and cell
+        at = np.minimum(np.searchsorted(k2, k1), max(0, len(k2) - 1))
+        hit = (k2[at] == k1) & (np.abs(v2[at] - v1) <= WINDOW) if len(k2) else np.zeros(len(k1), bool)
+        count = np.bincount(r1[hit], minlength=trials)
+        if (count >= 1).mean() >= recall:
+            break
+    return n, least, max((c for c in range(1, 50) if (count >= c).mean() >= recall), default=1)
+
+
+def needed_count(d: int) -> int:
+    return settings(d)[2]
 
 
 def _unit(vectors: list) -> np.ndarray:

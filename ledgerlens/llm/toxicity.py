@@ -1,7 +1,8 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positives; every other text is unlabelled, never
-a negative.  A linear classifier over the rates of words and word beginnings is
+Confirmed toxic texts are the positives; the unlabelled set is drawn from all
+texts, confirmed or not, so that the class prior holds in it; no text is ever
+taken for a negative.  A linear classifier over the rates of words and word beginnings is
 trained in numpy on the non-negative risk
 
     prior * E_pos[l(z, +)] + max(0, E_unl[l(z, -)] - prior * E_pos[l(z, -)])
@@ -10,7 +11,7 @@ with the logistic loss l and the class prior taken from the labelled rows.  When
 the second term falls below zero the step goes against it, so a flexible model
 can't make unlabelled toxic texts negative by heart.
 
-Training uses a bounded sample (POSITIVES confirmed and UNLABELLED other rows,
+Training uses a bounded sample (POSITIVES confirmed and UNLABELLED rows of all,
 chosen by a hash of the id); scoring covers every whole text.
 """
 
@@ -176,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     ids = rows.select("id")
     # both samples are bounded, so they may be broadcast
     chosen = _some(ids.join(toxic_ids, "id", "left_semi"), positives).withColumn("y", F.lit(1)).unionByName(
-        _some(ids.join(toxic_ids, "id", "left_anti"), unlabelled).withColumn("y", F.lit(0)))
+        _some(ids, unlabelled).withColumn("y", F.lit(0)))
     sample = written(rows.join(F.broadcast(written(chosen, "toxicity-ids")), "id").select("y", "text"), "toxicity-sample")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

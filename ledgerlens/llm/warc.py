@@ -139,7 +139,9 @@ class WarcReader(DataSourceReader):
             listed = [[n, f.size, [0]] for n, f in sorted(found.items()) if n.endswith(".warc")]
         return [Range(f"{root}/{name}", a, b) for name, size, starts in listed for a, b in zip(starts, [*starts[1:], size])]
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Range | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:                     # an archive without files
+            return
         tests = [header_test(f) for f in self.filters]
         fs, _ = _file_system(self.path)
         rows, held = [], 0
@@ -284,5 +286,7 @@ def write_archive(records_: DataFrame, path: str) -> None:
 
 
 def read_archive(spark, path: str, payload: bool = True) -> DataFrame:
+    """The records of ``path``.  Read anew for each set of filters: Spark 4.1 keeps
+    the filters once pushed to a Python reader with its DataFrame."""
     register(spark)
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
