@@ -66,6 +66,15 @@ def texts_of(column: pa.Array) -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def met_once(joined: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each value of the join's ``keys``.
+
+    A sort-merge join on the same keys leaves its rows dealt and sorted by them,
+    so this streams over them without another exchange.
+    """
+    return joined.dropDuplicates(keys)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or with underscores before it if ``df`` has such a column."""
     taken = {c.lower() for c in df.columns}

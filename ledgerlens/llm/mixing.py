@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import free_name, n_words_of, parts, written
+from .common import free_name, met_once, n_words_of, parts, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -189,7 +189,7 @@ def mixed(docs: DataFrame, source: str = "source", text: str = "text", id_col: s
     The plan is made on narrow rows; the texts are shuffled once, to meet it.
     """
     names = docs.columns
-    hashed, keyed, mark = (free_name(docs, c) for c in ("row_hash", "id_key", "copy_rank"))
+    hashed, keyed, mark, whole, part = (free_name(docs, c) for c in ("row_hash", "id_key", "take", "whole", "part"))
     any_id = F.lit(0).cast(docs.schema[id_col].dataType)
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in names])
     plan = mix(docs, source, text, id_col, row_hash=row_hash, **options).filter("taken > 0")
@@ -198,19 +198,19 @@ def mixed(docs: DataFrame, source: str = "source", text: str = "text", id_col: s
                              "part": F.when((some > 0) & (some < F.col("size")), F.col("spans"))})
     # equal rows lie next to each other in one shard: at most its run's ends are parts
     plan = plan.groupBy(F.col("row_hash").alias(hashed), F.coalesce("id", any_id).alias(keyed)).agg(
-        F.sum("whole").alias("whole"), F.collect_list("part").alias("part"))
+        F.sum("whole").alias(whole), F.collect_list("part").alias(part))
     rows = docs.withColumns({hashed: row_hash, keyed: F.coalesce(F.col(f"`{id_col}`"), any_id)})
-    met = rows.alias("d").join(plan.alias("p"), [hashed, keyed])
-    met = met.withColumn(mark, F.row_number().over(Window.partitionBy(hashed, keyed).orderBy(F.lit(0)))).filter(F.col(mark) == 1)
-    empty = F.array().cast(plan.schema["part"].dataType.elementType)
-    takes = F.concat(F.array_repeat(empty, F.col("p.whole").cast("int")), F.col("p.part"))
-    met = met.select(*[F.col(f"d.`{c}`") for c in names], F.explode(takes).alias(mark))
+    met = met_once(rows.join(plan, [hashed, keyed]), [hashed, keyed])
+    empty = F.array().cast(plan.schema[part].dataType.elementType)
+    takes = F.concat(F.array_repeat(empty, F.col(whole).cast("int")), F.col(part))
+    met = met.select(*[F.col(f"`{c}`") for c in names], F.explode(takes).alias(mark))
     # a word with the white space before it
     pieces = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    part = F.ltrim(F.array_join(F.flatten(F.transform(
+    cut = F.ltrim(F.array_join(F.flatten(F.transform(
         mark, lambda s: F.slice(pieces, s["start"].cast("int") + 1, s["n"].cast("int")))), ""))
-    is_part = F.size(mark) > 0
-    changed = {text: F.when(is_part, part).otherwise(F.col(f"`{text}`"))}
+    # a column of its own, so that text and length are made from the same cut
+    met = met.withColumn(part, F.when(F.size(mark) > 0, cut))
+    changed = {text: F.coalesce(part, F.col(f"`{text}`"))}
     if length in names:
-        changed[length] = F.when(is_part, F.length(part).cast(docs.schema[length].dataType)).otherwise(F.col(f"`{length}`"))
+        changed[length] = F.when(F.col(part).isNotNull(), F.length(part).cast(docs.schema[length].dataType)).otherwise(F.col(f"`{length}`"))
     return met.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in names])

@@ -24,12 +24,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
-from .common import free_name, with_value, written
+from .common import free_name, met_once, with_value, written
 from .components import connected_components
 
 SEED = 42
@@ -126,6 +126,11 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return met.filter(near).select(F.col("fp").alias("u"), F.col("to").alias("v")).distinct()
 
 
+def _row_hash(id_col: Column, text: Column) -> Column:
+    """Hash of a text that also tells a null id from any other."""
+    return F.xxhash64(text, id_col.isNull())
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                    k: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``(id, text_hash, fp, component_id)`` for every row of ``docs``.
@@ -136,7 +141,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     component are null).  Repeated rows are returned as often as they come; an
     empty table gives an empty result.  Other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), _row_hash(F.col(id_col), F.col(text)).alias("text_hash"), F.col(text).alias("text"))
     rows = written(with_fingerprint(rows, "text", k), "fingerprints")
     prints = rows.groupBy("fp").agg(F.min("id").alias("least"))
     found = connected_components(near_links(prints.select("fp"), max_bits))
@@ -158,12 +163,9 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     groups = simhash_groups(docs, id_col, text, k, max_bits)
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
     best = groups.groupBy("root").agg(F.min(order).alias("best"))
-    hashed, keyed, mark = (free_name(docs, c) for c in ("text_hash", "id_key", "copy_rank"))
+    hashed, keyed = (free_name(docs, c) for c in ("text_hash", "id_key"))
     any_id = F.lit(0).cast(docs.schema[id_col].dataType)
-    best = best.select(F.col("best.text_hash").alias(hashed), F.coalesce("best.id", any_id).alias(keyed),
-                       F.col("best.no_id").alias("no_id"))
-    rows = docs.withColumns({hashed: F.xxhash64(text), keyed: F.coalesce(F.col(id_col), any_id)})
-    kept = rows.alias("d").join(best.alias("b"), [hashed, keyed]).filter(F.col(f"d.{id_col}").isNull() == F.col("b.no_id"))
-    # rows of one id and text meet in the join already: no further exchange
-    kept = kept.withColumn(mark, F.row_number().over(Window.partitionBy(hashed, keyed).orderBy(F.lit(0))))
-    return kept.filter(F.col(mark) == 1).select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    best = best.select(F.col("best.text_hash").alias(hashed), F.coalesce("best.id", any_id).alias(keyed))
+    rows = docs.withColumns({hashed: _row_hash(F.col(id_col), F.col(text)), keyed: F.coalesce(F.col(id_col), any_id)})
+    # rows of one id and text meet, sorted, in the join already: no further exchange or sort
+    return met_once(rows.join(best, [hashed, keyed]), [hashed, keyed]).select(*[F.col(f"`{c}`") for c in docs.columns])
