@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from . import lexicon
-from .common import utf8_values, with_value, write_shared
+from .common import utf8_values, with_value, write_shared, written
 
 LEXICON_WORDS = 60_000
 LONGEST = 40
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 CHUNK = 1 << 20
 GATHER = 400_000
+SIDE_BY_SIDE, ROUND_WORDS = 40, 4096
+_NO_RANK = 1 << 40
 #: Fixed pattern of the vocabulary's pre-tokenisation (after lower-casing); no
 #: letter begins another alternative, so letters may stand first.
 PIECE = regex.compile(r"[\p{L}]+|'s|'t|'re|'ve|'m|'ll|'d|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -82,50 +84,126 @@ class Merger:
     """Exact merges: of all adjacent pairs the lowest rank, the leftmost first."""
 
     def __init__(self, inner, last, merges):
-        self.inner, self.last = inner.tolist(), last.tolist()
-        self.ranks = {(a, b): (rank, made) for rank, (a, b, made) in reversed(list(enumerate(np.asarray(merges).reshape(-1, 3).tolist())))}
+        self.inner, self.last = np.asarray(inner, np.int64), np.asarray(last, np.int64)
+        pairs = np.asarray(merges, np.int64).reshape(-1, 3)
+        self.made = np.append(pairs[:, 2], -1)
+        self.wide = int(pairs.max(initial=0)) + 1
+        self.keys, self.ranks = self._table(pairs[:, 0] * self.wide + pairs[:, 1])
+
+    def _table(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Open-addressing table from pair to rank; the first of equal pairs holds."""
+        self.bits = max(8, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
+        table, ranks = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, _NO_RANK, np.int64)
+        _, first = np.unique(keys, return_index=True)
+        left = np.sort(first)
+        self.probes = 0
+        while len(left):
+            slot = self._slot(keys[left], self.probes)
+            free = table[slot] < 0
+            _, one = np.unique(slot[free], return_index=True)
+            put = left[free][one]
+            table[slot[free][one]], ranks[slot[free][one]] = keys[put], put
+            left = np.setdiff1d(left, put)
+            self.probes += 1
+        return table, ranks
+
+    def _slot(self, keys: np.ndarray, probe: int) -> np.ndarray:
+        mixed = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
+        return (mixed.astype(np.int64) + probe) & ((1 << self.bits) - 1)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, _NO_RANK where there is no merge or an id is -1."""
+        keys = np.where((left >= 0) & (right >= 0), left * self.wide + right, -2)
+        out = np.full(keys.shape, _NO_RANK, np.int64)
+        for probe in range(self.probes):
+            slot = self._slot(keys, probe)
+            hit = self.keys[slot] == keys
+            out = np.where(hit, self.ranks[slot], out)
+        return out
 
     def ids(self, word: bytes) -> list[int]:
-        if not word:
-            return []
-        parts = [self.inner[b] for b in word[:-1]] + [self.last[word[-1]]]
-        return self._short(parts) if len(parts) <= 48 else self._long(parts)
-
-    def _short(self, parts: list[int]) -> list[int]:
-        get, none = self.ranks.get, (1 << 30, 0)
-        found = [get(pair, none) for pair in zip(parts, parts[1:])]
-        while found:
-            best = min(found)
-            if best is none or best == none:
-                break
-            i = found.index(best)
-            parts[i:i + 2] = [best[1]]
-            del found[i]
-            if i:
-                found[i - 1] = get((parts[i - 1], parts[i]), none)
-            if i < len(found):
-                found[i] = get((parts[i], parts[i + 1]), none)
+        return self.many([word])[0].tolist()
+
+    def many(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word.  Words of like length are merged side by side: every
+        round each takes its best merge."""
+        out: list = [np.zeros(0, np.int64)] * len(words)
+        order = sorted((i for i in range(len(words)) if words[i]), key=lambda i: len(words[i]))
+        while order:
+            size = len(words[order[-1]])
+            if size > SIDE_BY_SIDE:
+                i = order.pop()
+                out[i] = self._long(words[i])
+                continue
+            part = order[:ROUND_WORDS]
+            order = order[ROUND_WORDS:]
+            for i, own in zip(part, self._round(np.array(part), words)):
+                out[i] = own
+        return out
+
+    def _start(self, word: bytes) -> np.ndarray:
+        parts = self.inner[np.frombuffer(word, np.uint8)]
+        parts[-1] = self.last[word[-1]]
         return parts
 
-    def _long(self, parts: list[int]) -> list[int]:
+    def _round(self, part: np.ndarray, words: list[bytes]) -> list[np.ndarray]:
+        own = [words[i] for i in part]
+        n, wide = len(own), len(own[-1])
+        size = np.fromiter(map(len, own), np.int64, n)
+        ids = np.full((n, wide + 1), -1, np.int64)
+        inside = np.arange(wide + 1) < size[:, None]
+        data = np.frombuffer(b"".join(own), np.uint8)
+        ids[inside] = self.inner[data]
+        ids[np.arange(n), size - 1] = self.last[data[np.cumsum(size) - 1]]
+        ranks = self.rank(ids[:, :-1], ids[:, 1:])
+        live, done = np.arange(n), np.full((n, wide + 1), -1, np.int64)
+        columns = np.arange(wide + 1)
+        while len(live):
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(live)), at]
+            go = best < _NO_RANK
+            if not go.all():
+                done[live[~go]] = ids[~go]
+                live, ids, ranks, at, best = live[go], ids[go], ranks[go], at[go], best[go]
+                if not len(live):
+                    break
+            rows = np.arange(len(live))
+            shift = np.minimum(columns + (columns > at[:, None]), wide)
+            ids = np.take_along_axis(ids, shift, axis=1)
+            ids[:, -1] = -1
+            ids[rows, at] = self.made[best]
+            ranks = np.take_along_axis(ranks, np.minimum(shift[:, :-1], wide - 1), axis=1)
+            ranks[:, -1] = _NO_RANK
+            ranks[rows, at] = self.rank(ids[rows, at], ids[rows, at + 1])
+            before = np.maximum(at - 1, 0)
+            ranks[rows, before] = self.rank(ids[rows, before], ids[rows, before + 1])
+        held = (done >= 0).sum(axis=1).tolist()
+        return [done[i, :k] for i, k in enumerate(held)]
+
+    def _long(self, word: bytes) -> np.ndarray:
         """The same order with a heap over a linked list."""
-        n, get = len(parts), self.ranks.get
+        parts = self._start(word)
+        n = len(parts)
+        first = self.rank(parts[:-1], parts[1:])
+        parts = parts.tolist()
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(found[0], i, parts[i], parts[i + 1], found[1]) for i in range(n - 1) if (found := get((parts[i], parts[i + 1])))]
+        heap = [(r, i, parts[i], parts[i + 1]) for i, r in enumerate(first.tolist()) if r < _NO_RANK]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, made = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if parts[i] != a or j < 0 or parts[j] != b:
                 continue
-            parts[i], parts[j] = made, -1
+            parts[i], parts[j] = int(self.made[rank]), -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
-            for x in (before[i], i):
-                if x >= 0 and after[x] >= 0 and (found := get((parts[x], parts[after[x]]))):
-                    heapq.heappush(heap, (found[0], x, parts[x], parts[after[x]], found[1]))
-        return [p for p in parts if p >= 0]
+            near = [x for x in (before[i], i) if x >= 0 and after[x] >= 0]
+            found = self.rank(np.array([parts[x] for x in near]), np.array([parts[after[x]] for x in near])) if near else []
+            for x, r in zip(near, found):
+                if r < _NO_RANK:
+                    heapq.heappush(heap, (int(r), x, parts[x], parts[after[x]]))
+        return np.array([p for p in parts if p >= 0], np.int64)
 
 
 def _chunks(text: str) -> Iterator[str]:
@@ -190,11 +268,15 @@ class Coder:
         keys = [w.encode() for w in new]
         offsets, ids = self.sections.get("offsets"), self.sections.get("ids")
         numbers = lexicon.lookup(self.sections, keys) if offsets is not None else np.full(len(new), -1)
-        for word, key, number in zip(new, keys, numbers.tolist()):
+        unseen = [i for i, number in enumerate(numbers.tolist()) if number < 0]
+        merged = self.merge.many([keys[i] for i in unseen])
+        ends = np.cumsum([0, *map(len, merged)]) * 4
+        blob = np.concatenate([np.zeros(0, np.int64), *merged]).astype("<u4").tobytes()
+        for i, a, b in zip(unseen, ends.tolist(), ends[1:].tolist()):
+            self.cache[new[i]] = blob[a:b]
+        for word, number in zip(new, numbers.tolist()):
             if number >= 0:
                 self.cache[word] = ids[offsets[number]:offsets[number + 1]].tobytes()
-            else:
-                self.cache[word] = np.array(self.merge.ids(key), "<u4").tobytes()
 
     def _coded(self, words: list[str]) -> bytes:
         try:
@@ -258,8 +340,8 @@ def _coder(name: str) -> Coder:
 
 
 def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS) -> DataFrame:
-    """``(word, n)``: the ``most`` most frequent words of all texts, of up to
-    LONGEST bytes, ties by the word; counted over the whole corpus."""
+    """``(word, n)``: the most frequent words of all texts, at most ``most``, of up
+    to LONGEST bytes and more than one occurrence; counted over the whole corpus."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         library: dict = {}
@@ -278,8 +360,17 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORD
         yield flush()
 
     words = docs.select(F.col(text).alias("text")).mapInArrow(run, "word string, n long")
-    words = words.groupBy("word").agg(F.sum("n").alias("n")).filter(F.octet_length("word") <= LONGEST)
-    return words.orderBy(F.desc("n"), "word").limit(most)
+    words = words.groupBy("word").agg(F.sum("n").alias("n")).filter((F.octet_length("word") <= LONGEST) & (F.col("n") > 1))
+    words = written(words, "word-counts")
+    # the frequency from which on at most ``most`` words are left, by steps of a 16th of a doubling
+    step = F.floor(F.log2("n") * 16)
+    room, least = most, 0
+    for r in sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("k")).collect(), key=lambda r: -r.step):
+        room -= r.k
+        if room < 0:
+            least = r.step + 1
+            break
+    return words.filter(step >= least)
 
 
 def compile_lexicon(spark: SparkSession, vocabulary: str, words: list[str]) -> str:
@@ -288,10 +379,10 @@ def compile_lexicon(spark: SparkSession, vocabulary: str, words: list[str]) -> s
     vocab = Vocabulary(vocabulary)
     merge = Merger(vocab.inner, vocab.last, vocab.merges)
     keys = sorted({w.encode() for w in words if w})
-    ids = [merge.ids(k) for k in keys]
+    ids = merge.many(keys)
     offsets = np.cumsum([0, *map(len, ids)]).astype(np.uint32)
     sections = vocab.sections() | lexicon.minimal_automaton(keys) | {
-        "offsets": offsets, "ids": np.array([i for own in ids for i in own], "<u4")}
+        "offsets": offsets, "ids": np.concatenate([np.zeros(0, np.int64), *ids]).astype("<u4")}
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     spark.sparkContext.addFile(write_shared(spark, name, lexicon.pack(sections)))
     return name

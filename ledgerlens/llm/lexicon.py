@@ -110,7 +110,7 @@ def mapped(path: str) -> dict[str, np.ndarray]:
     """The sections of a packed file as views of one memory map."""
     with open(path, "rb") as f:
         head = f.readline()
-    whole = np.memmap(path, np.uint8, "r")
+    whole = np.asarray(np.memmap(path, np.uint8, "r"))      # a plain view of the map
     out = {}
     for name, (kind, at, n) in json.loads(head).items():
         kind = np.dtype(kind)
