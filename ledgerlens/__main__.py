@@ -46,7 +46,7 @@ def main(argv=None) -> int:
     src.add_argument("--tables", help="folder with the driver's parquet tables")
     ap.add_argument("--seed", type=int, default=42)
     ap.add_argument("--out", default=None)
-    ap.add_argument("--models", default="LogisticRegression,RandomForest,AnomalyDetector,XGBoost")
+    ap.add_argument("--models", default=None, help="comma-separated; all by default")
     ap.add_argument("--layout", choices=["infer", "payments", "fixture"], default="infer",
                     help="CSV schema: inferred, the payments-log layout, or the fixture layout")
     ap.add_argument("--schema-sample", type=float, default=1.0,
@@ -56,7 +56,7 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
-    from .plans.training import run_job
+    from .plans.training import ALL_MODELS, check_names, run_job
     from .plans.workbench import register_workbench, Workbench
     from .session import build_session
     from .sources import files
@@ -65,7 +65,7 @@ def main(argv=None) -> int:
     spark = build_session(args.master)
     if args.score_with:
         return score_only(spark, args)
-    names = tuple(n for n in args.models.split(",") if n)
+    names = ALL_MODELS if args.models is None else check_names([n for n in args.models.split(",") if n])
     if args.tables:
         source = args.tables
     else:

@@ -10,6 +10,7 @@ a built-in array expression (no Python UDF).
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,12 +51,14 @@ def fit_anomaly(train_features: DataFrame, k_pca: int = PCA_K, k: int = KMEANS_K
 
 
 def anomaly_predictions(model: PipelineModel, test_features: DataFrame,
-                        map_features: DataFrame | None = None, label: str = LABEL) -> DataFrame:
+                        map_features: DataFrame | None = None, label: str = LABEL, fallback: str = "first") -> DataFrame:
     """Score ``test_features``.  Clusters are mapped to classes with the labels
     of ``map_features`` (the training side by default; pass the test side to
-    reproduce the original leakage-prone mapping)."""
+    reproduce the original leakage-prone mapping).  ``fallback``: see
+    :func:`fallback_cluster`."""
     mapped_on = model.transform(map_features if map_features is not None else test_features)
-    fraud_cluster = pick_majority_group(group_rates(mapped_on, "prediction", label)).scalar()
+    rates = group_rates(mapped_on, "prediction", label)
+    fraud_cluster = pick_majority_group(rates, fallback=fallback_cluster(rates, fallback)).scalar()
     centres = [[float(v) for v in c] for c in model.stages[-1].clusterCenters()]
     centre_table = F.array(*[F.array(*[F.lit(v) for v in c]) for c in centres])
     pred = model.transform(test_features)
@@ -66,3 +69,27 @@ def anomaly_predictions(model: PipelineModel, test_features: DataFrame,
                         distance_score(vector_to_array(F.col("pcaFeatures")), F.col("fraud_centre")))
             .withColumn("prediction", remap_to_class("prediction", F.col("fraud_cluster")))
             .drop("fraud_centre"))
+
+
+def scoring_pipeline(features: PipelineModel, model: PipelineModel, map_features: DataFrame, label: str = LABEL,
+                     fallback: str = "first") -> PipelineModel:
+    """Features, PCA, clusters and their classes as one pipeline whose
+    ``prediction`` is the class; the fraud cluster is found on ``map_features``."""
+    rates = group_rates(model.transform(map_features), "prediction", label)
+    fraud = pick_majority_group(rates, "prediction", fallback=fallback_cluster(rates, fallback)).first().fraud_cluster
+    *before, clusters = model.stages
+    named = clusters.copy().setPredictionCol("cluster")
+    mapped = SQLTransformer(statement=f"SELECT *, CAST(cluster = {int(fraud)} AS DOUBLE) AS prediction FROM __THIS__")
+    return PipelineModel(stages=[*features.stages, *before, named, mapped])
+
+
+def fallback_cluster(rates: DataFrame, fallback: str = "first") -> int:
+    """The cluster taken for fraud where none reaches the majority rate:
+    ``first`` is cluster 0, as the original job has it, ``highest`` the one with
+    the highest rate (lowest id on ties)."""
+    if fallback == "first":
+        return 0
+    if fallback != "highest":
+        raise ValueError("fallback is first or highest")
+    found = rates.agg(F.max_by("prediction", F.struct("rate", (-F.col("prediction")).alias("n"))).alias("c")).first()
+    return int(found.c or 0)

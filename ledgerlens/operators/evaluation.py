@@ -58,31 +58,38 @@ def prf(conf: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 # --------------------------------------------------------------------- E3, E4
-MAX_BUCKETS = 1024
-
-
 def _default_buckets(spark: SparkSession) -> int:
-    """One score range per shuffle partition, at most ``MAX_BUCKETS``: the
-    range lookup scans the boundary array (O(B) per distinct score), and
-    1024 ranges already keep each window task to ~1e6 points per 1e9."""
-    return max(1, min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+    """One score range per shuffle partition."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def score_points(pred: DataFrame, score: Column | None = None, label: str = LABEL) -> DataFrame:
-    """One row per distinct score with its positive and negative counts."""
+    """One row per distinct score with its positive (label 1) and negative
+    (label 0) counts; rows with another label count nowhere, as in
+    :func:`confusion`.  Rows of either class without a score (NULL or NaN) are
+    counted in ``unscored`` on a row with a NULL score."""
     s = score if score is not None else score_of(pred.schema)
-    y = F.col(label)
-    return (pred.select(s.alias("s"), y.alias("y"))
-                .filter(F.col("s").isNotNull() & ~F.isnan("s") & F.col("y").isNotNull())
+    return (pred.select(s.alias("s"), F.col(label).alias("y"))
+                .filter(F.col("y").isin(0.0, 1.0))
+                .withColumn("s", F.when(~F.isnan("s"), F.col("s")))
                 .groupBy("s")
-                .agg(F.count_if(F.col("y") > 0.5).alias("pos"),
-                     F.count_if(F.col("y") <= 0.5).alias("neg")))
+                .agg(F.count_if((F.col("y") == 1.0) & F.col("s").isNotNull()).alias("pos"),
+                     F.count_if((F.col("y") == 0.0) & F.col("s").isNotNull()).alias("neg"),
+                     F.count_if(F.col("s").isNull()).alias("unscored")))
+
+
+def _range_of(score: str, bounds: Column, b: int) -> Column:
+    """Number of the sorted ``bounds`` below ``score``, in steps of halving size."""
+    steps = F.array(*[F.lit(1 << i) for i in range(max(1, b).bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) < F.col(score)), at + step).otherwise(at))
 
 
 def auc_exact(pred: DataFrame, score: Column | None = None, label: str = LABEL,
               buckets: int | None = None) -> DataFrame:
-    """One row (roc_auc, pr_auc, n_pos, n_neg); AUCs NULL for one-class or
-    empty input."""
+    """One row (roc_auc, pr_auc, n_pos, n_neg, n_unscored); AUCs NULL for
+    one-class or empty input.  They are taken over the scored rows;
+    ``n_unscored`` tells how many rows of either class had no score."""
     spark = pred.sparkSession
     b = buckets or _default_buckets(spark)
     pts = score_points(pred, score, label)
@@ -91,8 +98,7 @@ def auc_exact(pred: DataFrame, score: Column | None = None, label: str = LABEL,
         probs = [i / b for i in range(1, b)]
         bounds = pts.agg(F.percentile_approx("s", probs, 10000).alias("bounds")).scalar()
         # range id grows with the score: number of boundaries below it
-        rid = F.size(F.filter(F.col("bounds"), lambda x: x < F.col("s")))
-        pts = pts.withColumn("bounds", bounds).withColumn("rid", rid).drop("bounds")
+        pts = pts.withColumn("bounds", bounds).withColumn("rid", _range_of("s", F.col("bounds"), b)).drop("bounds")
     else:
         pts = pts.withColumn("rid", F.lit(0))
 
@@ -112,18 +118,19 @@ def auc_exact(pred: DataFrame, score: Column | None = None, label: str = LABEL,
     # unlike it, it infers no extra filter on the points side, which lets the
     # points exchange be reused by the totals branch instead of recomputed
     cum = (join_small(pts, offsets, "rid", "left", small_rows=b)
-              .select("pos", "neg",
+              .select("pos", "neg", "unscored",
                       (F.col("op") + F.sum("pos").over(inside)).alias("tp"),
                       (F.col("on") + F.sum("neg").over(inside)).alias("fp")))
 
     tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
     prev_tp, prev_fp = tp - pos, fp - neg
-    prec = tp / (tp + fp)
+    # the row of the unscored comes last and adds no counts; where nothing is scored there is nothing to divide by
+    prec = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0))
     prev_prec = F.when(prev_tp + prev_fp == 0, prec).otherwise(prev_tp / (prev_tp + prev_fp))
     sums = cum.agg(
         F.sum(neg * (F.lit(2.0) * tp - pos)).alias("roc_num"),
         F.sum(pos * (prec + prev_prec)).alias("pr_num"),
-        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
+        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum("unscored").alias("n_unscored"),
     )
     P, N = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
     valid = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
@@ -132,6 +139,7 @@ def auc_exact(pred: DataFrame, score: Column | None = None, label: str = LABEL,
         F.when(valid, F.col("pr_num") / (F.lit(2.0) * P)).alias("pr_auc"),
         F.coalesce(F.col("n_pos"), F.lit(0)).cast("long").alias("n_pos"),
         F.coalesce(F.col("n_neg"), F.lit(0)).cast("long").alias("n_neg"),
+        F.coalesce(F.col("n_unscored"), F.lit(0)).cast("long").alias("n_unscored"),
     )
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,14 @@ def with_balance_deltas(df: DataFrame) -> DataFrame:
               .withColumn("balanceMismatch", F.coalesce(mismatch, F.lit(False)).cast("double")))
 
 
+def balance_deltas_stage() -> SQLTransformer:
+    """:func:`with_balance_deltas` as a stage that is saved with a pipeline."""
+    origin, dest = "(oldbalanceOrg - newbalanceOrig)", "(newbalanceDest - oldbalanceDest)"
+    mismatch = f"abs({origin} - amount) > {BALANCE_TOLERANCE}D OR abs({dest} - amount) > {BALANCE_TOLERANCE}D"
+    return SQLTransformer(statement=f"SELECT *, {origin} AS deltaOrig, {dest} AS deltaDest, "
+                                    f"CAST(coalesce({mismatch}, false) AS DOUBLE) AS balanceMismatch FROM __THIS__")
+
+
 def class_weight_table(df: DataFrame, label: str = LABEL) -> DataFrame:
     """(label, weight) with weight = n / (2 * n_class), n over labels {0, 1}.
 

@@ -51,9 +51,11 @@ def boosted_trees(seed: int = DEFAULT_SEED, rounds: int = BOOST_ROUNDS,
                   max_depth: int = BOOST_MAX_DEPTH, step: float = BOOST_STEP,
                   features: str = "features", label: str = LABEL, engine: str = "gbt", **kw):
     """Gradient-boosted trees.  ``engine="gbt"`` (default) is Spark's
-    GBTClassifier; ``engine="xgboost"`` uses ``xgboost.spark`` when it is
-    installed (zeros treated as missing, as in the reference's settings)."""
-    if engine == "xgboost" and xgboost_available():
+    GBTClassifier; ``engine="xgboost"`` uses ``xgboost.spark`` (zeros treated as
+    missing, as in the reference's settings) and fails where it is not installed."""
+    if engine == "xgboost":
+        if not xgboost_available():
+            raise ModuleNotFoundError("engine xgboost needs the xgboost package")
         from xgboost.spark import SparkXGBClassifier
 
         return SparkXGBClassifier(features_col=features, label_col=label, missing=0.0,
@@ -63,11 +65,6 @@ def boosted_trees(seed: int = DEFAULT_SEED, rounds: int = BOOST_ROUNDS,
                          maxDepth=max_depth, stepSize=step, seed=seed, **kw)
 
 
-def boosted_name(engine: str = "gbt") -> str:
-    """Leaderboard name of the boosted model: what actually runs."""
-    return "XGBoost" if engine == "xgboost" and xgboost_available() else "GradientBoostedTrees"
-
-
 def kmeans(k: int = KMEANS_K, seed: int = DEFAULT_SEED, features: str = "pcaFeatures", **kw) -> KMeans:
     return KMeans(k=k, featuresCol=features, seed=seed, **kw)
 

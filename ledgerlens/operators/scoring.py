@@ -13,12 +13,19 @@ from ..functions.exprs import fixed4, label_text, over_threshold
 
 
 def scored_columns(pred: DataFrame, keep: Sequence[str] = ("txn_id",), digits: int | None = None) -> DataFrame:
-    """txn_id, probability (of fraud), prediction (int), label_text, probability_text."""
-    p = vector_to_array(F.col("probability"))[1]
-    if digits is not None:
-        p = F.round(p, digits)
-    return (pred.select(*keep, p.alias("probability"))
-                .withColumn("prediction", over_threshold("probability"))
+    """txn_id, probability (of fraud), prediction (int), label_text, probability_text.
+
+    The threshold applies to the probability as it is; ``digits`` rounds what
+    is shown.  A model without a probability (the cluster detector) keeps its
+    own prediction, and the probability is null.
+    """
+    if "probability" in pred.columns:
+        p = vector_to_array(F.col("probability"))[1]
+        decided = over_threshold(p)
+    else:
+        p, decided = F.lit(None).cast("double"), F.col("prediction").cast("int")
+    shown = p if digits is None else F.round(p, digits)
+    return (pred.select(*keep, shown.alias("probability"), decided.alias("prediction"))
                 .withColumn("label_text", label_text("prediction"))
                 .withColumn("probability_text", fixed4("probability")))
 

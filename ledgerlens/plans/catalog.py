@@ -30,7 +30,7 @@ from ..sources.schema import (
 )
 from ..streaming import scoring_stream
 from . import oracle as O
-from .training import fit_predict, fitted_model, scored_for_metrics
+from .training import BOOSTED, fit_predict, fitted_model, scored_for_metrics
 from .workbench import workbench
 
 
@@ -215,13 +215,13 @@ def proj_ordinal_encode(spark, sf_dir):
     return _wb(spark, sf_dir).txn.select("txn_id", "type", ordinal_encode("type").cast("double").alias("type_code"))
 
 
-_TYPE_RATE_CTE = "rate AS (SELECT type, round(avg(isFraud), 4) AS p FROM train GROUP BY type)"
+_TYPE_RATE_CTE = "rate AS (SELECT type, avg(isFraud) AS p FROM train GROUP BY type)"
 
 
 def _type_rate(train: DataFrame) -> DataFrame:
     """Empirical fraud probability per type on the training side (the closed
     form of the saturated one-hot model)."""
-    return train.groupBy("type").agg(F.round(F.avg(LABEL), 4).alias("p"))
+    return train.groupBy("type").agg(F.avg(LABEL).alias("p"))
 
 
 def _with_type_rate(wb) -> DataFrame:
@@ -229,26 +229,26 @@ def _with_type_rate(wb) -> DataFrame:
     (plus NULL); the fitted indexer's label list bounds that count, so the
     broadcast is checked -- beyond the bound the optimizer picks the join."""
     n_types = len(wb.feature_model().stages[0].labels) + 1
-    return join_small(wb.test, _type_rate(wb.train), "type", small_rows=n_types)
+    return join_small(wb.test, _type_rate(wb.train), "type", "left", small_rows=n_types)
 
 
 @query("proj_threshold", O.with_base(_TYPE_RATE_CTE,
-                                     "SELECT test.txn_id, rate.p AS probability, "
+                                     "SELECT test.txn_id, round(rate.p, 4) AS probability, "
                                      "CAST(rate.p > 0.5 AS INTEGER) AS prediction "
-                                     "FROM test JOIN rate ON test.type = rate.type"))
+                                     "FROM test LEFT JOIN rate ON test.type = rate.type"))
 def proj_threshold(spark, sf_dir):
     scored = _with_type_rate(_wb(spark, sf_dir))
-    return scored.select("txn_id", F.col("p").alias("probability"), over_threshold("p").alias("prediction"))
+    return scored.select("txn_id", F.round("p", 4).alias("probability"), over_threshold("p").alias("prediction"))
 
 
 @query("proj_label_text", O.with_base(_TYPE_RATE_CTE,
                                       "SELECT test.txn_id, CASE WHEN rate.p > 0.5 THEN 'FRAUD' ELSE 'NOT FRAUD' END "
-                                      "AS label_text, printf('%.4f', rate.p) AS probability_text "
-                                      "FROM test JOIN rate ON test.type = rate.type"))
+                                      "AS label_text, printf('%.4f', round(rate.p, 4)) AS probability_text "
+                                      "FROM test LEFT JOIN rate ON test.type = rate.type"))
 def proj_label_text(spark, sf_dir):
     scored = _with_type_rate(_wb(spark, sf_dir))
     return scored.select("txn_id", label_text(over_threshold("p")).alias("label_text"),
-                         fixed4("p").alias("probability_text"))
+                         fixed4(F.round("p", 4)).alias("probability_text"))
 
 
 @query("feat_balance_deltas", O.with_base(None, """SELECT txn_id, oldbalanceOrg - newbalanceOrig AS deltaOrig,
@@ -343,13 +343,14 @@ def set_except_distinct(spark, sf_dir):
   UNION ALL SELECT 'train', isFraud FROM train UNION ALL SELECT 'test', isFraud FROM test) s
 GROUP BY stage, isFraud"""))
 def agg_stage_counts(spark, sf_dir):
+    """Two passes: over the input, and over the balanced frame, of which train
+    and test are filters counted side by side."""
     wb = _wb(spark, sf_dir)
-    stages = [("input", wb.txn), ("balanced", wb.balanced), ("train", wb.train), ("test", wb.test)]
-    out = None
-    for name, df in stages:
-        c = df.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), LABEL, "n")
-        out = c if out is None else out.unionByName(c)
-    return out
+    parts = wb.balanced.withColumn("is_train", sampling.train_mask(seed=wb.seed)).groupBy(LABEL).agg(
+        F.count(F.lit(1)).alias("balanced"), F.count_if("is_train").alias("train"), F.count_if(~F.col("is_train")).alias("test"))
+    long = parts.unpivot([LABEL], ["balanced", "train", "test"], "stage", "n").filter("n > 0")
+    whole = wb.txn.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"))
+    return whole.select(F.lit("input").alias("stage"), LABEL, "n").unionByName(long.select("stage", LABEL, "n"))
 
 
 @query("agg_group_rate", O.with_base(None, "SELECT type, round(avg(isFraud), 6) AS rate FROM train GROUP BY type"))
@@ -786,7 +787,7 @@ def _rf_full(wb):
 
 
 def _gbt_full(wb):
-    return fitted_model(wb, models.boosted_name())
+    return fitted_model(wb, BOOSTED)
 
 
 def _anomaly_full(wb):
@@ -861,7 +862,7 @@ def leaderboard_predictions(wb) -> list[tuple[str, DataFrame]]:
         ("LogisticRegression", _lr_full(wb).transform(test)),
         ("RandomForest", _rf_full(wb).transform(test)),
         ("AnomalyDetector", anomaly.anomaly_predictions(_anomaly_full(wb), test, wb.train_features())),
-        (models.boosted_name(), _gbt_full(wb).transform(test)),
+        (BOOSTED, _gbt_full(wb).transform(test)),
     ]
 
 
@@ -875,11 +876,11 @@ def leaderboard(spark, sf_dir):
 
 # =================================================================== scoring
 def _saturated_scored_sql() -> str:
-    return O.with_base(_TYPE_RATE_CTE, """SELECT test.txn_id, rate.p AS probability,
+    return O.with_base(_TYPE_RATE_CTE, """SELECT test.txn_id, round(rate.p, 4) AS probability,
   CAST(rate.p > 0.5 AS INTEGER) AS prediction,
   CASE WHEN rate.p > 0.5 THEN 'FRAUD' ELSE 'NOT FRAUD' END AS label_text,
-  printf('%.4f', rate.p) AS probability_text
-FROM test JOIN rate ON test.type = rate.type""")
+  printf('%.4f', round(rate.p, 4)) AS probability_text
+FROM test LEFT JOIN rate ON test.type = rate.type""")
 
 
 @query("score_batch_linear", _saturated_scored_sql(), "CF")
@@ -974,14 +975,14 @@ def explain_top3_reasons_lr(spark, sf_dir):
     return reasons.select("txn_id", *[F.try_element_at("r", F.lit(k)).alias(f"reason_{k}") for k in (1, 2, 3)])
 
 
-@query("explain_next_action", O.with_base(_TYPE_RATE_CTE, """SELECT test.txn_id, rate.p AS probability,
+@query("explain_next_action", O.with_base(_TYPE_RATE_CTE, """SELECT test.txn_id, round(rate.p, 4) AS probability,
   CASE WHEN rate.p >= 0.9 THEN 'hold transaction' WHEN rate.p >= 0.7 THEN 'ask customer'
        WHEN rate.p > 0.5 THEN 'investigate account' ELSE 'no action' END AS next_action
-FROM test JOIN rate ON test.type = rate.type"""), "CF")
+FROM test LEFT JOIN rate ON test.type = rate.type"""), "CF")
 def explain_next_action(spark, sf_dir):
     wb = _wb(spark, sf_dir)
-    scored = scoring.score_batch(_saturated_lr(wb), wb.test, digits=4)
-    return scored.select("txn_id", "probability", explain.next_action("probability").alias("next_action"))
+    scored = scoring.score_batch(_saturated_lr(wb), wb.test)
+    return scored.select("txn_id", F.round("probability", 4).alias("probability"), explain.next_action("probability").alias("next_action"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

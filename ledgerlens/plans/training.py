@@ -7,7 +7,7 @@ load -> balance (hash coin) -> split (complementary filters) -> fit features
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +17,7 @@ from ..sources import files
 from ..sources.schema import LABEL
 from .workbench import Workbench, workbench
 
-BOOSTED = models.boosted_name()
+BOOSTED = "GradientBoostedTrees"
 ALL_MODELS = ("LogisticRegression", "RandomForest", "AnomalyDetector", BOOSTED)
 
 
@@ -38,16 +38,35 @@ REGISTRY = {
     "LinearWeighted": ("linear_weighted", lambda wb: linear_weighted_pipeline().fit(
         feat.with_class_weights(feat.with_balance_deltas(wb.train)))),
 }
-MODEL_KEYS = {name: key for name, (key, _) in REGISTRY.items()}
+if models.xgboost_available():
+    REGISTRY["XGBoost"] = ("xgboost", lambda wb: models.boosted_trees(seed=wb.seed, engine="xgboost").fit(wb.train_features()))
+
+
+def check_names(names) -> tuple[str, ...]:
+    """The names, each known to the registry; raises before anything is fitted."""
+    unknown = [n for n in names if n not in REGISTRY]
+    if unknown or not names:
+        raise ValueError(f"unknown models {unknown}; known: {sorted(REGISTRY)}")
+    return tuple(names)
 
 
 def fitted_model(wb: Workbench, name: str):
-    if name not in REGISTRY:
-        raise ValueError(f"unknown model {name}; known: {sorted(REGISTRY)}")
+    check_names([name])
     key, fit = REGISTRY[name]
     return wb.fitted(key, lambda: fit(wb))
 
 
+def artifact(wb: Workbench, name: str) -> PipelineModel:
+    """Everything that scoring new rows needs, as one pipeline: the features,
+    the model and, for the cluster detector, the class of its clusters."""
+    fitted = fitted_model(wb, name)
+    if name == "LinearWeighted":      # carries its own features but for the deltas
+        return PipelineModel(stages=[feat.balance_deltas_stage(), *fitted.stages])
+    if name == "AnomalyDetector":
+        return anomaly.scoring_pipeline(wb.feature_model(), fitted, wb.train_features())
+    return models.combine(wb.feature_model(), fitted)
+
+
 def fit_predict(wb: Workbench, name: str, map_on: str = "train") -> DataFrame:
     """Fit (once per workbench) and score the test side.  ``map_on="test"``
     maps anomaly clusters with test labels, as the original job did."""
@@ -80,21 +99,20 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, names=
     """Train every model, pick the best by F1 over all models, save the best
     features+model pipeline and the metrics JSON under ``out_dir`` (a folder
     in the shared ``spark.checkpoint.dir`` by default)."""
+    names = check_names(names)
     wb = workbench(spark, sf_dir, seed)
     wide = evaluate(spark, sf_dir, names, seed).persist()
     best = ev.select_best(wide).first()
     out = out_dir or files.scratch_dir(spark, "job")
     best_name = best["best_model"] if best else None
     if best_name:
-        fitted = fitted_model(wb, best_name)
-        # the wide linear model is already a features+model pipeline
-        artifact = fitted if best_name == "LinearWeighted" else models.combine(wb.feature_model(), fitted)
-        models.save_model(artifact, f"{out}/best_model")
+        models.save_model(artifact(wb, best_name), f"{out}/best_model")
     long = ev.to_long(wide.drop("position"))
     files.write_metrics_json(long, f"{out}/metrics")
     files.write_results_json(long, ev.select_best(wide), f"{out}/results")
     rows = wide.orderBy("position").collect()    # one row per model
     wide.unpersist()
+    wb.close()
     return {"best_model": best_name, "out_dir": out,
             "all_metrics": {r["model"]: {k: r[k] for k in r.asDict() if k not in ("model", "position")}
                             for r in rows}}

@@ -1,14 +1,12 @@
 """Derived frames and fitted models shared by the plans of one session.
 
-``balanced`` is hash-partitioned on ``txn_id`` into one partition per core
-(``defaultParallelism``; fewer for small frames) so model fits use the whole
-cluster.
-
-``balanced`` is written as a parquet table in the shared
-``spark.checkpoint.dir`` and read back: model fits iterate over its
-descendants many times, and a lost executor must not send them back through
-the scan and the four-table join.  The hash coin makes any recomputation identical anyway.
-Feature frames are persisted MEMORY_AND_DISK and released by ``close()``.
+``balanced`` is made on first use, written as a parquet table in the shared
+``spark.checkpoint.dir`` and read back: model fits iterate over its descendants
+many times, and a lost executor must not send them back through the scan and
+the four-table join.  It is then dealt by ``txn_id`` into TRAIN_PARTITIONS
+partitions and sorted inside each, so what the fits see depends neither on the
+number of rows nor on the cores nor on the layout of the input.  Feature frames
+are persisted MEMORY_AND_DISK and released by ``close()``.
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators import sampling
@@ -27,46 +26,50 @@ from ..sources import files
 from ..sources.schema import DEFAULT_SEED
 from ..sources.tables import txn_frame
 
-ROWS_PER_PARTITION = 16384        # below this per task, scheduling overhead dominates
-MAX_ROWS_PER_PARTITION = 1_000_000   # ~100-200 MB of features per task
+#: Partitions of the training frame: a documented constant (and a parameter of
+#: the workbench), since seeded bagging and initialisation read the layout.
+TRAIN_PARTITIONS = 16
 
 
 class Workbench:
     def __init__(self, spark: SparkSession, sf_dir: str | None, seed: int = DEFAULT_SEED,
-                 checkpoint: bool = True, txn: DataFrame | None = None):
+                 checkpoint: bool = True, txn: DataFrame | None = None,
+                 train_partitions: int = TRAIN_PARTITIONS):
         """Either ``sf_dir`` (the driver's tables, through the ``txn``
         fixture) or ``txn`` (any labelled transaction frame with a unique or
         content key ``txn_id``)."""
         self.spark, self.sf_dir, self.seed = spark, sf_dir, seed
         shared_dir(spark)
         self.txn = txn if txn is not None else txn_frame(spark, sf_dir)
-        balanced = sampling.balance(self.txn, seed=seed)
-        if checkpoint:
-            # lineage cut: a parquet table in the shared folder (columnar,
-            # compressed, column-pruned re-reads, real statistics for the
-            # optimizer) -- a lost executor never sends fits back to the input
-            path = files.scratch_dir(spark, "balanced")
-            balanced.write.parquet(path)
-            balanced = spark.read.parquet(path)
-        # Iterative fits parallelise over the partitions of this frame; a
-        # filtered scan leaves either very few (one file -> one partition) or
-        # very many nearly empty ones.  Hash-partition on the unique id (no hot
-        # key, deterministic on recompute) into one partition per core, fewer
-        # when the frame is small (per-task overhead dominates tiny tasks).
+        self.checkpoint, self.train_partitions = checkpoint, train_partitions
         self._memo: dict = {}
         self._persisted: list[DataFrame] = []
-        self.balanced = self.persist(balanced.repartition(self.partitions(balanced), "txn_id"))
-        self.train, self.test = sampling.split_train_test(self.balanced, seed=seed)
         self._lock = threading.RLock()
 
-    def partitions(self, balanced: DataFrame) -> int:
-        """One partition per core; fewer when small (tasks of at least
-        ``ROWS_PER_PARTITION`` rows), more when huge (tasks of at most
-        ``MAX_ROWS_PER_PARTITION`` rows, run in several waves)."""
-        cores = max(1, int(self.spark.sparkContext.defaultParallelism))
-        rows = balanced.count()          # reads the written table, not the input
-        n = min(cores, -(-rows // ROWS_PER_PARTITION))
-        return max(1, n, -(-rows // MAX_ROWS_PER_PARTITION))
+    @property
+    def balanced(self) -> DataFrame:
+        return self.memo("balanced", self._balanced)
+
+    def _balanced(self) -> DataFrame:
+        balanced = sampling.balance(self.txn, seed=self.seed)
+        if self.checkpoint:
+            path = files.scratch_dir(self.spark, "balanced")
+            balanced.write.parquet(path)
+            balanced = self.spark.read.parquet(path)
+        order = [F.col(c) for c in ("txn_id", "type", "amount") if c in balanced.columns]
+        dealt = balanced.repartition(self.train_partitions, "txn_id").sortWithinPartitions(*order)
+        return self.persist(dealt)
+
+    @property
+    def train(self) -> DataFrame:
+        return self._split()[0]
+
+    @property
+    def test(self) -> DataFrame:
+        return self._split()[1]
+
+    def _split(self) -> tuple[DataFrame, DataFrame]:
+        return self.memo("split", lambda: sampling.split_train_test(self.balanced, seed=self.seed))
 
     def memo(self, key, build: Callable):
         with self._lock:

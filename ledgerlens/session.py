@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,15 +41,15 @@ _LOCAL_FALLBACK: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
-
-    Read from the session; only when it is unset (local tests) a folder is
-    made here.  The SparkContext checkpoint directory is pointed at it so
-    ``DataFrame.checkpoint()`` writes to shared storage.
+    """The cluster's shared folder: ``spark.checkpoint.dir``, else the folder set
+    on the context.  Only a local master gets one made here; on a cluster a
+    folder of the driver's machine would not be seen by the executors.
     """
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[[^\]]*\])?$", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = _LOCAL_FALLBACK.get(sc.applicationId)
         if path is None:
             path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")

@@ -16,8 +16,6 @@ TYPE_ORDINALS = {"PAYMENT": 0, "TRANSFER": 1, "CASH_OUT": 2, "DEBIT": 3}
 FRAUD_TEXT = "FRAUD"
 NOT_FRAUD_TEXT = "NOT FRAUD"
 METRIC_NAMES = ["Accuracy", "Precision", "Recall", "F1", "ROC-AUC", "PR-AUC"]
-MODEL_NAMES = ["LogisticRegression", "RandomForest", "AnomalyDetector", "XGBoost"]
-BOOSTED_SPARK_NAME = "GradientBoostedTrees"    # Spark GBT standing in for XGBoost
 DEFAULT_SEED = 42
 MAJORITY_PER_MINORITY = 3.0          # majority kept at 3:1 against the positives
 SPLIT_FRACTIONS = {0.0: 0.8, 1.0: 0.8}

@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ledgerlens.plans import catalog
 from conftest import SF_SMALL
 
 TABLES = ["customer", "supplier", "orders", "lineitem"]
@@ -45,21 +46,22 @@ def con():
 
 
 def test_every_oracle_names_a_query():
+    assert set(catalog.oracle_sql()) <= set(catalog.queries()) <= set(E.queries())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
-    want = con.execute(E.oracle_sql()[name]).df()
+    got = catalog.queries()[name](spark, SF).toPandas()
+    want = con.execute(catalog.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert _rows(got) == _rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = catalog.queries()[name](spark, SF)
     assert df.count() > 0
 
 

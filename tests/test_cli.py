@@ -66,3 +66,43 @@ def test_payments_layout_reads_without_inference(spark, tmp_path):
     assert dict(df.dtypes)["nameDest"] == "string"
     sampled = files.read_labelled_csv(spark, p, sampling_ratio=0.5)
     assert sampled.count() == 1500
+
+
+def test_default_command_line_and_every_artifact_scores(spark, tmp_path, capsys):
+    import pytest
+
+    from ledgerlens.__main__ import main
+    from ledgerlens.operators import models, scoring
+    from ledgerlens.plans import training
+    from ledgerlens.plans.workbench import Workbench
+
+    p = str(tmp_path / "tx")
+    _write_csv(spark, p)
+    assert main(["--input", p, "--out", str(tmp_path / "out")]) == 0
+    out = json.loads(capsys.readouterr().out)
+    assert tuple(out["all_metrics"]) == training.ALL_MODELS
+    with pytest.raises(ValueError, match="unknown models"):
+        main(["--input", p, "--models", "LogisticRegression,Nonsense"])
+    df = files.read_labelled_csv(spark, p)
+    wb = Workbench(spark, None, txn=df)
+    for name in training.REGISTRY:
+        made = training.artifact(wb, name)
+        path = str(tmp_path / name)
+        models.save_model(made, path)
+        a = scoring.score_batch(made, df).select("txn_id", "probability", "prediction")
+        b = scoring.score_batch(models.load_model(path), df).select("txn_id", "probability", "prediction")
+        assert a.count() == 1500 and a.exceptAll(b).count() == 0
+        own = {r.txn_id: int(r.prediction) for r in training.fit_predict(wb, name).select("txn_id", "prediction").collect()}
+        saved = {r.txn_id: r.prediction for r in b.collect()}
+        assert all(saved[k] == v for k, v in own.items()), name
+    wb.close()
+
+
+def test_threshold_is_on_the_raw_probability(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from ledgerlens.operators import scoring
+
+    df = spark.createDataFrame([(1, Vectors.dense(0.49997, 0.50003)), (2, Vectors.dense(0.5, 0.5))], ["txn_id", "probability"])
+    got = {r.txn_id: (r.probability, r.prediction) for r in scoring.scored_columns(df, digits=4).collect()}
+    assert got == {1: (0.5, 1), 2: (0.5, 0)}

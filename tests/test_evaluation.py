@@ -125,3 +125,13 @@ def test_summary_lines_show_missing_auc_as_none(spark):
     assert [r.line for r in rows] == ["m:", "  Accuracy: 1.000000000", "  Precision: 1.000000000",
                                       "  Recall: 1.000000000", "  F1: 1.000000000", "  ROC-AUC: None",
                                       "  PR-AUC: None"]
+
+
+def test_unscored_rows_are_counted_and_one_label_rule_holds(spark):
+    rows = [(1.0, 0.9), (0.0, 0.2), (1.0, None), (0.0, float("nan")), (2.0, 0.1), (None, 0.5)]
+    df = spark.createDataFrame(rows, "isFraud double, rawPrediction double")
+    for buckets in (1, 4):
+        r = ev.auc_exact(df, buckets=buckets).first()
+        assert (r.roc_auc, r.n_pos, r.n_neg, r.n_unscored) == (1.0, 1, 1, 2)
+    none = ev.auc_exact(df.filter("rawPrediction is null")).first()
+    assert (none.roc_auc, none.n_unscored) == (None, 1)

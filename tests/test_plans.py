@@ -10,15 +10,15 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from ledgerlens.plans import catalog
 from conftest import SF_SMALL
 
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_plan_audit(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.queries()[name](spark, SF_SMALL)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in FORBIDDEN:

@@ -119,18 +119,14 @@ def test_other_seed_gives_other_valid_split(wb):
     assert abs(len(b) / 4158 - 0.8) < 0.03
 
 
-def test_partition_sizing_rule(wb, monkeypatch):
-    from ledgerlens.plans import workbench as W
+def test_training_frame_has_a_fixed_layout(spark, wb):
+    from ledgerlens.plans.workbench import TRAIN_PARTITIONS, Workbench
 
-    class Fake:
-        def __init__(self, n):
-            self.n = n
+    def layout(w):
+        rows = w.balanced.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"), "txn_id")
+        return [(r.p, r.txn_id) for r in rows.orderBy("i").collect()]
 
-        def count(self):
-            return self.n
-
-    cores = wb.spark.sparkContext.defaultParallelism
-    assert wb.partitions(Fake(10)) == 1
-    assert wb.partitions(Fake(W.ROWS_PER_PARTITION * 2 + 1)) == min(cores, 3)
-    huge = W.MAX_ROWS_PER_PARTITION * (cores + 5)
-    assert wb.partitions(Fake(huge)) == cores + 5
+    assert wb.balanced.rdd.getNumPartitions() == TRAIN_PARTITIONS
+    other = Workbench(spark, None, wb.seed, txn=wb.txn.repartition(5, "amount"))
+    assert layout(other) == layout(wb)
+    other.close()
