@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import fixed4, label_text, over_threshold
@@ -30,6 +31,23 @@ def scored_columns(pred: DataFrame, keep: Sequence[str] = ("txn_id",), digits: i
                 .withColumn("probability_text", fixed4("probability")))
 
 
+def scorable(model: PipelineModel, columns: Sequence[str]) -> Column:
+    """Whether a row has what the fitted pipeline needs: a known category where an
+    indexer stops on others, and numbers where an assembler stops on missing ones.
+    ``columns`` are those of the rows (a pipeline's own columns are not tested)."""
+    ok = F.lit(True)
+    for stage in model.stages:
+        if isinstance(stage, PipelineModel):
+            ok = ok & scorable(stage, columns)
+        elif isinstance(stage, StringIndexerModel) and stage.getHandleInvalid() == "error":
+            ok = ok & F.coalesce(F.col(stage.getInputCol()).isin(list(stage.labels)), F.lit(False))
+        elif isinstance(stage, VectorAssembler) and stage.getHandleInvalid() == "error":
+            for c in stage.getInputCols():
+                if c in columns:
+                    ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return ok
+
+
 def score_batch(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("txn_id",),
                 digits: int | None = None) -> DataFrame:
     return scored_columns(model.transform(df), keep, digits)

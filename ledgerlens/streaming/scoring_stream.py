@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.scoring import scored_columns
+from ..operators.scoring import scorable, scored_columns
 
 
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
@@ -28,11 +28,25 @@ def scored_stream(spark: SparkSession, model: PipelineModel, source_dir: str,
                   max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Bounded micro-batches: a backlog is drained in batches of at most
     ``max_files_per_trigger`` files, each committed to the checkpoint, so a
-    failure replays one batch, not the whole backlog."""
+    failure replays one batch, not the whole backlog.  Rows that the pipeline
+    can't score (an unseen category, a missing number) are left to
+    :func:`rejected_stream`; one of them never stops the stream."""
+    rows = _arrivals(spark, source_dir, schema, max_files_per_trigger)
+    return scored_columns(model.transform(rows.filter(scorable(model, rows.columns))), keep, digits)
+
+
+def rejected_stream(spark: SparkSession, model: PipelineModel, source_dir: str, schema: T.StructType,
+                    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """The rows that :func:`scored_stream` leaves out, as they came."""
+    rows = _arrivals(spark, source_dir, schema, max_files_per_trigger)
+    return rows.filter(~scorable(model, rows.columns))
+
+
+def _arrivals(spark: SparkSession, source_dir: str, schema: T.StructType, max_files_per_trigger: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return scored_columns(model.transform(reader.parquet(source_dir)), keep, digits)
+    return reader.parquet(source_dir)
 
 
 def drain_to_sink(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
@@ -53,9 +67,12 @@ def drain_to_sink(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
 
 def score_stream(spark: SparkSession, model: PipelineModel, source_dir: str, sink_dir: str,
                  checkpoint_dir: str, schema: T.StructType, keep: Sequence[str] = ("txn_id",),
-                 digits: int | None = None) -> DataFrame:
+                 digits: int | None = None, rejected_dir: str | None = None) -> DataFrame:
     """Drain ``source_dir`` through the model into ``sink_dir``; return the
-    sink read back as a batch DataFrame."""
+    sink read back as a batch DataFrame.  With ``rejected_dir`` the rows that
+    can't be scored are drained there, under a checkpoint of their own."""
     stream = scored_stream(spark, model, source_dir, schema, keep, digits)
     drain_to_sink(stream, sink_dir, checkpoint_dir)
+    if rejected_dir:
+        drain_to_sink(rejected_stream(spark, model, source_dir, schema), rejected_dir, f"{checkpoint_dir}-rejected")
     return spark.read.parquet(sink_dir)

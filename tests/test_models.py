@@ -169,3 +169,15 @@ def test_text_formatting_keeps_null(spark):
     assert df.select(fixed4("amount").alias("t")).first().t is None
     det = df.select(explain.transaction_details(["type", "amount"]).alias("d")).first().d
     assert det == "{type: PAYMENT, amount: null, predicted_label: 1}"
+
+
+def test_bad_rows_do_not_stop_the_stream(spark, wb):
+    model = catalog._saturated_lr(wb)
+    base = files.scratch_dir(spark, "test-stream-bad")
+    cols = ["txn_id", "type", "amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
+    good = wb.test.select(*cols)
+    bad = spark.createDataFrame([(-1, "BARTER", 1.0, 1.0, 1.0, 1.0, 1.0), (-2, None, 1.0, 1.0, 1.0, 1.0, 1.0)], good.schema)
+    good.unionByName(bad).write.parquet(f"{base}/in")
+    out = scoring_stream.score_stream(spark, model, f"{base}/in", f"{base}/out", f"{base}/ck", good.schema, rejected_dir=f"{base}/bad")
+    assert out.count() == good.count()
+    assert {r.txn_id for r in spark.read.parquet(f"{base}/bad").collect()} == {-1, -2}
