@@ -26,6 +26,12 @@ PROMPT_STEP2 = "2) List up to 3 attributes that look suspicious (amount, balance
 PROMPT_STEP3 = ("3) Suggest one short next action (e.g., hold transaction, ask customer, "
                 "investigate account).\n\n")
 PROMPT_TAIL = "Keep the answer short (max 120 words). Use clear bullet points or numbered lines."
+REQUEST_HEAD = "A transaction is being checked for fraud.\n\nTransaction details:\n"
+REQUEST_FIELDS = [("- Type: ", "type"), ("- Amount: ", "amount"), ("- Old Balance: ", "oldbalanceOrg"),
+                  ("- New Balance: ", "newbalanceOrig")]
+REQUEST_PREDICTED = "\nThe model predicted: "
+REQUEST_PROBABILITY = "\nProbability: "
+REQUEST_TAIL = "\n\nExplain in simple words why the model might classify it this way."
 # ---------------------------------------------------------------------------
 
 # Next-action bands over the fraud probability (our definition): lower bound, action.
@@ -54,6 +60,16 @@ def prompt_text(pred_col: str = "prediction", fields: Sequence[str] = DETAIL_FIE
         F.lit(PROMPT_TAIL))
 
 
+def request_text(pred_col: str = "prediction", probability: str = "probability") -> Column:
+    """The short text of a single request, with the probability (4 decimals)."""
+    parts = [F.lit(REQUEST_HEAD)]
+    for label, name in REQUEST_FIELDS:
+        value = F.col(name) if name == "type" else fixed(F.col(name), 4)
+        parts += [F.lit(label), F.coalesce(value, F.lit("null")), F.lit("\n")]
+    return F.concat(*parts, F.lit(REQUEST_PREDICTED), label_text(pred_col), F.lit(REQUEST_PROBABILITY),
+                    F.coalesce(fixed(F.col(probability), 4), F.lit("null")), F.lit(REQUEST_TAIL))
+
+
 def with_prompt(df: DataFrame, pred_col: str = "prediction", only_flagged: bool = True) -> DataFrame:
     out = df.filter(F.col(pred_col) == 1) if only_flagged else df
     return out.withColumn("prompt", prompt_text(pred_col))

@@ -921,6 +921,26 @@ def explain_prompt_text(spark, sf_dir):
     return explain.with_prompt(scored).select("txn_id", "prompt")
 
 
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+_REQUEST_SQL = (
+    f"SELECT test.txn_id, {_sql_text(explain.REQUEST_HEAD)} || " + " || ".join(
+        f"{_sql_text(label)} || coalesce(" + ("test.type" if c == "type" else f"printf('%.4f', {c})") + ", 'null') || chr(10)"
+        for label, c in explain.REQUEST_FIELDS)
+    + f" || {_sql_text(explain.REQUEST_PREDICTED)} || CASE WHEN rate.p > 0.5 THEN 'FRAUD' ELSE 'NOT FRAUD' END"
+    + f" || {_sql_text(explain.REQUEST_PROBABILITY)} || coalesce(printf('%.4f', round(rate.p, 4)), 'null')"
+    + f" || {_sql_text(explain.REQUEST_TAIL)} AS request FROM test LEFT JOIN rate ON test.type = rate.type")
+
+
+@query("explain_request_text", O.with_base(_TYPE_RATE_CTE, _REQUEST_SQL))
+def explain_request_text(spark, sf_dir):
+    """The short explanation request of every test transaction, with its probability."""
+    scored = _with_type_rate(_wb(spark, sf_dir)).withColumn("prediction", over_threshold("p")).withColumn("p", F.round("p", 4))
+    return scored.select("txn_id", explain.request_text("prediction", "p").alias("request"))
+
+
 _REASON_SQL = (
     "ctr AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in NUMERIC_FEATURES) + " FROM train WHERE isFraud = 0.0),\n"
     "sdv AS (SELECT " + ", ".join(f"stddev_samp({c}) AS d_{c}" for c in NUMERIC_FEATURES) + " FROM train),\n"
