@@ -28,11 +28,11 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 from . import lexicon
 from .common import utf8_values, with_value, write_shared, written
 
-LEXICON_WORDS = 60_000
+LEXICON_WORDS = 200_000
 LONGEST = 40
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 CHUNK = 1 << 20
-GATHER = 400_000
+GATHER = 200_000
 SIDE_BY_SIDE, ROUND_WORDS = 40, 4096
 _NO_RANK = 1 << 40
 #: Fixed pattern of the vocabulary's pre-tokenisation (after lower-casing); no
