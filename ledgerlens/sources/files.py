@@ -50,14 +50,30 @@ def read_txn_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFra
 REQUIRED_COLUMNS = [TYPE] + NUMERIC_FEATURES + [LABEL]
 
 
+COPIES_PER_CHUNK = 10_000
+
+
 def with_row_key(df: DataFrame, key: str = "txn_id") -> DataFrame:
-    """Add a content key when the input has no unique id: ``xxhash64`` over
-    every column.  Deterministic and independent of partitioning; exact
-    duplicate rows share a key (and therefore the same coin), which agrees
-    with EXCEPT DISTINCT semantics."""
+    """Add a key when the input has no id: ``xxhash64`` over every column and the
+    number of the copy.
+
+    Equal rows are counted first (combined in the tasks, so a row repeated very
+    often is one row per task) and then made again with their numbers, in chunks
+    that are dealt out anew; every copy has a key, a coin and a place of its
+    own.  Keys do not depend on the partitioning.  A given whole-number id is
+    kept, and a null one replaced by the hash of the row."""
+    names = [F.col(f"`{c}`") for c in df.columns]
     if key in df.columns:
-        return df
-    return df.withColumn(key, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        if df.schema[key].dataType.typeName() not in ("long", "integer"):
+            return df
+        return df.withColumn(key, F.coalesce(F.col(key).cast("long"), F.xxhash64(*names)))
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
+    chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / COPIES_PER_CHUNK))))
+    dealt = chunks.withColumn("_deal", F.xxhash64(*names, "_chunk")).repartition("_deal")
+    first = F.col("_chunk") * COPIES_PER_CHUNK
+    last = F.least(first + COPIES_PER_CHUNK, F.col("_copies")) - 1
+    copies = dealt.withColumn("_copy", F.explode(F.sequence(first, last)))
+    return copies.select(*names, F.xxhash64(*names, "_copy").alias(key))
 
 
 def read_labelled_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,

@@ -72,3 +72,21 @@ def test_flat_metrics_json_keeps_explicit_null(spark, tmp_path):
     assert '"metric":"ROC-AUC","value":null' in text
     back = {(r.metric, r.value) for r in files.read_metrics_json(spark, path).collect()}
     assert ("ROC-AUC", None) in back and ("F1", 1.0) in back
+
+
+def test_equal_rows_get_keys_and_places_of_their_own(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.sources import files
+
+    rows = [("PAYMENT", 1.0)] * 3000 + [("DEBIT", float(i)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "type string, amount double")
+    keyed = files.with_row_key(df)
+    assert keyed.columns == ["type", "amount", "txn_id"]
+    assert keyed.count() == 4500 == keyed.select("txn_id").distinct().count()
+    sizes = [r["count"] for r in keyed.repartition(8, "txn_id").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 2 * 4500 / 8
+    a = {r.txn_id for r in keyed.collect()}
+    assert a == {r.txn_id for r in files.with_row_key(df.repartition(5)).collect()}
+    given = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "txn_id long, type string")
+    assert files.with_row_key(given).select("txn_id").distinct().count() == 3
