@@ -4,15 +4,17 @@ Reading plans byte ranges of files (the writer's manifest lists record starts;
 archives without one are read a file a task), takes filters on the record type
 and the header columns, parses a record's headers first, and passes over the
 payload of a record that the filters or the ``payload=false`` option rule out.
-Writing goes task by task into files of their own; only a committed job's
-manifest makes them visible to the reader.
+Writing goes task by task into files of their own, a gzip member a record; only
+a committed job's manifest makes them visible to the reader.
 """
 
 from __future__ import annotations
 
 import io
 import json
+import struct
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -31,6 +33,7 @@ HEADERS = ("record_id", "record_type", "target_uri", "date", "payload_digest", "
 DATE = "2000-01-01T00:00:00Z"
 SPLIT_BYTES = 32 << 20
 FILE_BYTES = 512 << 20
+GZIP_LEVEL, HEAD_BYTES = 1, 1 << 11
 BATCH_ROWS, BATCH_BYTES = 500, 16 << 20
 #: Fixed by the WARC 1.1 standard.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -77,9 +80,9 @@ class WarcWriter(DataSourceArrowWriter):
             for batch in iterator:
                 for row in batch.to_pylist():
                     if out is None:
-                        name = f"part-{uuid.uuid4().hex}.warc"
-                        out, at, starts = fs.open_output_stream(f"{root}/{name}"), 0, [0]
-                    data = record_bytes(row)
+                        name = f"part-{uuid.uuid4().hex}.warc.gz"
+                        out, at, starts = fs.open_output_stream(f"{root}/{name}", compression=None), 0, [0]
+                    data = gzip_member(record_bytes(row))
                     if at - starts[-1] >= SPLIT_BYTES:
                         starts.append(at)
                     out.write(data)
@@ -136,7 +139,7 @@ class WarcReader(DataSourceReader):
             with fs.open_input_stream(f"{root}/{name}") as f:
                 listed += json.loads(f.read())
         if not manifests:
-            listed = [[n, f.size, [0]] for n, f in sorted(found.items()) if n.endswith(".warc")]
+            listed = [[n, f.size, [0]] for n, f in sorted(found.items()) if n.endswith((".warc", ".warc.gz"))]
         return [Range(f"{root}/{name}", a, b) for name, size, starts in listed for a, b in zip(starts, [*starts[1:], size])]
 
     def read(self, partition: Range | None) -> Iterator[pa.RecordBatch]:
@@ -146,7 +149,8 @@ class WarcReader(DataSourceReader):
         fs, _ = _file_system(self.path)
         rows, held = [], 0
         with fs.open_input_file(partition.file) as raw:
-            for row in records(io.BufferedReader(raw, 1 << 20), partition.start, partition.stop, tests, self.payload):
+            read = gzip_records if partition.file.endswith(".gz") else records
+            for row in read(io.BufferedReader(raw, 1 << 20), partition.start, partition.stop, tests, self.payload):
                 rows.append(row)
                 held += len(row["payload"] or b"")
                 if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
@@ -161,47 +165,123 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
                                       [*HEADERS, "payload"])
 
 
+_FIELDS = {"warc-record-id": "record_id", "warc-type": "record_type", "warc-target-uri": "target_uri", "warc-date": "date",
+           "warc-payload-digest": "payload_digest", "x-payload-length": "payload_length", "warc-refers-to": "refers_to"}
+
+
+def _parsed(lines: list[bytes]) -> tuple[dict, int, bool]:
+    """Header columns, block length, and whether the block is an HTTP response."""
+    row, length, http = dict.fromkeys(HEADERS), 0, False
+    for line in lines:
+        key, _, value = line.decode("utf-8", "replace").partition(":")
+        key, value = key.strip().lower(), value.strip()
+        if key in _FIELDS:
+            row[_FIELDS[key]] = value
+        elif key == "content-length":
+            length = int(value)
+        elif key == "content-type":
+            http = value.startswith("application/http")
+    row["content_length"] = length
+    row["payload_length"] = int(row["payload_length"]) if row["payload_length"] is not None else None
+    row["payload"] = None
+    return row, length, http
+
+
+def _payload(body: bytes, http: bool) -> bytes:
+    return body.partition(b"\r\n\r\n")[2] if http else body
+
+
 def records(stream, start: int, stop: int, tests: list[Callable[[dict], bool]], payload: bool) -> Iterator[dict]:
-    """The records that begin in [start, stop); a payload is read only for a
-    record whose headers pass all tests."""
+    """The records that begin in [start, stop) of a plain file; a payload is read
+    only for a record whose headers pass all tests."""
     stream.seek(start)
     at = start
-    names = {"warc-record-id": "record_id", "warc-type": "record_type", "warc-target-uri": "target_uri", "warc-date": "date",
-             "warc-payload-digest": "payload_digest", "x-payload-length": "payload_length", "warc-refers-to": "refers_to"}
     while at < stop:
         line = stream.readline()
         if not line:
             return
+        at += len(line)
         if not line.strip():                      # between records
-            at += len(line)
             continue
         if not line.startswith(b"WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        row, length, http = dict.fromkeys(HEADERS), 0, False
-        at += len(line)
+            raise ValueError(f"no record at byte {at - len(line)}")
+        lines = []
         while (line := stream.readline()).strip():
+            lines.append(line)
             at += len(line)
-            key, _, value = line.decode("utf-8", "replace").partition(":")
-            key, value = key.strip().lower(), value.strip()
-            if key in names:
-                row[names[key]] = value
-            elif key == "content-length":
-                length = int(value)
-            elif key == "content-type":
-                http = value.startswith("application/http")
         at += len(line)
-        row["content_length"] = length
-        row["payload_length"] = int(row["payload_length"]) if row["payload_length"] is not None else None
-        row["payload"] = None
-        if payload and all(t(row) for t in tests):
-            body = stream.read(length)
-            row["payload"] = body.partition(b"\r\n\r\n")[2] if http else body
-            yield row
+        row, length, http = _parsed(lines)
+        wanted = all(t(row) for t in tests)
+        if payload and wanted:
+            row["payload"] = _payload(stream.read(length), http)
         else:
             stream.seek(length, io.SEEK_CUR)
-            if not payload and all(t(row) for t in tests):
-                yield row
         at += length
+        if wanted:
+            yield row
+
+
+def gzip_member(data: bytes) -> bytes:
+    """``data`` as one gzip member that tells its own length in the ``sl`` extra
+    field (compressed, uncompressed), so a reader can step over it."""
+    packer = zlib.compressobj(GZIP_LEVEL, zlib.DEFLATED, -15)
+    body = packer.compress(data) + packer.flush()
+    size = 10 + 2 + 12 + len(body) + 8
+    lengths = (size, len(data)) if max(size, len(data)) < 1 << 32 else (0, 0)
+    return (b"\x1f\x8b\x08\x04\0\0\0\0\x04\xff" + struct.pack("<H2sHII", 12, b"sl", 8, *lengths) + body
+            + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF))
+
+
+def _member_size(extra: bytes) -> int:
+    """The compressed length in an ``sl`` extra field, 0 if there is none."""
+    while len(extra) >= 4:
+        name, n = struct.unpack("<2sH", extra[:4])
+        if name == b"sl" and n == 8:
+            return struct.unpack("<I", extra[4:8])[0]
+        extra = extra[4 + n:]
+    return 0
+
+
+def gzip_records(stream, start: int, stop: int, tests: list[Callable[[dict], bool]], payload: bool) -> Iterator[dict]:
+    """The same for a file of gzip members, a record each.  Only a member's first
+    bytes are inflated to see its headers; the rest is stepped over if its
+    length is known and the payload unwanted."""
+    at = start
+    while at < stop:
+        stream.seek(at)
+        head = stream.read(10)
+        if len(head) < 10:
+            return
+        if head[:3] != b"\x1f\x8b\x08" or head[3] & ~4:
+            raise ValueError(f"no plain gzip member at byte {at}")
+        extra = stream.read(struct.unpack("<H", stream.read(2))[0]) if head[3] & 4 else b""
+        size, begun = _member_size(extra), 10 + (2 + len(extra) if head[3] & 4 else 0)
+        inflate, data, read = zlib.decompressobj(-15), b"", 0
+
+        def more() -> bool:
+            nonlocal data, read
+            chunk = stream.read(HEAD_BYTES)
+            read += len(chunk)
+            data += inflate.decompress(chunk)
+            return bool(chunk) and not inflate.eof
+
+        while b"\r\n\r\n" not in data and more():
+            pass
+        top, _, body = data.partition(b"\r\n\r\n")
+        row, length, http = _parsed(top.split(b"\r\n")[1:])
+        wanted = all(t(row) for t in tests)
+        if payload and wanted or not size:
+            parts = [body]
+            while not inflate.eof and (chunk := stream.read(1 << 16)):
+                read += len(chunk)
+                parts.append(inflate.decompress(chunk))
+            body = b"".join(parts)
+            if payload and wanted:
+                row["payload"] = _payload(body[:length], http)
+            size = size or begun + read - len(inflate.unused_data) + 8
+        at += size
+        if wanted:
+            yield row
 
 
 def header_test(f: Filter) -> Callable[[dict], bool] | None:

@@ -49,6 +49,22 @@ def test_filters_reach_the_reader_and_skip_payloads(spark):
     assert len(found) == 1 and stream.taken == [0]
 
 
+def test_gzip_members_are_stepped_over():
+    import gzip
+    import os
+    big = [{**r, "payload": os.urandom(200_000) if r["payload"] else None} for r in records()]
+    members = [warc.gzip_member(warc.record_bytes(r)) for r in big]
+    assert [gzip.decompress(m) for m in members] == [warc.record_bytes(r) for r in big]
+    stream = CountingStream(b"".join(members))
+    size = len(stream.data)
+    assert [r["record_type"] for r in warc.gzip_records(stream, 0, size, [lambda r: r["record_type"] == "revisit"], True)] == ["revisit"]
+    assert sum(n for n in stream.taken) < 20_000
+    both = list(warc.gzip_records(stream, 0, size, [], True))
+    assert both[0]["payload"] == big[0]["payload"] and both[1]["payload"] == b""
+    foreign = b"".join(gzip.compress(warc.record_bytes(r), mtime=0) for r in big)   # no length field
+    assert [r["payload"] for r in warc.gzip_records(io.BytesIO(foreign), 0, len(foreign), [], True)] == [b["payload"] for b in both]
+
+
 class CountingStream(io.BytesIO):
     def __init__(self, data):
         super().__init__(data)
@@ -86,7 +102,7 @@ def test_only_committed_files_are_read(spark, tmp_path):
     writer.commit([writer.write(iter([pa.RecordBatch.from_pylist(rows)]))])
     assert sum(1 for p in warc.WarcReader(str(tmp_path), True).partitions()) == 1
     writer.abort([lost])
-    assert len(list(tmp_path.glob("*.warc"))) == 1
+    assert len(list(tmp_path.glob("*.warc.gz"))) == 1
 
 
 def test_null_ids_and_empty_tables(spark):
