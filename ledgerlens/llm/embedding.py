@@ -127,7 +127,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 row, cell, value = tails(_unit(vectors.slice(at, m).to_pylist()))
                 ends = pa.array(np.searchsorted(row, np.arange(m + 1)).astype(np.int32))
                 all_cells = pa.ListArray.from_arrays(ends, pa.array(cell.astype(np.int32)))
-                all_values = pa.ListArray.from_arrays(ends, pa.array(value))
+                all_values = pa.ListArray.from_arrays(ends, pa.array(value.astype(np.float32)))
                 pick = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cell.astype(np.int64) + int(d) * 2 * DIRECTIONS), keys.slice(at, m).take(pick), copies.slice(at, m).take(pick),
@@ -145,7 +145,7 @@ def _group_links(group: pa.Table) -> pa.RecordBatch | None:
     row = np.repeat(np.arange(n), np.asarray(cells.value_lengths()))
     vectors = group.column("v").to_pylist()
     d = len(vectors[0])
-    a, b, count, first = collisions(row, np.asarray(cells.flatten()), np.asarray(values.flatten()), n)
+    a, b, count, first = collisions(row, np.asarray(cells.flatten()), np.asarray(values.flatten(), np.float64), n)
     side = np.asarray(group.column("block"))
     ok = (count >= needed_count(d)) & (first == cell - d * 2 * DIRECTIONS)
     if len(np.unique(side)) > 1:
@@ -203,7 +203,9 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector: str = "embedd
     and are components of their own.  Repeated rows count as rows; a null id
     never names a component.  Equal vectors are compared once, by their value.
     """
-    v = F.transform(F.col(vector).cast("array<double>"), lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
+    # vectors travel as they are stored; every product is taken in double precision
+    kind = "float" if table.schema[vector].dataType.simpleString() == "array<float>" else "double"
+    v = F.transform(F.col(vector).cast(f"array<{kind}>"), lambda x: F.when(x == 0, F.lit(0.0).cast(kind)).otherwise(x))
     usable = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
                         & F.exists("v", lambda x: x != 0), F.lit(False))
     rows = table.select(F.col(id_col).alias("id"), v.alias("v")).withColumn("usable", usable)
@@ -214,7 +216,7 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector: str = "embedd
 
     n = parts(table.sparkSession)
     entries = written(distinct.select("key", "copies", "v", "d").repartition(n).mapInArrow(
-        _entries, "cell long, key long, copies long, v array<double>, cells array<int>, vals array<double>"), "vector-tails")
+        _entries, f"cell long, key long, copies long, v array<{kind}>, cells array<int>, vals array<float>"), "vector-tails")
     sizes = entries.groupBy("cell").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int"))
     # at most 2 * DIRECTIONS rows for each length of vectors
     placed = entries.join(sizes.filter("n > 1").select("cell", "blocks"), "cell")
