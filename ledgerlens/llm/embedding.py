@@ -1,17 +1,17 @@
 """Near-duplicate vectors by collision-counting projections.
 
 Unit vectors are projected on many fixed Gaussian directions.  On each
-direction only the tails are kept (the outermost half percent of values for
+direction only the tails are kept (the outermost hundredth of the values for
 vectors of 64 components, either sign): close vectors share tails, unrelated
-ones hardly ever, so a direction's sorted tail is short.  Two vectors collide on a direction if both
-lie in its tail within the query-centred window; pairs that collide often
-enough are verified by their cosine in double precision.  The count that a pair
-must reach is calibrated: the largest at which pairs of exactly the limit
-cosine still reach the wanted recall.
+ones hardly ever, so a direction's sorted tail is short.  Vectors that share a
+tail are compared by their cosine in double precision.  How long the tails
+must be is calibrated vector by vector: links of one vector depend on its own
+tails and are lost together, so all but WORST of the vectors must keep the wanted
+recall of their links of exactly the limit cosine.
 
 Each vector travels once per tail, with the list of all its tails, so a task
-that holds one tail can count a pair's collisions on every direction and take
-the pair only if this tail is its first: no pair is shuffled, and none counted
+that holds one tail can see which tails a near pair shares and take the pair
+only if this tail is its first: no pair is shuffled, and none counted
 twice.  Tails beyond TILE vectors are cut into tiles of bounded size.  Links
 leave a task as counts per vector and as stars of local components.
 """
@@ -33,9 +33,10 @@ LIMIT = 0.9
 DIRECTIONS = 3072
 #: Shares of a direction's values that may form its tails; the first that reaches the recall is
 #: taken, with as many directions as give a vector as many tails as DIRECTIONS do at the first.
-TAIL_SHARES = (0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0)
-WINDOW = 1.25
+TAIL_SHARES = (0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0)
 RECALL = 0.97
+#: Share of the vectors that may fall short of RECALL of their links.
+WORST = 0.01
 TILE = 512
 SEED = 42
 
@@ -47,65 +48,67 @@ def directions(d: int, n: int = DIRECTIONS) -> np.ndarray:
     return (g / np.linalg.norm(g, axis=1, keepdims=True) * np.sqrt(d)).T
 
 
-def tails(unit: np.ndarray, n: int | None = None, least: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(row, cell, value)`` of all tail values, by row and cell, on the first
+def tails(unit: np.ndarray, n: int | None = None, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, cell)`` of all tail values, by row and cell, on the first
     ``n`` directions from value ``least`` on (by default as :func:`settings` has it)."""
     if n is None:
         n, least, _ = settings(unit.shape[1])
-    row, cell, value = [], [], []
+    row, cell = [], []
     for at in range(0, len(unit), 512):
         p = unit[at:at + 512] @ directions(unit.shape[1])[:, :n]
         r, c = np.nonzero(np.abs(p) >= least)
-        v = p[r, c]
         row.append(r + at)
-        cell.append(c * 2 + (v < 0))
-        value.append(np.abs(v))
-    return np.concatenate(row), np.concatenate(cell), np.concatenate(value)
-
-
-def collisions(row: np.ndarray, cell: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs ``(a, b, count, first cell)`` of rows within the window of each
-    other on at least one cell; every cell's values are sorted and each opens a
-    window over those after it."""
-    key = cell * 64.0 + value
-    order = np.argsort(key, kind="stable")
-    key, row, cell = key[order], row[order], cell[order]
-    many = np.searchsorted(key, key + WINDOW, "right") - np.arange(len(key)) - 1
-    i = np.repeat(np.arange(len(key)), many)
-    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
-    a, b = np.minimum(row[i], row[j]), np.maximum(row[i], row[j])
-    code, at, count = np.unique(a.astype(np.int64) * n + b, return_index=True, return_counts=True)
-    return code // n, code % n, count, cell[i][at]
+        cell.append(c * 2 + (p[r, c] < 0))
+    return np.concatenate(row), np.concatenate(cell)
+
+
+def shared(cells: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """A bit set of the cells of each row, from its sorted list of cells below ``n``."""
+    held = np.zeros((len(ends) - 1, max(1, -(-n // 64)) * 64), bool)
+    held[np.repeat(np.arange(len(ends) - 1), np.diff(ends)), cells] = True
+    return np.packbits(held, axis=1).view(np.uint64)
+
+
+def recalls(d: int, n: int, least: float, centres: int, links: int, limit: float = LIMIT) -> np.ndarray:
+    """How many tails each of ``links`` seeded random vectors of cosine ``limit``
+    shares with its centre, a row for each centre."""
+    g = np.random.default_rng([SEED, d, 1])
+    out = np.zeros((centres, links), int)
+    for i in range(centres):
+        x = g.standard_normal(d)
+        x /= np.linalg.norm(x)
+        y = g.standard_normal((links, d))
+        y -= (y @ x)[:, None] * x
+        y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
+        y = limit * x + np.sqrt(1 - limit * limit) * y
+        p = x @ directions(d)[:, :n]
+        own = np.flatnonzero(np.abs(p) >= least)
+        out[i] = (y @ directions(d)[:, own] * np.sign(p[own]) >= least).sum(axis=1)
+    return out
 
 
 @functools.cache
-def settings(d: int, limit: float = LIMIT, recall: float = RECALL, trials: int = 3000) -> tuple[int, float, int]:
+def settings(d: int, limit: float = LIMIT, recall: float = RECALL, centres: int = 400, links: int = 200) -> tuple[int, float, int]:
     """For vectors of ``d`` components the number of directions, the value at
-    which tails begin, and the collision count a pair must reach: the shortest
-    tails, then the largest count, at which seeded random pairs of cosine
-    ``limit`` are found with the wanted recall."""
-    g = np.random.default_rng([SEED, d, 1])
-    x, y = g.standard_normal((2, trials, d))
+    which tails begin, and the number of tails that links share: the shortest
+    tails at which all but WORST of seeded random centres share one with the wanted
+    part of their links, and the largest number that they share with as many.
+    One is enough to be compared; the others are in reserve."""
+    g = np.random.default_rng([SEED, d, 2])
+    x = g.standard_normal((400, d))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    y -= (y * x).sum(axis=1, keepdims=True) * x
-    y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
-    y = limit * x + np.sqrt(1 - limit * limit) * y
-    sample = np.abs(x[:400] @ directions(d)).ravel()
+    sample = np.abs(x @ directions(d)).ravel()
+
+    def worst(c: int) -> float:
+        return float(np.quantile((count >= c).mean(axis=1), WORST))
+
     for share in TAIL_SHARES:
         n = int(np.ceil(DIRECTIONS * TAIL_SHARES[0] / share))
         least = float(np.quantile(sample, 1 - share)) if share < 1 else 0.0
-        (r1, c1, v1), (r2, c2, v2) = tails(x, n, least), tails(y, n, least)
-        k1, k2 = r1 * 2 * n + c1, r2 * 2 * n + c2                         # sorted, by row and cell
-        at = np.minimum(np.searchsorted(k2, k1), max(0, len(k2) - 1))
-        hit = (k2[at] == k1) & (np.abs(v2[at] - v1) <= WINDOW) if len(k2) else np.zeros(len(k1), bool)
-        count = np.bincount(r1[hit], minlength=trials)
-        if (count >= 1).mean() >= recall:
+        count = recalls(d, n, least, centres, links, limit)
+        if worst(1) >= recall:
             break
-    return n, least, max((c for c in range(1, 50) if (count >= c).mean() >= recall), default=1)
-
-
-def needed_count(d: int) -> int:
-    return settings(d)[2]
+    return n, least, max((c for c in range(1, 50) if worst(c) >= recall), default=1)
 
 
 def _unit(vectors: list) -> np.ndarray:
@@ -124,15 +127,14 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, copies, vectors = own.column("key"), own.column("copies"), own.column("v")
             for at in range(0, own.num_rows, 256):
                 m = min(256, own.num_rows - at)
-                row, cell, value = tails(_unit(vectors.slice(at, m).to_pylist()))
+                row, cell = tails(_unit(vectors.slice(at, m).to_pylist()))
                 ends = pa.array(np.searchsorted(row, np.arange(m + 1)).astype(np.int32))
                 all_cells = pa.ListArray.from_arrays(ends, pa.array(cell.astype(np.int32)))
-                all_values = pa.ListArray.from_arrays(ends, pa.array(value.astype(np.float32)))
                 pick = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cell.astype(np.int64) + int(d) * 2 * DIRECTIONS), keys.slice(at, m).take(pick), copies.slice(at, m).take(pick),
-                     vectors.slice(at, m).take(pick), all_cells.take(pick), all_values.take(pick)],
-                    ["cell", "key", "copies", "v", "cells", "vals"])
+                     vectors.slice(at, m).take(pick), all_cells.take(pick)],
+                    ["cell", "key", "copies", "v", "cells"])
 
 
 def _group_links(group: pa.Table) -> pa.RecordBatch | None:
@@ -140,23 +142,25 @@ def _group_links(group: pa.Table) -> pa.RecordBatch | None:
     n = group.num_rows
     if n < 2:
         return None
-    cell = group.column("cell")[0].as_py()
-    cells, values = group.column("cells").combine_chunks(), group.column("vals").combine_chunks()
-    row = np.repeat(np.arange(n), np.asarray(cells.value_lengths()))
     vectors = group.column("v").to_pylist()
     d = len(vectors[0])
-    a, b, count, first = collisions(row, np.asarray(cells.flatten()), np.asarray(values.flatten(), np.float64), n)
+    cell = group.column("cell")[0].as_py() - d * 2 * DIRECTIONS
     side = np.asarray(group.column("block"))
-    ok = (count >= needed_count(d)) & (first == cell - d * 2 * DIRECTIONS)
-    if len(np.unique(side)) > 1:
-        ok &= side[a] != side[b]
-    elif group.column("cross")[0].as_py():
+    two = len(np.unique(side)) > 1
+    if not two and group.column("cross")[0].as_py():
         return None
-    a, b = a[ok], b[ok]
+    x = _unit(vectors)
+    a, b = np.nonzero(np.triu(x @ x.T >= LIMIT - 1e-9, 1))
+    if two:
+        a, b = a[side[a] != side[b]], b[side[a] != side[b]]
     if not len(a):
         return None
-    x = _unit(vectors)
-    near = np.concatenate([np.einsum("ij,ij->i", x[a[i:i + 65536]], x[b[i:i + 65536]]) >= LIMIT for i in range(0, len(a), 65536)])
+    lists = group.column("cells").combine_chunks()
+    ends, cells = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))]), np.asarray(lists.flatten())
+    before = cells < cell
+    bits = shared(cells[before], np.concatenate([[0], np.cumsum(before)])[ends], cell)
+    near = np.concatenate([~(bits[a[i:i + 8192]] & bits[b[i:i + 8192]]).any(axis=1)
+                           & (np.einsum("ij,ij->i", x[a[i:i + 8192]], x[b[i:i + 8192]]) >= LIMIT) for i in range(0, len(a), 8192)])
     a, b = a[near], b[near]
     if not len(a):
         return None
@@ -216,7 +220,7 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector: str = "embedd
 
     n = parts(table.sparkSession)
     entries = written(distinct.select("key", "copies", "v", "d").repartition(n).mapInArrow(
-        _entries, f"cell long, key long, copies long, v array<{kind}>, cells array<int>, vals array<float>"), "vector-tails")
+        _entries, f"cell long, key long, copies long, v array<{kind}>, cells array<int>"), "vector-tails")
     sizes = entries.groupBy("cell").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int"))
     # at most 2 * DIRECTIONS rows for each length of vectors
     placed = entries.join(sizes.filter("n > 1").select("cell", "blocks"), "cell")
@@ -224,7 +228,7 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector: str = "embedd
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.withColumns({"tile_key": F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other")),
                                  "cross": F.col("block") != F.col("other")})
-    found = (placed.select("tile_key", "cell", "block", "cross", "key", "copies", "v", "cells", "vals")
+    found = (placed.select("tile_key", "cell", "block", "cross", "key", "copies", "v", "cells")
              .repartition(n, "tile_key").sortWithinPartitions("tile_key")
              .mapInArrow(_by_tile, "key long, linked long, root long"))
     found = written(found, "vector-links")
