@@ -2,12 +2,14 @@
 
 Rules (host suffix plus path prefix, longest wins) judge first; what they say
 also labels the tree.  Per host the paths form a tree, worked out level by
-level: a segment that looks like an id, or whose place has too many different
-values for its rows, becomes a wildcard.  Sibling templates that differ in one
+level: a segment that looks like an id, or a rare one among many other rare
+ones at its place, becomes a wildcard; a segment with rows enough of its own
+stays, however many there are.  Sibling templates that differ in one
 literal segment are merged where their labelled shares do not differ
 significantly.  A template is rejected when the smoothed share of its labelled
-rows that are blocked reaches PURITY; a URL without a rule takes its
-template's verdict.  Templates without labelled rows are never rejected.
+rows that are blocked reaches PURITY and the blocked rows spread over what its
+wildcards stand for; a URL without a rule takes its template's verdict.
+Templates without labelled rows are never rejected, nor merged with labelled ones.
 """
 
 from __future__ import annotations
@@ -24,9 +26,14 @@ from .common import written
 LEVELS = 8
 MANY_CHILDREN = 8
 ROWS_PER_CHILD = 3.0
-MOST_LITERALS = 200
+#: A segment with so many rows of its own is never a wildcard.
+OWN_ROWS = 10
+#: Segments with at least this part of the rows are joined by a broadcast.
+HEAVY = 1000
 PSEUDO_ROWS = 4.0
 PURITY = 0.9
+#: Blocked rows must reach this share of the values at every wildcard, and so many of them (or all).
+SPREAD, SPREAD_VALUES = 0.1, 8
 Z = 1.96
 WILD = "*"
 ID_SEGMENT = r"^(?:[0-9]+(?:\.[A-Za-z]{2,5})?|[0-9]{4}-[0-9]{2}(?:-[0-9]{2})?|(?=[^/]*[0-9])[0-9A-Fa-f]{8,}|[0-9A-Fa-f-]{36})$"
@@ -70,15 +77,21 @@ def rule_of(rules: Sequence[UrlRule], host: Column, path: Column, value: str) ->
     return F.lit(None).cast("string") if out is None else out
 
 
+def _segments() -> Column:
+    return F.filter(F.split("path", "/"), lambda s: s != "")
+
+
 def with_templates(urls: DataFrame) -> DataFrame:
     """``urls(host, path, ...)`` with ``template``, the path with wildcards.
 
     One round a level, to the depth of the paths; segments from LEVELS on are
-    one wildcard.  Each round aggregates the children of every node (map-side
-    first, so a host with very many rows is no hot task) and joins the nodes
-    that vary back; it is written, so no round repeats the ones before.
+    one wildcard.  Each round counts the children of every node (map-side
+    first, so a host with very many rows is no hot task): those with fewer than
+    OWN_ROWS rows become one wildcard if there are MANY_CHILDREN of them with
+    under ROWS_PER_CHILD rows on average.  They are joined back, and the round
+    is written, so none repeats the ones before.
     """
-    segments = F.filter(F.split("path", "/"), lambda s: s != "")
+    segments = _segments()
     at = urls.withColumns({"segments": segments, "template": F.lit("")})
     depth = at.agg(F.max(F.size("segments"))).first()[0] or 0
     for level in range(min(depth, LEVELS)):
@@ -87,14 +100,24 @@ def with_templates(urls: DataFrame) -> DataFrame:
             own = F.when(own.isNotNull(), F.lit(WILD))
         at = at.withColumn("segment", F.when(own.rlike(ID_SEGMENT), F.lit(WILD)).otherwise(own))
         literal = at.filter(F.col("segment").isNotNull() & (F.col("segment") != WILD))
-        children = literal.groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
-        nodes = children.groupBy("host", "template").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"))
-        varies = (F.col("kinds") > MOST_LITERALS) | ((F.col("kinds") >= MANY_CHILDREN) & (F.col("n") < F.col("kinds") * ROWS_PER_CHILD))
-        wild = nodes.filter(varies).select(F.col("host").alias("h"), F.col("template").alias("t"))
-        at = at.join(wild, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")), "left")
+        children = written(literal.groupBy("host", "template", "segment").agg(F.count("*").alias("n")), f"url-children-{level}")
+        total = children.agg(F.sum("n")).first()[0] or 0
+        minor = children.filter(F.col("n") < OWN_ROWS)
+        nodes = minor.groupBy("host", "template").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"))
+        varies = (F.col("kinds") >= MANY_CHILDREN) & (F.col("n") < F.col("kinds") * ROWS_PER_CHILD)
+        wild = minor.drop("n").join(nodes.filter(varies).drop("kinds", "n"), ["host", "template"]).select(
+            F.col("host").alias("h"), F.col("template").alias("t"), F.col("segment").alias("s"))
+        # at most HEAVY children; they are no wildcards, so their rows meet nothing and are dealt one by one
+        heavy = children.filter(F.col("n") >= max(OWN_ROWS, total / HEAVY)).select(
+            F.col("host").alias("hh"), F.col("template").alias("ht"), F.col("segment").alias("hs"))
+        at = at.join(F.broadcast(heavy), (F.col("host") == F.col("hh")) & (F.col("template") == F.col("ht")) & (F.col("segment") == F.col("hs")), "left")
+        key = F.when(F.col("hh").isNotNull() | F.col("segment").isNull() | (F.col("segment") == WILD),
+                     F.concat(F.lit("/"), F.monotonically_increasing_id().cast("string"))).otherwise(F.col("segment"))
+        at = at.withColumn("dealt", key)
+        at = at.join(wild, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")) & (F.col("dealt") == F.col("s")), "left")
         step = F.when(F.col("h").isNotNull(), F.lit(WILD)).otherwise(F.col("segment"))
         at = at.withColumn("template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), step)))
-        at = written(at.drop("segment", "h", "t"), f"url-level-{level}")
+        at = written(at.drop("segment", "dealt", "h", "t", "s", "hh", "ht", "hs"), f"url-level-{level}")
     return at.drop("segments")
 
 
@@ -103,24 +126,46 @@ def rejected_templates(rows: DataFrame, purity: float = PURITY) -> DataFrame:
     is 1, 0 or null (no label).
 
     Siblings (templates equal but for their last literal segment) are ordered
-    by their share; neighbours whose shares do not differ at the Z level are
-    merged and pooled.  A node has at most MOST_LITERALS literal children.
+    by their share; neighbouring shares that do not differ at the Z level are
+    merged and pooled.  Each share is tested with its largest template.  A window
+    holds a host's different shares, not its templates.
     """
     leaves = rows.filter("bad is not null").groupBy("host", "template").agg(
         F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
+    leaves = leaves.withColumns({"family": F.regexp_replace("template", r"/[^/*]+((?:/\*)*)$", "/?$1"), "share": F.col("bad") / F.col("n")})
     leaves = written(leaves, "url-templates")
     n, bad = leaves.agg(F.coalesce(F.sum("n"), F.lit(0.0)), F.coalesce(F.sum("bad"), F.lit(0.0))).first()
     base = bad / n if n else 0.0
-    family = F.regexp_replace("template", r"/[^/*]+((?:/\*)*)$", "/?$1")
-    siblings = Window.partitionBy("host", "family").orderBy(F.col("bad") / F.col("n"), "template")
-    share = (F.col("bad") + F.lag("bad").over(siblings)) / (F.col("n") + F.lag("n").over(siblings))
-    spread = F.sqrt(share * (1 - share) * (1 / F.col("n") + 1 / F.lag("n").over(siblings)))
-    gap = F.col("bad") / F.col("n") - F.lag("bad").over(siblings) / F.lag("n").over(siblings)
-    marked = leaves.withColumn("family", family).withColumn("fresh", F.coalesce((gap > spread * Z).cast("int"), F.lit(0)))
+    steps = leaves.groupBy("host", "family", "share").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.max("n").alias("most"))
+    siblings = Window.partitionBy("host", "family").orderBy("share")
+    most, last, gap = F.col("most"), F.lag("most").over(siblings), F.col("share") - F.lag("share").over(siblings)
+    both = (F.col("share") * most + F.lag("share").over(siblings) * last) / (most + last)
+    spread = F.sqrt(both * (1 - both) * (1 / most + 1 / last))
+    marked = steps.withColumn("fresh", F.coalesce((gap > spread * Z).cast("int"), F.lit(0)))
     marked = marked.withColumn("branch", F.sum("fresh").over(siblings.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     merged = Window.partitionBy("host", "family", "branch")
     smooth = (F.sum("bad").over(merged) + PSEUDO_ROWS * base) / (F.sum("n").over(merged) + PSEUDO_ROWS)
-    return marked.withColumn("purity", smooth).filter(F.col("purity") >= purity).select("host", "template")
+    high = marked.withColumn("purity", smooth).filter(F.col("purity") >= purity).select("host", "family", "share")
+    return leaves.join(high, ["host", "family", "share"]).select("host", "template")
+
+
+def lopsided_templates(rows: DataFrame, templates: DataFrame) -> DataFrame:
+    """Those of ``templates(host, template)`` whose blocked rows do not speak for
+    the rest, from ``rows(host, path, template, bad)``.
+
+    At each wildcard, and at each segment from LEVELS on, the different values
+    are counted: blocked rows must have a SPREAD share of them, and at least
+    SPREAD_VALUES or all.  Templates without an unlabelled row need no look.
+    """
+    mixed = rows.filter("bad is null").join(templates, ["host", "template"], "left_semi").select("host", "template").distinct()
+    steps = F.split(F.substring(F.col("template"), 2, 1 << 30), "/")
+    values = F.filter(F.transform(_segments(), lambda v, i: F.struct(
+        i.alias("at"), v.alias("value"), F.coalesce(F.get(steps, i) == WILD, F.lit(True)).alias("wild"))), lambda e: e["wild"])
+    held = rows.join(mixed, ["host", "template"], "left_semi").select("host", "template", "bad", F.explode(values).alias("e"))
+    kinds = held.groupBy("host", "template", "e.at", "e.value").agg(F.coalesce(F.max("bad"), F.lit(0)).alias("bad"))
+    places = kinds.groupBy("host", "template", "at").agg(F.count("*").alias("kinds"), F.sum("bad").alias("bad"))
+    few = (F.col("bad") < F.col("kinds") * SPREAD) | (F.col("bad") < F.least("kinds", F.lit(SPREAD_VALUES)))
+    return places.filter(few).select("host", "template").distinct()
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[UrlRule], id_col: str = "page_id", url: str = "url", purity: float = PURITY) -> DataFrame:
@@ -135,7 +180,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[UrlRule], id_col: str = "page_i
     rows = rows.withColumns({"rule": rule_of(rules, host, path, "text"), "said": rule_of(rules, host, path, "verdict")})
     rows = with_templates(rows)
     bad = F.when(F.col("said").isNotNull(), (F.col("said") == "block").cast("int"))
-    drop = rejected_templates(rows.select("host", "template", bad.alias("bad")), purity)
+    labelled = rows.withColumn("bad", bad)
+    drop = written(rejected_templates(labelled, purity), "url-rejected")
+    drop = drop.join(lopsided_templates(labelled, drop), ["host", "template"], "left_anti")
     drop = drop.select(F.col("host").alias("h"), F.col("template").alias("t"))
     met = rows.join(drop, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")), "left")
     own = F.when(F.col("h").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))

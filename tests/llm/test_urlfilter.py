@@ -69,3 +69,24 @@ def test_deep_and_empty(spark):
     got = {r.id: r.template for r in urlfilter.judge_urls(df, []).collect()}
     assert got == {1: "/a" * (urlfilter.LEVELS - 1) + "/*", 2: ""}
     assert urlfilter.judge_urls(spark.createDataFrame([], df.schema), URL_RULES).count() == 0
+
+
+def verdicts(spark, urls, rules):
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    return {urls[r.id]: r.verdict for r in urlfilter.judge_urls(df, rules).collect()}
+
+
+def test_clean_sections_beside_a_blocked_one(spark):
+    """Neither the number of sections nor their rarity passes one section's labels to the others."""
+    bad = [f"http://x.net/es/{i}" for i in range(100)]
+    for sections, pages in ((200, 12), (201, 12), (201, 2), (60, 1)):
+        clean = [f"http://x.net/sec{chr(97 + i % 26)}{chr(97 + i // 26)}/{j}" for i in range(sections) for j in range(pages)]
+        got = verdicts(spark, bad + clean, URL_RULES)
+        assert {got[u] for u in bad} == {"block"} and {got[u] for u in clean} == {"allow"}, (sections, pages)
+
+
+def test_a_rare_blocked_section_does_not_speak_for_the_rest(spark):
+    bad = [f"http://x.net/es/{i}" for i in range(9)]
+    clean = [f"http://x.net/sec{chr(97 + i % 26)}{chr(97 + i // 26)}/{i}" for i in range(60)]
+    got = verdicts(spark, bad + clean, URL_RULES)
+    assert {got[u] for u in bad} == {"block"} and {got[u] for u in clean} == {"allow"}
