@@ -232,18 +232,19 @@ def gzip_member(data: bytes) -> bytes:
             + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF))
 
 
-def _member_size(extra: bytes) -> int:
-    """The compressed length in an ``sl`` extra field, 0 if there is none."""
+def _member_size(extra: bytes) -> tuple[int, int]:
+    """The lengths (compressed, uncompressed) in an ``sl`` extra field, 0 if there is none."""
     while len(extra) >= 4:
         name, n = struct.unpack("<2sH", extra[:4])
         if name == b"sl" and n == 8:
-            return struct.unpack("<I", extra[4:8])[0]
+            return struct.unpack("<II", extra[4:12])
         extra = extra[4 + n:]
-    return 0
+    return 0, 0
 
 
 def gzip_records(stream, start: int, stop: int, tests: list[Callable[[dict], bool]], payload: bool) -> Iterator[dict]:
-    """The same for a file of gzip members, a record each.  Only a member's first
+    """The same for a file of gzip members, a record each; a member that
+    holds more, or is cut off, is an error.  Only a member's first
     bytes are inflated to see its headers; the rest is stepped over if its
     length is known and the payload unwanted."""
     at = start
@@ -255,7 +256,7 @@ def gzip_records(stream, start: int, stop: int, tests: list[Callable[[dict], boo
         if head[:3] != b"\x1f\x8b\x08" or head[3] & ~4:
             raise ValueError(f"no plain gzip member at byte {at}")
         extra = stream.read(struct.unpack("<H", stream.read(2))[0]) if head[3] & 4 else b""
-        size, begun = _member_size(extra), 10 + (2 + len(extra) if head[3] & 4 else 0)
+        (size, whole), begun = _member_size(extra), 10 + (2 + len(extra) if head[3] & 4 else 0)
         inflate, data, read = zlib.decompressobj(-15), b"", 0
 
         def more() -> bool:
@@ -278,7 +279,11 @@ def gzip_records(stream, start: int, stop: int, tests: list[Callable[[dict], boo
             body = b"".join(parts)
             if payload and wanted:
                 row["payload"] = _payload(body[:length], http)
+            if not inflate.eof or body[length:].strip(b"\r\n"):
+                raise ValueError(f"the gzip member at byte {at} is cut off or holds more than one record; a record must be a member")
             size = size or begun + read - len(inflate.unused_data) + 8
+        elif whole > len(top) + 4 + length + 4:
+            raise ValueError(f"the gzip member at byte {at} holds more than one record; a record must be a member")
         at += size
         if wanted:
             yield row

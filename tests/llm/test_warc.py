@@ -111,3 +111,16 @@ def test_null_ids_and_empty_tables(spark):
     assert kinds == [("response", "None"), ("revisit", "<urn:x-page:3>"), ("revisit", "<urn:x-page:3>")]
     assert {r.record_type for r in warc.with_revisits(pages(spark, rows[:2])).collect()} == {"response"}
     assert warc.read_archive(spark, written_archive(spark, [])).count() == 0
+
+
+def test_a_member_of_several_records_is_an_error():
+    import gzip
+
+    import pytest
+    raw = [warc.record_bytes(r) for r in records()]
+    own, both = b"".join(gzip.compress(r) for r in raw), b"".join(raw)
+    assert len(list(warc.gzip_records(io.BytesIO(own), 0, len(own), [], True))) == len(raw)
+    for data in (gzip.compress(both), warc.gzip_member(both), gzip.compress(raw[0])[:-20]):
+        for payload in (True, False):
+            with pytest.raises(ValueError):
+                list(warc.gzip_records(io.BytesIO(data), 0, len(data), [], payload))
