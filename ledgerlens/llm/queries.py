@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, embedding, htmltext, mixing, quality, rules, simhash, toxicity, urlfilter, warc
+from . import bpe, conversation, embedding, htmltext, mixing, quality, rules, simhash, toxicity, urlfilter, warc
 from .common import prepare
 
 #: Fixed rules of the URL query.
@@ -102,11 +102,21 @@ def digests(docs: DataFrame, lexicon_file: str) -> DataFrame:
     return hashed.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations")
+    fixed = conversation.repair(conversation.damaged(table))
+    found = conversation.joined(table.select("conv_id").distinct(), fixed.summary, ["conv_id"], "left")
+    found = conversation.joined(found, conversation.digests(fixed.rows), ["conv_id"], "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     named = [op1_simhash, op2_url_filter, op3_embedding, op4_toxicity, op5_warc, op6_quality_classifier, op7_html_text,
-             op8_mixing, op9_quality_rules, op10_bpe]
+             op8_mixing, op9_quality_rules, op10_bpe, op12_conversation_repair]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
@@ -201,5 +211,74 @@ FROM e LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
 """
 
 
+# The CRC-32 table comes from its polynomial; a state holds the least (cost, audit, rows) of reaching it.
+OP12_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(8), lambda x, k: xor(x >> 1, (x & 1) * 3988292384), n) ORDER BY n) AS t FROM range(256) r(n)),
+d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT),
+      lambda x, b: xor(x >> 8, t[xor(x & 255, b) + 1]), 4294967295), 4294967295) % 20 AS kind
+  FROM conversations, crc_table),
+m AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM d WHERE kind <> 0),
+s AS (
+  SELECT *, trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS seen,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS prior
+  FROM m),
+f AS (
+  SELECT conv_id, i, turn, role, text, left(role, 1) AS k,
+    CASE WHEN seen = '' THEN 'blank' WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate' WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+    prior IS NOT NULL AND left(prior, 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS bad
+  FROM s),
+g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (bad) AS illegal, max(i) AS n FROM f GROUP BY conv_id),
+-- w: the four states (nothing, s, u, a); inserts before a row or the end, then the row's own edit
+w AS (
+  SELECT conv_id, 0::BIGINT AS i, [{'c': 0, 'a': '', 'o': ''}, NULL, NULL, NULL]::STRUCT(c BIGINT, a VARCHAR, o VARCHAR)[] AS v FROM g
+  UNION ALL
+  SELECT conv_id, i, [
+    CASE WHEN x[1] IS NOT NULL THEN {'c': x[1].c + 2, 'a': x[1].a || 'D', 'o': x[1].o} END,
+    list_min(list_filter([
+      CASE WHEN x[2] IS NOT NULL THEN {'c': x[2].c + 2, 'a': x[2].a || 'D', 'o': x[2].o} END,
+      CASE WHEN x[1] IS NOT NULL AND k = 's' AND stay THEN {'c': x[1].c + e, 'a': x[1].a || 'K', 'o': x[1].o || chr(10) || role || ':' || text} END], lambda z: z IS NOT NULL)),
+    list_min(list_filter(list_concat([CASE WHEN x[3] IS NOT NULL THEN {'c': x[3].c + 2, 'a': x[3].a || 'D', 'o': x[3].o} END],
+      list_transform(list_filter([x[1], x[2], x[4]], lambda z: z IS NOT NULL AND k = 'u' AND stay),
+        lambda z: {'c': z.c + e, 'a': z.a || 'K', 'o': z.o || chr(10) || role || ':' || text}),
+      list_transform(list_filter([x[1], x[2], x[4]], lambda z: z IS NOT NULL AND stay),
+        lambda z: {'c': z.c + e + 1, 'a': z.a || 'R', 'o': z.o || chr(10) || 'user:' || text})), lambda z: z IS NOT NULL)),
+    list_min(list_filter([
+      CASE WHEN x[4] IS NOT NULL THEN {'c': x[4].c + 2, 'a': x[4].a || 'D', 'o': x[4].o} END,
+      CASE WHEN x[3] IS NOT NULL AND k = 'a' AND stay THEN {'c': x[3].c + e, 'a': x[3].a || 'K', 'o': x[3].o || chr(10) || role || ':' || text} END,
+      CASE WHEN x[3] IS NOT NULL AND stay THEN {'c': x[3].c + e + 1, 'a': x[3].a || 'R', 'o': x[3].o || chr(10) || 'assistant:' || text} END], lambda z: z IS NOT NULL))]
+  FROM (
+    SELECT p.conv_id, f.i, f.k, f.role, f.text, coalesce(f.fault NOT IN ('blank', 'duplicate'), true) AS stay,
+      CASE WHEN f.fault = 'truncated' THEN 5 ELSE 0 END AS e,
+      [v[1], v[2],
+       list_min(list_filter(list_concat([v[3]], list_transform(list_filter([v[1], v[2], v[4]], lambda z: z IS NOT NULL), lambda z: {'c': z.c + 5, 'a': z.a || 'I', 'o': z.o || chr(10) || 'user:'})), lambda z: z IS NOT NULL)),
+       list_min(list_filter(list_concat([v[4]], list_transform(list_filter([v[3]], lambda z: z IS NOT NULL), lambda z: {'c': z.c + 5, 'a': z.a || 'I', 'o': z.o || chr(10) || 'assistant:'}),
+         list_transform(list_filter([v[1], v[2]], lambda z: z IS NOT NULL), lambda z: {'c': z.c + 10, 'a': z.a || 'II', 'o': z.o || chr(10) || 'user:' || chr(10) || 'assistant:'})), lambda z: z IS NOT NULL))] AS x
+    FROM w p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1)),
+b AS (
+  SELECT w.conv_id, list_min(list_filter(list_concat([v[1], v[4]],
+      list_transform(list_filter([v[3]], lambda z: z IS NOT NULL), lambda z: {'c': z.c + 5, 'a': z.a || 'I', 'o': z.o || chr(10) || 'assistant:'}),
+      list_transform(list_filter([v[2]], lambda z: z IS NOT NULL), lambda z: {'c': z.c + 10, 'a': z.a || 'II', 'o': z.o || chr(10) || 'user:' || chr(10) || 'assistant:'})),
+      lambda z: z IS NOT NULL)) AS z
+  FROM w JOIN g ON g.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = g.n)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(z.c, 0)::BIGINT AS cost,
+  coalesce(z.a, '') AS audit, sha256(substr(coalesce(z.o, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_embedding": OP3_SQL, "op5_warc": OP5_SQL, "op8_mixing": OP8_SQL, "op9_quality_rules": OP9_SQL}
+    return {"op3_embedding": OP3_SQL, "op5_warc": OP5_SQL, "op8_mixing": OP8_SQL, "op9_quality_rules": OP9_SQL,
+            "op12_conversation_repair": OP12_SQL}
