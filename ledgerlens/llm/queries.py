@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, conversation, embedding, htmltext, mixing, quality, rules, simhash, toxicity, urlfilter, warc
+from . import (bpe, conversation, embedding, fingerprint, htmltext, mixing, quality, rules, search, simhash, toxicity, urlfilter,
+               warc)
 from .common import prepare
 
 #: Fixed rules of the URL query.
@@ -102,6 +103,11 @@ def digests(docs: DataFrame, lexicon_file: str) -> DataFrame:
     return hashed.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprint.compare_with_edits(docs, fingerprint.corpus_ranks(docs))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "conversations")
     fixed = conversation.repair(conversation.damaged(table))
@@ -112,11 +118,17 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("repaired_sha256", F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256"))
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     named = [op1_simhash, op2_url_filter, op3_embedding, op4_toxicity, op5_warc, op6_quality_classifier, op7_html_text,
-             op8_mixing, op9_quality_rules, op10_bpe, op12_conversation_repair]
+             op8_mixing, op9_quality_rules, op10_bpe, op11_fingerprint, op12_conversation_repair,
+             op13_search]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
@@ -279,6 +291,22 @@ LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN b ON b.conv_id
 """
 
 
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS t FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS all_terms FROM d WHERE len(t) > 0),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark),
+c AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM c, s GROUP BY term, n_docs),
+m AS (SELECT r, doc_id, 10 + (90 * len(t) * n_docs) // all_terms AS m FROM d, s WHERE len(t) > 0),
+x AS (SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN c USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY item_id, doc_id, r),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM x WHERE score > 0)
+SELECT * FROM k WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op3_embedding": OP3_SQL, "op5_warc": OP5_SQL, "op8_mixing": OP8_SQL, "op9_quality_rules": OP9_SQL,
-            "op12_conversation_repair": OP12_SQL}
+            "op12_conversation_repair": OP12_SQL, "op13_search": OP13_SQL}

@@ -16,7 +16,7 @@ def rows(df):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(queries.oracle_sql()[name]).df()
     got = queries.queries()[name](spark, SF).toPandas()[list(want.columns)]
@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, name):
 def test_all_are_registered():
     own = queries.queries()
     assert set(own) <= set(E.queries())
-    assert {n.split("_")[0] for n in own} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in own} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 def test_native_operators_run_no_python(spark):
