@@ -1,15 +1,18 @@
 """URL verdicts by rules and a path-template tree, in DataFrame operations only.
 
 Rules (host suffix plus path prefix, longest wins) judge first; what they say
-also labels the tree.  Per host the paths form a tree, worked out level by
-level: a segment that looks like an id, or a rare one among many other rare
-ones at its place, becomes a wildcard; a segment with rows enough of its own
-stays, however many there are.  Sibling templates that differ in one
-literal segment are merged where their labelled shares do not differ
-significantly.  A template is rejected when the smoothed share of its labelled
-rows that are blocked reaches PURITY and the blocked rows spread over what its
-wildcards stand for; a URL without a rule takes its template's verdict.
-Templates without labelled rows are never rejected, nor merged with labelled ones.
+also labels the tree.  Per host the different paths form a tree, worked out level
+by level to its real depth.  A segment that looks like an id is a wildcard, and
+so is one with less than LITERAL_SHARE of its node's URLs where MANY_CHILDREN
+or more are as rare; shares of different URLs are counted, so neither repeated
+rows nor the size of the crawl change a template.  Branches are merged where they are
+statistically alike: labelled siblings that differ in one literal segment, if their
+labelled shares do not differ significantly, and with them unlabelled
+siblings whose URLs have the same shape (length and share of digits).  A template
+is rejected when the smoothed share of the labelled URLs of its merged branch that
+are blocked reaches PURITY and the blocked ones spread over what its
+wildcards, and the merged segments, stand for; a URL without a rule takes its
+template's verdict.
 """
 
 from __future__ import annotations
@@ -23,16 +26,14 @@ from pyspark.sql.window import Window
 
 from .common import written
 
-LEVELS = 8
+#: A segment with this share of its node's different URLs is never a wildcard; others are where so many are as rare.
+LITERAL_SHARE = 0.05
 MANY_CHILDREN = 8
-ROWS_PER_CHILD = 3.0
-#: A segment with so many rows of its own is never a wildcard.
-OWN_ROWS = 10
 #: Segments with at least this part of the rows are joined by a broadcast.
 HEAVY = 1000
 PSEUDO_ROWS = 4.0
 PURITY = 0.9
-#: Blocked rows must reach this share of the values at every wildcard, and so many of them (or all).
+#: Blocked URLs must reach this share of the values at every wildcard, and so many of them (or all).
 SPREAD, SPREAD_VALUES = 0.1, 8
 Z = 1.96
 WILD = "*"
@@ -81,59 +82,76 @@ def _segments() -> Column:
     return F.filter(F.split("path", "/"), lambda s: s != "")
 
 
+def _generalised(segment: Column) -> Column:
+    return F.when(segment.rlike(ID_SEGMENT), F.lit(WILD)).otherwise(segment)
+
+
 def with_templates(urls: DataFrame) -> DataFrame:
-    """``urls(host, path, ...)`` with ``template``, the path with wildcards.
-
-    One round a level, to the depth of the paths; segments from LEVELS on are
-    one wildcard.  Each round counts the children of every node (map-side
-    first, so a host with very many rows is no hot task): those with fewer than
-    OWN_ROWS rows become one wildcard if there are MANY_CHILDREN of them with
-    under ROWS_PER_CHILD rows on average.  They are joined back, and the round
-    is written, so none repeats the ones before.
+    """Different ``urls(host, path, ...)`` with ``template``, the path with wildcards.
+
+    One round a level.  A round counts the children of every node (map-side first,
+    so a host with very many URLs is no hot task), decides on them, and joins the
+    decisions back: only children that become wildcards, or hold a single URL, are met
+    by a join, and of the others those with a thousandth of all URLs or more
+    are dealt out one by one.  A URL that is alone below its node has its template at
+    once, so rounds go on only where URLs share a beginning, however deep.  Each
+    round is written, so none repeats the ones before.
     """
     segments = _segments()
-    at = urls.withColumns({"segments": segments, "template": F.lit("")})
-    depth = at.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(min(depth, LEVELS)):
+    at = written(urls.withColumns({"segments": segments, "template": F.lit("")}), "url-level")
+    names, done, level = [*urls.columns, "template"], [], 0
+    while True:
         own = F.get("segments", F.lit(level))
-        if level == LEVELS - 1:
-            own = F.when(own.isNotNull(), F.lit(WILD))
-        at = at.withColumn("segment", F.when(own.rlike(ID_SEGMENT), F.lit(WILD)).otherwise(own))
-        literal = at.filter(F.col("segment").isNotNull() & (F.col("segment") != WILD))
-        children = written(literal.groupBy("host", "template", "segment").agg(F.count("*").alias("n")), f"url-children-{level}")
-        total = children.agg(F.sum("n")).first()[0] or 0
-        minor = children.filter(F.col("n") < OWN_ROWS)
-        nodes = minor.groupBy("host", "template").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"))
-        varies = (F.col("kinds") >= MANY_CHILDREN) & (F.col("n") < F.col("kinds") * ROWS_PER_CHILD)
-        wild = minor.drop("n").join(nodes.filter(varies).drop("kinds", "n"), ["host", "template"]).select(
-            F.col("host").alias("h"), F.col("template").alias("t"), F.col("segment").alias("s"))
-        # at most HEAVY children; they are no wildcards, so their rows meet nothing and are dealt one by one
-        heavy = children.filter(F.col("n") >= max(OWN_ROWS, total / HEAVY)).select(
+        done.append(at.filter(own.isNull()).select(*names))
+        rows = at.filter(own.isNotNull()).withColumn("segment", _generalised(own))
+        children = written(rows.groupBy("host", "template", "segment").agg(F.count("*").alias("n")), f"url-children-{level}")
+        total = children.agg(F.sum("n")).first()[0]
+        if not total:
+            break
+        nodes = children.groupBy("host", "template").agg(F.sum("n").alias("all"))
+        shared = children.join(nodes, ["host", "template"]).withColumn(
+            "rare", (F.col("segment") != WILD) & (F.col("n") < F.col("all") * LITERAL_SHARE))
+        many = shared.groupBy("host", "template").agg((F.count_if("rare") >= MANY_CHILDREN).alias("many"))
+        steps = shared.join(many, ["host", "template"]).withColumn("step", F.when(F.col("rare") & F.col("many"), WILD).otherwise(F.col("segment")))
+        below = steps.groupBy("host", "template", "step").agg((F.sum("n") == 1).alias("alone"))
+        steps = written(steps.join(below, ["host", "template", "step"]).select("host", "template", "segment", "n", "step", "alone"), f"url-steps-{level}")
+        plain = (F.col("step") == F.col("segment")) & ~F.col("alone")
+        # at most HEAVY children, whose URLs need no decision: they meet nothing and are dealt one by one
+        heavy = steps.filter(plain & (F.col("n") >= total / HEAVY)).select(
             F.col("host").alias("hh"), F.col("template").alias("ht"), F.col("segment").alias("hs"))
-        at = at.join(F.broadcast(heavy), (F.col("host") == F.col("hh")) & (F.col("template") == F.col("ht")) & (F.col("segment") == F.col("hs")), "left")
-        key = F.when(F.col("hh").isNotNull() | F.col("segment").isNull() | (F.col("segment") == WILD),
-                     F.concat(F.lit("/"), F.monotonically_increasing_id().cast("string"))).otherwise(F.col("segment"))
-        at = at.withColumn("dealt", key)
-        at = at.join(wild, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")) & (F.col("dealt") == F.col("s")), "left")
-        step = F.when(F.col("h").isNotNull(), F.lit(WILD)).otherwise(F.col("segment"))
-        at = at.withColumn("template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), step)))
-        at = written(at.drop("segment", "dealt", "h", "t", "s", "hh", "ht", "hs"), f"url-level-{level}")
-    return at.drop("segments")
+        decided = steps.filter(~plain).select(F.col("host").alias("h"), F.col("template").alias("t"), F.col("segment").alias("s"), "step", "alone")
+        rows = rows.join(F.broadcast(heavy), (F.col("host") == F.col("hh")) & (F.col("template") == F.col("ht")) & (F.col("segment") == F.col("hs")), "left")
+        rows = rows.withColumn("dealt", F.when(F.col("hh").isNotNull(), F.concat(F.lit("/"), F.monotonically_increasing_id().cast("string")))
+                               .otherwise(F.col("segment")))
+        rows = rows.join(decided, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")) & (F.col("dealt") == F.col("s")), "left")
+        rest = F.transform(F.slice("segments", level + 2, F.greatest(F.size("segments") - level - 1, F.lit(0))), _generalised)
+        rows = rows.withColumns({"over": F.coalesce("alone", F.lit(False)), "template": F.concat_ws(
+            "/", "template", F.coalesce("step", "segment"), F.when(F.coalesce("alone", F.lit(False)) & (F.size(rest) > 0), F.array_join(rest, "/")))})
+        at = written(rows.select(*names, "segments", "over"), f"url-level-{level}")
+        done.append(at.filter("over").select(*names))
+        at, level = at.filter("not over").drop("over"), level + 1
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def rejected_templates(rows: DataFrame, purity: float = PURITY) -> DataFrame:
-    """``(host, template)`` to reject, from ``rows(host, template, bad)``; ``bad``
-    is 1, 0 or null (no label).
+    """``(host, template)`` to reject, from ``rows(host, template, bad)``, with a ``path``
+    for the shapes of unlabelled branches; ``bad`` is 1, 0 or null (no label).
 
-    Siblings (templates equal but for their last literal segment) are ordered
-    by their share; neighbouring shares that do not differ at the Z level are
+    Labelled siblings (templates equal but for their last literal segment) are
+    ordered by their share; neighbouring shares that do not differ at the Z level are
     merged and pooled.  Each share is tested with its largest template.  A window
-    holds a host's different shares, not its templates.
+    holds a host's different shares, not its templates.  Unlabelled siblings join
+    by :func:`like_siblings`.
     """
-    leaves = rows.filter("bad is not null").groupBy("host", "template").agg(
-        F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
-    leaves = leaves.withColumns({"family": F.regexp_replace("template", r"/[^/*]+((?:/\*)*)$", "/?$1"), "share": F.col("bad") / F.col("n")})
-    leaves = written(leaves, "url-templates")
+    shape = [F.avg(F.length("path")).alias("length"), F.avg(F.length(F.regexp_replace("path", "[^0-9]", "")) / F.greatest(F.length("path"), F.lit(1))).alias("digits")] \
+        if "path" in rows.columns else []
+    every = rows.groupBy("host", "template").agg(
+        F.count("bad").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"), *shape)
+    every = written(every, "url-templates")
+    leaves = every.filter("n > 0").withColumns({"family": F.regexp_replace("template", r"/[^/*]+((?:/\*)*)$", "/?$1"), "share": F.col("bad") / F.col("n")})
     n, bad = leaves.agg(F.coalesce(F.sum("n"), F.lit(0.0)), F.coalesce(F.sum("bad"), F.lit(0.0))).first()
     base = bad / n if n else 0.0
     steps = leaves.groupBy("host", "family", "share").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.max("n").alias("most"))
@@ -146,21 +164,44 @@ def rejected_templates(rows: DataFrame, purity: float = PURITY) -> DataFrame:
     merged = Window.partitionBy("host", "family", "branch")
     smooth = (F.sum("bad").over(merged) + PSEUDO_ROWS * base) / (F.sum("n").over(merged) + PSEUDO_ROWS)
     high = marked.withColumn("purity", smooth).filter(F.col("purity") >= purity).select("host", "family", "share")
-    return leaves.join(high, ["host", "family", "share"]).select("host", "template")
+    found = leaves.join(high, ["host", "family", "share"]).select("host", "template")
+    return found.unionByName(like_siblings(every, written(found, "url-pure"))) if shape else found
+
+
+def branches(templates: DataFrame) -> DataFrame:
+    """``templates(host, template, n, length, digits)`` once for each branch they may belong to:
+    equal but for the first, or the last, literal segment, and of one shape (``shape``:
+    length in steps of a half power of two, share of digits in quarters)."""
+    first = F.regexp_replace("template", r"^((?:/\*)*)/[^/*]+", "$1/?")
+    last = F.regexp_replace("template", r"/[^/*]+((?:/\*)*)$", "/?$1")
+    families = F.filter(F.array_distinct(F.array(first, last)), lambda f: f != F.col("template"))
+    shape = F.concat_ws("|", F.round(F.log2(F.greatest("length", F.lit(1.0))) * 2).cast("int"), F.round(F.col("digits") * 4).cast("int"))
+    return templates.withColumn("shape", shape).withColumn("family", F.explode(families))
+
+
+def like_siblings(templates: DataFrame, pure: DataFrame) -> DataFrame:
+    """Unlabelled templates in a merged branch whose labelled ones are all in ``pure``, if
+    these are a SPREAD share of the branch's segments and at least SPREAD_VALUES (or all)."""
+    rows = branches(templates.join(pure.withColumn("pure", F.lit(1)), ["host", "template"], "left"))
+    whole = rows.groupBy("host", "family", "shape").agg(F.count("*").alias("kinds"), F.count_if(F.col("n") > 0).alias("labelled"), F.count("pure").alias("pure"))
+    speaks = (F.col("labelled") == F.col("pure")) & (F.col("pure") >= F.col("kinds") * SPREAD) & (F.col("pure") >= F.least("kinds", F.lit(SPREAD_VALUES)))
+    like = whole.filter(speaks & (F.col("kinds") > F.col("pure"))).select("host", "family", "shape")
+    return rows.filter("n = 0").join(like, ["host", "family", "shape"]).select("host", "template").distinct()
 
 
 def lopsided_templates(rows: DataFrame, templates: DataFrame) -> DataFrame:
     """Those of ``templates(host, template)`` whose blocked rows do not speak for
     the rest, from ``rows(host, path, template, bad)``.
 
-    At each wildcard, and at each segment from LEVELS on, the different values
-    are counted: blocked rows must have a SPREAD share of them, and at least
-    SPREAD_VALUES or all.  Templates without an unlabelled row need no look.
+    At each wildcard the different values are counted: blocked URLs must have a
+    SPREAD share of them, and at least SPREAD_VALUES or all.  Templates without
+    an unlabelled URL, or without a labelled one, need no look.
     """
-    mixed = rows.filter("bad is null").join(templates, ["host", "template"], "left_semi").select("host", "template").distinct()
+    mixed = (rows.join(templates, ["host", "template"], "left_semi").groupBy("host", "template")
+             .agg(F.count("*").alias("n"), F.count("bad").alias("told")).filter("told > 0 and told < n").select("host", "template"))
     steps = F.split(F.substring(F.col("template"), 2, 1 << 30), "/")
     values = F.filter(F.transform(_segments(), lambda v, i: F.struct(
-        i.alias("at"), v.alias("value"), F.coalesce(F.get(steps, i) == WILD, F.lit(True)).alias("wild"))), lambda e: e["wild"])
+        i.alias("at"), v.alias("value"), (F.get(steps, i) == WILD).alias("wild"))), lambda e: e["wild"])
     held = rows.join(mixed, ["host", "template"], "left_semi").select("host", "template", "bad", F.explode(values).alias("e"))
     kinds = held.groupBy("host", "template", "e.at", "e.value").agg(F.coalesce(F.max("bad"), F.lit(0)).alias("bad"))
     places = kinds.groupBy("host", "template", "at").agg(F.count("*").alias("kinds"), F.sum("bad").alias("bad"))
@@ -172,18 +213,19 @@ def judge_urls(pages: DataFrame, rules: Sequence[UrlRule], id_col: str = "page_i
     """``(id, host, path, rule, verdict, template)`` for every row of ``pages``.
 
     Null URLs and URLs without ``://`` have an empty host and path, which no rule
-    fits.  Repeated rows are judged, and counted in the tree, as often as they
-    come.  Other columns are not read.
+    fits.  The tree holds every different host and path once, so repeated rows
+    change no verdict; a URL may be of any length and depth.  An empty
+    table gives no rows.  Other columns are not read.
     """
     rows = pages.select(F.col(id_col).alias("id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     host, path = F.col("host"), F.col("path")
-    rows = rows.withColumns({"rule": rule_of(rules, host, path, "text"), "said": rule_of(rules, host, path, "verdict")})
-    rows = with_templates(rows)
-    bad = F.when(F.col("said").isNotNull(), (F.col("said") == "block").cast("int"))
-    labelled = rows.withColumn("bad", bad)
-    drop = written(rejected_templates(labelled, purity), "url-rejected")
-    drop = drop.join(lopsided_templates(labelled, drop), ["host", "template"], "left_anti")
-    drop = drop.select(F.col("host").alias("h"), F.col("template").alias("t"))
-    met = rows.join(drop, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")), "left")
-    own = F.when(F.col("h").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
-    return met.select("id", "host", "path", "rule", F.coalesce("said", own).alias("verdict"), "template")
+    said = rule_of(rules, host, path, "verdict")
+    urls = rows.select("host", "path").distinct().withColumn("bad", F.when(said.isNotNull(), (said == "block").cast("int")))
+    tree = written(with_templates(urls), "url-tree")
+    drop = written(rejected_templates(tree, purity), "url-rejected")
+    drop = drop.join(lopsided_templates(tree, drop), ["host", "template"], "left_anti").distinct()
+    met = tree.join(drop.withColumn("dropped", F.lit(True)), ["host", "template"], "left").select(
+        F.col("host").alias("h"), F.col("path").alias("p"), "template", "dropped")
+    rows = rows.join(met, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p"))).drop("h", "p")
+    own = F.when(F.col("dropped"), F.lit("block")).otherwise(F.lit("allow"))
+    return rows.select("id", "host", "path", rule_of(rules, host, path, "text").alias("rule"), F.coalesce(said, own).alias("verdict"), "template")
