@@ -56,7 +56,9 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
         "tbody": ("tbody", "thead", "tfoot", "tr", "td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table".split())
 PUNCTUATION = re.compile("[.,;:!?。，；：！？、]")
-THRESHOLD = 0.1
+THRESHOLD = 0.3
+#: What the ratio of text outside the page's marked article counts.
+BESIDE_ARTICLE = 0.1
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^<>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*>|[^<]+|<", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -196,29 +198,27 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str, int, tuple]]:
     return made
 
 
-def ratios(page_blocks: list) -> dict[tuple[str, ...], float]:
-    """The fused ratio of each path, 1.0 for the best of the page.
+def ratios(page_blocks: list) -> tuple[dict, dict]:
+    """The raw and the smoothed ratio of each path, before any evidence.
 
-    A path's text is the mean length of its blocks outside links, its
-    punctuation their mean count; their geometric mean (with one added) is the
-    raw ratio.  It is smoothed by the mean over the container's other paths,
-    each weighted by its text.
+    Per path the characters outside links and their punctuation are summed over
+    its blocks; the geometric mean of the two (punctuation with one added) is the
+    raw ratio, 0 for a path of links.  It is smoothed along the whole container
+    that the path belongs to (:func:`home`): the mean of its own and of the
+    container's ratio, which weights the container's paths by their text.
     """
     sums: dict[tuple, list[float]] = {}
     for path, _, text, linked, _ in page_blocks:
-        s = sums.setdefault(path, [0, 0, 0])
-        s[0] += 1
-        s[1] += len(text) - linked
-        s[2] += len(PUNCTUATION.findall(text)) * (1 - linked / len(text))
-    raw = {p: math.sqrt(s[1] / s[0] * (1 + s[2] / s[0])) for p, s in sums.items()}
+        s = sums.setdefault(path, [0, 0])
+        s[0] += len(text) - linked
+        s[1] += len(PUNCTUATION.findall(text)) * (1 - linked / len(text))
+    raw = {p: math.sqrt(s[0] * (1 + s[1])) for p, s in sums.items()}
     homes: dict[tuple, list[float]] = {}
     for p, s in sums.items():
-        h = homes.setdefault(p[:-1], [0.0, 0.0])
-        h[0] += raw[p] * s[1]
-        h[1] += s[1]
-    smooth = {p: (raw[p] + homes[p[:-1]][0] / homes[p[:-1]][1]) / 2 if homes[p[:-1]][1] else 0.0 for p in sums}
-    best = max(smooth.values(), default=0.0)
-    return {p: v / best if best else 0.0 for p, v in smooth.items()}
+        h = homes.setdefault(home(p), [0.0, 0.0])
+        h[0] += raw[p] * s[0]
+        h[1] += s[0]
+    return raw, {p: (raw[p] + homes[home(p)][0] / homes[home(p)][1]) / 2 if s[0] else 0.0 for p, s in sums.items()}
 
 
 def _marked(some: list) -> list:
@@ -251,7 +251,10 @@ def without_furniture(page_blocks: list) -> list:
 
 
 def home(path: tuple[str, ...]) -> tuple[str, ...]:
-    """The container of a path: what is left without lists, tables, quotes and the like at its end."""
+    """The container of a path: what is left without lists, tables, quotes and the like at its
+    end; all that the page marks as its article is one container."""
+    if any(step.split(".")[0] in CONTENT for step in path):
+        return ("article",)
     n = len(path)
     while n and path[n - 1].split(".")[0] in FLOW:
         n -= 1
@@ -261,21 +264,25 @@ def home(path: tuple[str, ...]) -> tuple[str, ...]:
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     """The content blocks of a page, joined by empty lines.
 
-    Where the page marks its article (``article`` or ``main``), the blocks
-    inside it are the content, all of them.  Elsewhere a container passes if its
-    best path reaches the threshold; its blocks, and those of containers inside
-    it, are content, but for containers inside it with nothing but links.  The
-    body does not pass for the containers inside it, nor for its own blocks that
-    are nothing but links.  A null page, and a page
-    without text, give "".
+    Every page is judged by its paths' ratios.  What its tags and class names say
+    is evidence: text named as furniture is no candidate, and where the page
+    marks an article (``article`` or ``main``), text outside it counts
+    BESIDE_ARTICLE as much.  A container passes if its best path reaches the
+    threshold, as a share of the best of the page; its blocks, and those of
+    containers inside it, are content, but for containers inside it with nothing
+    but links.  The body does not pass for the containers inside it, nor for its
+    own blocks that are nothing but links.  A null page, and a page without
+    text, give "".
     """
     usable = without_furniture(blocks(page or ""))
-    inside = _marked(usable)
-    if inside:
-        return "\n\n".join(b[2] for b in inside)
-    score = ratios(usable)
+    marked = {b[0] for b in _marked(usable)}
+    raw, smooth = ratios(usable)
+    score = {p: v * (BESIDE_ARTICLE if marked and p not in marked else 1.0) for p, v in smooth.items()}
+    best, most = max(score.values(), default=0.0), max(raw.values(), default=0.0)
     homes = {p: home(p) for p in score}
-    passed = {homes[p] for p, v in score.items() if v >= threshold}
+    passed = {homes[p] for p, v in score.items() if v >= threshold * best > 0}
+    # a page of nothing but links in an article has no ratio; the mark alone speaks for it
+    passed |= {homes[p] for p in marked} if not best else set()
     roots = {h for h in passed if all(step.split(".")[0] in ("body", "html") for step in h)}
     plain: dict[tuple, int] = {}
     for path, _, text, linked, _ in usable:
@@ -285,8 +292,8 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     def stays(path: tuple, text: str, linked: int) -> bool:
         h = homes[path]
         if h in passed:
-            return h not in roots or score[path] >= threshold or linked < len(text)
-        return plain[h] > 0 and within[h]
+            return h not in roots or raw[path] >= threshold * most or linked < len(text)
+        return within[h] and plain[h] > 0
 
     return "\n\n".join(text for path, _, text, linked, _ in usable if stays(path, text, linked))
 

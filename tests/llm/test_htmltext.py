@@ -80,3 +80,39 @@ def test_query_shape(spark):
     assert got.columns == ["page_id", "url", "extra", "text"]
     assert sorted((r.page_id, r.text) for r in got.collect()) == [(1, SENTENCE.strip()), (2, ""), (2, "")]
     assert htmltext.with_main_text(df.limit(0)).count() == 0
+
+
+def given_pages():
+    import duckdb
+    return [r[0] for r in duckdb.connect().execute("SELECT html FROM '/root/testdata/sf0.1/pages.parquet'").fetchall()]
+
+
+def test_the_ratios_find_the_article_without_marks_and_classes():
+    """On the given pages the paths alone choose nearly the same text as with the evidence."""
+    import re
+    pages = given_pages()
+    bare = [re.sub(r'\s(class|id|role)="[^"]*"', "", re.sub(r"</?(article|main)>", "", p)) for p in pages]
+    same = sum(htmltext.main_text(p) == htmltext.main_text(b) for p, b in zip(pages, bare))
+    assert same >= 0.95 * len(pages)
+
+
+def test_a_mark_on_a_teaser_does_not_hide_the_text():
+    body = "<article><p>Read on.</p></article><div>" + "".join(f"<p>{i} {SENTENCE * 30}</p>" for i in range(20)) + "</div>"
+    assert len(htmltext.main_text(page(body)).split("\n\n")) == 20
+
+
+def test_ratios_equal_a_plain_sum():
+    import math
+    found = htmltext.blocks(page(f"<div id=a><p>One, two.</p><p>Three <a href=x>four!</a></p><ul><li>{SENTENCE}</li></ul></div><div id=b><a href=y>all, linked.</a></div>"))
+    raw, smooth = htmltext.ratios(found)
+    paths = list(dict.fromkeys(b[0] for b in found))
+    for p in paths:
+        own = [b for b in found if b[0] == p]
+        chars = sum(len(t) - k for _, _, t, k, _ in own)
+        marks = sum(sum(t.count(c) for c in ".,;:!?") * (1 - k / len(t)) for _, _, t, k, _ in own)
+        assert raw[p] == math.sqrt(chars * (1 + marks))
+    for p in paths:
+        near = [q for q in paths if htmltext.home(q) == htmltext.home(p)]
+        weight = {q: sum(len(t) - k for r, _, t, k, _ in found if r == q) for q in near}
+        mean = sum(raw[q] * weight[q] for q in near) / sum(weight.values()) if any(weight.values()) else 0
+        assert abs(smooth[p] - ((raw[p] + mean) / 2 if weight[p] else 0)) < 1e-9
