@@ -293,8 +293,14 @@ def header_test(f: Filter) -> Callable[[dict], bool] | None:
     """A test of a record's headers, or None where the filter needs more."""
     if isinstance(f, Not):
         inner = header_test(f.child)
+        if inner is None or not hasattr(f.child, "attribute"):
+            return None
+        if isinstance(f.child, (IsNull, IsNotNull, EqualNullSafe)):
+            return lambda r: not inner(r)                   # true or false for nulls, too
+        if isinstance(f.child, In) and None in f.child.value:
+            return lambda r: False                          # never known to be none of them
         # SQL: a comparison with null is neither true nor false
-        return None if inner is None or not hasattr(f.child, "attribute") else lambda r, c=f.child.attribute[0]: r[c] is not None and not inner(r)
+        return lambda r, c=f.child.attribute[0]: r[c] is not None and not inner(r)
     column = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
     if column not in HEADERS:
         return None

@@ -124,3 +124,33 @@ def test_a_member_of_several_records_is_an_error():
         for payload in (True, False):
             with pytest.raises(ValueError):
                 list(warc.gzip_records(io.BytesIO(data), 0, len(data), [], payload))
+
+
+def test_each_filter_and_its_negation_equal_sparks(spark):
+    """Pushed filters on a nullable header against Spark's own result on the same rows."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"u{i}", LONG if i % 2 else f"{LONG}{i}") for i in range(12)]
+    path = written_archive(spark, rows)
+    plain = spark.createDataFrame(warc.read_archive(spark, path).drop("payload").collect(), warc.read_archive(spark, path).drop("payload").schema)
+    for column, value, more in (("refers_to", "<urn:x-page:1>", "<urn:x-page:9>"), ("target_uri", "u3", "u9")):
+        c = F.col(column)
+        tests = [c == value, c.eqNullSafe(value), c.eqNullSafe(more), c.isNull(), c.isNotNull(), c.isin(value, more), c > value, c >= value, c < more,
+                 c <= more, c.startswith(value[:2]), c.endswith(value[-2:]), c.contains(value[1:]), c.isin(value, None), c.eqNullSafe(None)]
+        for test in [*tests, *(~t for t in tests), *(~~t for t in tests)]:
+            want = sorted(r.record_id for r in plain.filter(test).collect())
+            got = sorted(r.record_id for r in warc.read_archive(spark, path, payload=False).filter(test).select("record_id").collect())
+            assert got == want, test
+
+
+def test_each_filter_class_is_tested_on_null_headers():
+    from pyspark.sql.datasource import EqualNullSafe, EqualTo, In, IsNotNull, IsNull, Not, StringContains
+
+    row, null = {"refers_to": "<a>"}, {"refers_to": None}
+    at = ("refers_to",)
+    for f, on_row, on_null in ((EqualNullSafe(at, "<b>"), False, False), (Not(EqualNullSafe(at, "<b>")), True, True), (Not(EqualNullSafe(at, None)), True, False),
+                               (Not(IsNull(at)), True, False), (Not(IsNotNull(at)), False, True), (Not(EqualTo(at, "<b>")), True, False),
+                               (Not(In(at, ("<b>", None))), False, False), (Not(In(at, ("<b>",))), True, False), (Not(StringContains(at, "b")), True, False)):
+        test = warc.header_test(f)
+        assert (test(row), test(null)) == (on_row, on_null), f
+    assert warc.header_test(Not(Not(EqualTo(at, "<b>")))) is None
