@@ -100,7 +100,7 @@ def digests(docs: DataFrame, lexicon_file: str) -> DataFrame:
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     hashed = coded.select("doc_id", "ids", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
-    return hashed.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return hashed.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
