@@ -1,17 +1,23 @@
-"""Exact evaluation as fused aggregations.
+"""Exact evaluation as fused aggregations, all models in one pass.
 
-* Confusion counts: one conditional aggregate (four counts in one pass).
+The predictions of every model are stacked into one narrow frame
+(model number, label, prediction, score), so the number of Spark jobs does
+not grow with the number of models.
+
+* Confusion counts: conditional counts, taken along with the curve points.
 * Accuracy / precision / recall / F1: guarded ratios over those counts.
 * ROC-AUC and PR-AUC: exact (one curve point per distinct score, the same
   curve as ``BinaryClassificationEvaluator(numBins=0)``), computed without
   pulling scores into one task:
 
-    1. group rows by score -> (score, pos, neg)   [partial aggregation]
-    2. cut the distinct scores into B ranges with ``percentile_approx``
-       (boundaries only balance the work; the result stays exact)
+    1. group rows by (model, score) -> counts   [partial aggregation], written
+       as a table in the shared folder
+    2. cut each model's distinct scores into B ranges with a grouped
+       ``percentile_approx`` (boundaries only balance the work; the result
+       stays exact)
     3. cumulative counts inside each range with a window partitioned by range
-    4. add the counts of all higher ranges from a B-row offsets table,
-       broadcast with a proven bound of B rows
+    4. add the counts of all higher ranges of the model from a table of at
+       most B rows a model, broadcast with that bound
     5. sum the trapezoids.
 
   A hot score value (e.g. a third of all rows sharing one score) collapses
@@ -26,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import guarded_ratio, score_of
+from ..sources import files
 from ..sources.schema import LABEL, METRIC_NAMES
 from .joins import join_small
 
@@ -63,19 +70,36 @@ def _default_buckets(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def score_points(pred: DataFrame, score: Column | None = None, label: str = LABEL) -> DataFrame:
-    """One row per distinct score with its positive (label 1) and negative
-    (label 0) counts; rows with another label count nowhere, as in
-    :func:`confusion`.  Rows of either class without a score (NULL or NaN) are
-    counted in ``unscored`` on a row with a NULL score."""
-    s = score if score is not None else score_of(pred.schema)
-    return (pred.select(s.alias("s"), F.col(label).alias("y"))
-                .filter(F.col("y").isin(0.0, 1.0))
-                .withColumn("s", F.when(~F.isnan("s"), F.col("s")))
-                .groupBy("s")
-                .agg(F.count_if((F.col("y") == 1.0) & F.col("s").isNotNull()).alias("pos"),
-                     F.count_if((F.col("y") == 0.0) & F.col("s").isNotNull()).alias("neg"),
-                     F.count_if(F.col("s").isNull()).alias("unscored")))
+def stacked(preds: Sequence[DataFrame], label: str = LABEL, prediction: str = "prediction",
+            score: Column | None = None) -> DataFrame:
+    """The models' predictions one under the other: (position, y, p, s).  Rows
+    whose label is neither 0 nor 1 count nowhere and are left out; a model without
+    a score column has NULL scores, and NaN scores are NULL."""
+    parts = []
+    for position, pred in enumerate(preds):
+        s = score if score is not None else score_of(pred.schema) if "rawPrediction" in pred.columns else F.lit(None)
+        p = F.col(prediction) if prediction in pred.columns else F.lit(None)
+        parts.append(pred.select(F.lit(position).alias("position"), F.col(label).cast("double").alias("y"),
+                                 p.cast("double").alias("p"), s.cast("double").alias("s")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.filter(F.col("y").isin(0.0, 1.0)).withColumn("s", F.when(~F.isnan("s"), F.col("s")))
+
+
+def score_points(frame: DataFrame) -> DataFrame:
+    """One row per model and distinct score: its positive (label 1) and negative
+    (label 0) counts, and the confusion counts of its rows.  Rows without a
+    score are counted in ``unscored`` on a row with a NULL score."""
+    y, p, scored = F.col("y"), F.col("p"), F.col("s").isNotNull()
+    return frame.groupBy("position", "s").agg(
+        F.count_if((y == 1.0) & scored).alias("pos"), F.count_if((y == 0.0) & scored).alias("neg"),
+        F.count_if(~scored).alias("unscored"),
+        F.count_if((y == 1.0) & (p == 1.0)).alias("n_tp"), F.count_if((y == 0.0) & (p == 0.0)).alias("n_tn"),
+        F.count_if((y == 0.0) & (p == 1.0)).alias("n_fp"), F.count_if((y == 1.0) & (p == 0.0)).alias("n_fn"))
+
+
+POINTS = "position int, s double, pos long, neg long, unscored long, n_tp long, n_tn long, n_fp long, n_fn long"
 
 
 def _range_of(score: str, bounds: Column, b: int) -> Column:
@@ -85,28 +109,33 @@ def _range_of(score: str, bounds: Column, b: int) -> Column:
         (at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) < F.col(score)), at + step).otherwise(at))
 
 
-def auc_exact(pred: DataFrame, score: Column | None = None, label: str = LABEL,
-              buckets: int | None = None) -> DataFrame:
-    """One row (roc_auc, pr_auc, n_pos, n_neg, n_unscored); AUCs NULL for
-    one-class or empty input.  They are taken over the scored rows;
-    ``n_unscored`` tells how many rows of either class had no score."""
-    spark = pred.sparkSession
+def curves(preds: Sequence[DataFrame], label: str = LABEL, prediction: str = "prediction", score: Column | None = None,
+           buckets: int | None = None) -> DataFrame:
+    """One row per model (position): tp, tn, fp, fn, roc_auc, pr_auc, n_pos, n_neg,
+    n_unscored.  AUCs are over the scored rows, NULL where one class or both are missing."""
+    spark, models = preds[0].sparkSession, len(preds)
     b = buckets or _default_buckets(spark)
-    pts = score_points(pred, score, label)
-
+    # the points are read three times; as a table they are made once
+    path = files.scratch_dir(spark, "curve-points")
+    score_points(stacked(preds, label, prediction, score)).write.parquet(path)
+    pts = spark.read.schema(POINTS).parquet(path)
+    none = [(i, None, *[0] * 7) for i in range(models)]                 # a model without rows has its row, too
+    pts = pts.unionByName(spark.createDataFrame(none, POINTS))
+
+    # a range is numbered over all models, and grows with the score inside one
+    rid = F.col("position") * b
     if b > 1:
         probs = [i / b for i in range(1, b)]
-        bounds = pts.agg(F.percentile_approx("s", probs, 10000).alias("bounds")).scalar()
-        # range id grows with the score: number of boundaries below it
-        pts = pts.withColumn("bounds", bounds).withColumn("rid", _range_of("s", F.col("bounds"), b)).drop("bounds")
+        bounds = pts.groupBy("position").agg(F.percentile_approx("s", probs, 10000).alias("bounds"))
+        pts = join_small(pts, bounds, "position", "left", small_rows=models)
+        pts = pts.withColumn("rid", rid + _range_of("s", F.col("bounds"), b)).drop("bounds")
     else:
-        pts = pts.withColumn("rid", F.lit(0))
+        pts = pts.withColumn("rid", rid)
 
-    totals = pts.groupBy("rid").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
-    # positives/negatives in all ranges above this one (scores are ranked
-    # descending).  The offsets table has at most B rows.
-    # This window runs over the B-row totals table only (never over points).
-    higher = Window.orderBy(F.col("rid").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    totals = pts.groupBy("position", "rid").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
+    # positives/negatives in all ranges of the model above this one (scores are
+    # ranked descending): a window over at most B rows a model, never over points
+    higher = Window.partitionBy("position").orderBy(F.col("rid").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "rid",
         F.coalesce(F.sum("bp").over(higher), F.lit(0)).alias("op"),
@@ -117,8 +146,9 @@ def auc_exact(pred: DataFrame, score: Column | None = None, label: str = LABEL,
     # every range has an offsets row, so a left join equals the inner join;
     # unlike it, it infers no extra filter on the points side, which lets the
     # points exchange be reused by the totals branch instead of recomputed
-    cum = (join_small(pts, offsets, "rid", "left", small_rows=b)
-              .select("pos", "neg", "unscored",
+    counts = ("n_tp", "n_tn", "n_fp", "n_fn", "unscored")
+    cum = (join_small(pts, offsets, "rid", "left", small_rows=b * models)
+              .select("position", "pos", "neg", *counts,
                       (F.col("op") + F.sum("pos").over(inside)).alias("tp"),
                       (F.col("on") + F.sum("neg").over(inside)).alias("fp")))
 
@@ -127,51 +157,48 @@ def auc_exact(pred: DataFrame, score: Column | None = None, label: str = LABEL,
     # the row of the unscored comes last and adds no counts; where nothing is scored there is nothing to divide by
     prec = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0))
     prev_prec = F.when(prev_tp + prev_fp == 0, prec).otherwise(prev_tp / (prev_tp + prev_fp))
-    sums = cum.agg(
+    sums = cum.groupBy("position").agg(
         F.sum(neg * (F.lit(2.0) * tp - pos)).alias("roc_num"),
         F.sum(pos * (prec + prev_prec)).alias("pr_num"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum("unscored").alias("n_unscored"),
-    )
+        *[F.sum(c).alias(c) for c in counts[:4]])
     P, N = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
     valid = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
+    whole = {"tp": "n_tp", "tn": "n_tn", "fp": "n_fp", "fn": "n_fn", "n_pos": "n_pos", "n_neg": "n_neg", "n_unscored": "n_unscored"}
     return sums.select(
+        "position",
         F.when(valid, F.col("roc_num") / (F.lit(2.0) * P * N)).alias("roc_auc"),
         F.when(valid, F.col("pr_num") / (F.lit(2.0) * P)).alias("pr_auc"),
-        F.coalesce(F.col("n_pos"), F.lit(0)).cast("long").alias("n_pos"),
-        F.coalesce(F.col("n_neg"), F.lit(0)).cast("long").alias("n_neg"),
-        F.coalesce(F.col("n_unscored"), F.lit(0)).cast("long").alias("n_unscored"),
-    )
+        *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(name) for name, c in whole.items()])
+
+
+def auc_exact(pred: DataFrame, score: Column | None = None, label: str = LABEL,
+              buckets: int | None = None) -> DataFrame:
+    """One row (roc_auc, pr_auc, n_pos, n_neg, n_unscored) for one model."""
+    return curves([pred], label, score=score, buckets=buckets).select("roc_auc", "pr_auc", "n_pos", "n_neg", "n_unscored")
 
 
 def auc_evaluator(pred: DataFrame, label: str = LABEL, raw: str = "rawPrediction",
-                  metric: str = "areaUnderROC") -> float:
-    """The Spark ML evaluator with ``numBins=0`` (exact curve)."""
+                  metric: str = "areaUnderROC", bins: int = 0) -> float:
+    """The Spark ML evaluator.  ``bins=0`` is the exact curve; ``bins=1000``, the
+    evaluator's default, merges neighbouring scores into about as many points."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw,
-                                       metricName=metric, numBins=0)
+                                       metricName=metric, numBins=bins)
     return ev.evaluate(pred)
 
 
 # --------------------------------------------------------------------- E5-E7
-def metrics_long_one(pred: DataFrame, model: str, label: str = LABEL,
-                     prediction: str = "prediction", score: Column | None = None,
-                     with_auc: bool = True, position: int = 0) -> DataFrame:
-    """(model, position, metric, value) for one model: the four ratio
-    metrics from one fused count aggregate, the two AUCs from ``auc_exact``.
-    AUCs are NULL when the predictions carry no score column."""
-    ratios = to_long(prf(confusion(pred, label, prediction)).select(
-        F.lit(model).alias("model"), F.lit(position).alias("position"), *METRIC_NAMES[:4]),
-        ("model", "position"), METRIC_NAMES[:4])
-    if with_auc and (score is not None or "rawPrediction" in pred.columns):
-        auc = auc_exact(pred, score, label).select(
-            F.col("roc_auc").alias("ROC-AUC"), F.col("pr_auc").alias("PR-AUC"))
-    else:
-        auc = confusion(pred, label, prediction).select(
-            F.lit(None).cast("double").alias("ROC-AUC"), F.lit(None).cast("double").alias("PR-AUC"))
-    aucs = to_long(auc.select(F.lit(model).alias("model"), F.lit(position).alias("position"),
-                              "ROC-AUC", "PR-AUC"), ("model", "position"), METRIC_NAMES[4:])
-    return ratios.unionByName(aucs)
+def metrics_table(preds: Sequence[tuple[str, DataFrame]], label: str = LABEL, prediction: str = "prediction",
+                  score: Column | None = None, buckets: int | None = None) -> DataFrame:
+    """(model, position, six metrics) for a list of (name, predictions): one row
+    per model, from one set of passes over all of them.  AUCs are NULL when the
+    predictions carry no score column."""
+    found = curves([p for _, p in preds], label, prediction, score, buckets)
+    names = F.array(*[F.lit(name) for name, _ in preds])
+    return found.select(F.get(names, F.col("position")).alias("model"), "position", *prf_columns(),
+                        F.col("roc_auc").alias("ROC-AUC"), F.col("pr_auc").alias("PR-AUC"))
 
 
 def to_long(wide: DataFrame, id_cols: Sequence[str] = ("model",),
@@ -181,11 +208,7 @@ def to_long(wide: DataFrame, id_cols: Sequence[str] = ("model",),
 
 def metrics_long(preds: Sequence[tuple[str, DataFrame]], **kw) -> DataFrame:
     """(model, position, metric, value) for a list of (name, predictions)."""
-    out = None
-    for pos, (name, pred) in enumerate(preds):
-        r = metrics_long_one(pred, name, position=pos, **kw)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return to_long(metrics_table(preds, **kw), ("model", "position"))
 
 
 def metrics_wide(long: DataFrame, id_cols: Sequence[str] = ("model", "position")) -> DataFrame:
