@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.coin import coin_salt, hash_coin
 from ..functions.exprs import guarded_ratio
 from ..sources.schema import DEFAULT_SEED, LABEL, MAJORITY_PER_MINORITY, SPLIT_FRACTIONS
+from . import rowsets
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -107,11 +108,11 @@ def split_except_strict(df: DataFrame, id_col: str = "txn_id", label: str = LABE
                         seed: int = DEFAULT_SEED) -> tuple[DataFrame, DataFrame]:
     """The reference's semantics: test = all EXCEPT DISTINCT train.
 
-    EXCEPT de-duplicates test and drops any test row equal to a train row.
-    It shuffles on every column; use only when that semantics is required.
-    """
-    train = df.filter(train_mask(id_col, label, fractions, seed))
-    return train, except_distinct(df, train)
+    Whether a row is drawn depends on its values alone, so equal rows are on the
+    same side, and what is left after EXCEPT is the complement of the draw, made
+    distinct.  That moves digests, and of the rows only repeated ones."""
+    m = train_mask(id_col, label, fractions, seed)
+    return df.filter(m), rowsets.distinct_rows(df.filter(~m))
 
 
 def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -120,8 +121,5 @@ def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    """EXCEPT DISTINCT (null-safe, by position) with both sides de-duplicated
-    first: the distinct's partial aggregation collapses copies of a row inside
-    each task, so a row repeated across a third of the data never reaches the
-    anti join's shuffle as one hot key."""
-    return a.distinct().subtract(b.distinct())
+    """EXCEPT DISTINCT (null-safe, by position): see :func:`rowsets.except_distinct`."""
+    return rowsets.except_distinct(a, b)

@@ -6,11 +6,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schema import LABEL, METRICS_SCHEMA, NUMERIC_FEATURES, REQUEST_SCHEMA, TXN_CSV_SCHEMA, TYPE
+from .schema import FORM_SCHEMA, LABEL, METRICS_SCHEMA, NUMERIC_FEATURES, REQUEST_SCHEMA, TXN_CSV_SCHEMA, TYPE
 
 
 class InputNotFound(FileNotFoundError):
@@ -54,26 +54,36 @@ COPIES_PER_CHUNK = 10_000
 
 
 def with_row_key(df: DataFrame, key: str = "txn_id") -> DataFrame:
-    """Add a key when the input has no id: ``xxhash64`` over every column and the
+    """Add a key when the input has no id: 64 bits of the row's digest and the
     number of the copy.
 
-    Equal rows are counted first (combined in the tasks, so a row repeated very
-    often is one row per task) and then made again with their numbers, in chunks
-    that are dealt out anew; every copy has a key, a coin and a place of its
-    own.  Keys do not depend on the partitioning.  A given whole-number id is
-    kept, and a null one replaced by the hash of the row."""
-    names = [F.col(f"`{c}`") for c in df.columns]
+    Digests are grouped first, without the rows.  A row that occurs once gets its
+    key where it is, and is not shuffled.  Only repeated rows are: they are
+    counted (combined in the tasks, so a row repeated very often is one row per
+    task) and made again with their numbers, in chunks that are dealt out anew;
+    every copy has a key, a coin and a place of its own.  Keys do not depend on
+    the partitioning.  A given whole-number id is kept, and a null one
+    replaced by the hash of the row."""
+    from ..operators import rowsets
+
+    names = rowsets.columns_of(df)
     if key in df.columns:
         if df.schema[key].dataType.typeName() not in ("long", "integer"):
             return df
         return df.withColumn(key, F.coalesce(F.col(key).cast("long"), F.xxhash64(*names)))
-    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
-    chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / COPIES_PER_CHUNK))))
-    dealt = chunks.withColumn("_deal", F.xxhash64(*names, "_chunk")).repartition("_deal")
-    first = F.col("_chunk") * COPIES_PER_CHUNK
-    last = F.least(first + COPIES_PER_CHUNK, F.col("_copies")) - 1
-    copies = dealt.withColumn("_copy", F.explode(F.sequence(first, last)))
-    return copies.select(*names, F.xxhash64(*names, "_copy").alias(key))
+    digest, copies, chunk, deal, copy = (rowsets.free_name(df, n) for n in ("row_digest", "copies", "chunk", "deal", "copy"))
+    once, more = rowsets.by_repetition(df, digest)
+
+    def made(rows: DataFrame, number: Column) -> DataFrame:
+        return rows.select(*names, F.xxhash64(f"{digest}.a", f"{digest}.b", number).alias(key))
+
+    counted = more.groupBy(*more.columns).agg(F.count(F.lit(1)).alias(copies))
+    chunks = counted.withColumn(chunk, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / COPIES_PER_CHUNK))))
+    dealt = chunks.withColumn(deal, F.xxhash64(digest, chunk)).repartition(deal)
+    first = F.col(chunk) * COPIES_PER_CHUNK
+    last = F.least(first + COPIES_PER_CHUNK, F.col(copies)) - 1
+    numbered = dealt.withColumn(copy, F.explode(F.sequence(first, last)))
+    return made(once, F.lit(0).cast("long")).unionByName(made(numbered, F.col(copy)))
 
 
 def read_labelled_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -108,6 +118,11 @@ def read_labelled_csv(spark: SparkSession, path: str, schema: T.StructType | Non
     return with_row_key(df)
 
 
+def form_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """The scoring form's four fields as a typed DataFrame."""
+    return spark.createDataFrame(rows, schema=FORM_SCHEMA)
+
+
 def request_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """Scoring requests as a typed DataFrame (the dashboard form's rows)."""
     return spark.createDataFrame(rows, schema=REQUEST_SCHEMA)

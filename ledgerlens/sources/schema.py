@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 LABEL = "isFraud"
 TYPE = "type"
 NUMERIC_FEATURES = ["amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
+FORM_NUMBERS = ["amount", "oldbalanceOrg", "newbalanceOrig"]      # the scoring form: these and the type
 WIDE_EXTRA_FEATURES = ["deltaOrig", "deltaDest", "balanceMismatch"]
 WEIGHT_COL = "classWeightCol"
 TYPE_ORDINALS = {"PAYMENT": 0, "TRANSFER": 1, "CASH_OUT": 2, "DEBIT": 3}
@@ -77,6 +78,9 @@ REQUEST_SCHEMA = T.StructType([
     T.StructField("newbalanceDest", T.DoubleType(), True),
 ])
 
+# The scoring form alone: four fields.
+FORM_SCHEMA = T.StructType([f for f in REQUEST_SCHEMA.fields if f.name in (TYPE, *FORM_NUMBERS)])
+
 METRICS_SCHEMA = T.StructType([
     T.StructField("model", T.StringType(), False),
     T.StructField("metric", T.StringType(), False),

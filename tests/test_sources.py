@@ -90,3 +90,23 @@ def test_equal_rows_get_keys_and_places_of_their_own(spark):
     assert a == {r.txn_id for r in files.with_row_key(df.repartition(5)).collect()}
     given = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "txn_id long, type string")
     assert files.with_row_key(given).select("txn_id").distinct().count() == 3
+
+
+def test_rows_that_occur_once_are_keyed_in_place(spark):
+    import re
+
+    df = spark.range(0, 4000, 1, 6).selectExpr("id AS a", "id * 2 AS copies", "cast(id AS string) AS row_digest", "'x' AS _copies")
+    keyed = files.with_row_key(df)
+    assert keyed.count() == 4000 == keyed.select("txn_id").distinct().count()
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning", plan)       # nothing repeats: no row moves
+    more = df.unionByName(df.limit(3)).unionByName(df.limit(3))
+    keyed = files.with_row_key(more)
+    assert keyed.count() == 4006 == keyed.select("txn_id").distinct().count()
+    assert keyed.columns == ["a", "copies", "row_digest", "_copies", "txn_id"]
+    assert {r.txn_id for r in keyed.collect()} == {r.txn_id for r in files.with_row_key(more.repartition(3)).collect()}
+
+
+def test_form_frame_has_the_four_fields(spark):
+    df = files.form_frame(spark, [("PAYMENT", 10.0, 500.0, 490.0)])
+    assert df.columns == ["type", "amount", "oldbalanceOrg", "newbalanceOrig"] and df.count() == 1
