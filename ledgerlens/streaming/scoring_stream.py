@@ -1,10 +1,13 @@
 """Structured Streaming scoring of incoming transactions.
 
 ``readStream`` (file source, declared schema) -> the fitted features+model
-``PipelineModel`` -> parquet sink with a checkpoint.  ``trigger(availableNow)``
-drains what has arrived in bounded micro-batches and stops; the checkpoint
-makes a restarted run resume exactly where it stopped (the parquet sink
-is exactly-once through its commit log).
+``PipelineModel`` -> parquet sink with a checkpoint.  Every arriving row leaves
+in the same pass: scored, or, where the pipeline can't score it (an unseen
+category, a missing number), with a null score and the row as it came, in a
+folder of its own.  ``trigger(availableNow)`` drains what has arrived in bounded
+micro-batches and stops; the checkpoint makes a restarted run resume exactly
+where it stopped, and the parquet sink is exactly-once through its commit log,
+so a batch that is run again after a failure adds nothing twice.
 """
 
 from __future__ import annotations
@@ -13,45 +16,43 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.scoring import scorable, scored_columns
+from ..operators.scoring import SCORED, scored_columns, transform_all
 
 
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+#: The sink's folders: ``outcome=scored`` and ``outcome=rejected``.
+OUTCOME, GIVEN = "outcome", "given"
+SCORED_ROWS, REJECTED_ROWS = "scored", "rejected"
 
 
 def scored_stream(spark: SparkSession, model: PipelineModel, source_dir: str,
                   schema: T.StructType, keep: Sequence[str] = ("txn_id",),
                   digits: int | None = None,
                   max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Bounded micro-batches: a backlog is drained in batches of at most
-    ``max_files_per_trigger`` files, each committed to the checkpoint, so a
-    failure replays one batch, not the whole backlog.  Rows that the pipeline
-    can't score (an unseen category, a missing number) are left to
-    :func:`rejected_stream`; one of them never stops the stream."""
-    rows = _arrivals(spark, source_dir, schema, max_files_per_trigger)
-    return scored_columns(model.transform(rows.filter(scorable(model, rows.columns))), keep, digits)
-
-
-def rejected_stream(spark: SparkSession, model: PipelineModel, source_dir: str, schema: T.StructType,
-                    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """The rows that :func:`scored_stream` leaves out, as they came."""
-    rows = _arrivals(spark, source_dir, schema, max_files_per_trigger)
-    return rows.filter(~scorable(model, rows.columns))
-
+    """Every arriving row with its score, its ``outcome``, and, if rejected, the
+    row as it came (``given``).
 
-def _arrivals(spark: SparkSession, source_dir: str, schema: T.StructType, max_files_per_trigger: int | None) -> DataFrame:
+    Bounded micro-batches: a backlog is drained in batches of at most
+    ``max_files_per_trigger`` files, each committed to the checkpoint, so a
+    failure replays one batch, not the whole backlog."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(source_dir)
+    rows = reader.parquet(source_dir)
+    pred = transform_all(model, rows)
+    pred = pred.withColumns({OUTCOME: F.when(F.col(SCORED), SCORED_ROWS).otherwise(REJECTED_ROWS),
+                             GIVEN: F.when(~F.col(SCORED), F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]))})
+    return scored_columns(pred, [*keep, OUTCOME, GIVEN], digits)
 
 
 def drain_to_sink(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
                   timeout_s: float | None = None) -> StreamingQuery:
     q = (stream.writeStream.format("parquet")
+         .partitionBy(OUTCOME)
          .option("checkpointLocation", checkpoint_dir)
          .outputMode("append")
          .trigger(availableNow=True)
@@ -67,12 +68,15 @@ def drain_to_sink(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
 
 def score_stream(spark: SparkSession, model: PipelineModel, source_dir: str, sink_dir: str,
                  checkpoint_dir: str, schema: T.StructType, keep: Sequence[str] = ("txn_id",),
-                 digits: int | None = None, rejected_dir: str | None = None) -> DataFrame:
-    """Drain ``source_dir`` through the model into ``sink_dir``; return the
-    sink read back as a batch DataFrame.  With ``rejected_dir`` the rows that
-    can't be scored are drained there, under a checkpoint of their own."""
+                 digits: int | None = None) -> DataFrame:
+    """Drain ``source_dir`` through the model into ``sink_dir``; return the whole
+    sink read back as a batch DataFrame, a row for every row that came."""
     stream = scored_stream(spark, model, source_dir, schema, keep, digits)
     drain_to_sink(stream, sink_dir, checkpoint_dir)
-    if rejected_dir:
-        drain_to_sink(rejected_stream(spark, model, source_dir, schema), rejected_dir, f"{checkpoint_dir}-rejected")
-    return spark.read.parquet(sink_dir)
+    return spark.read.schema(stream.schema).parquet(sink_dir).drop(OUTCOME, GIVEN)
+
+
+def rejected_rows(spark: SparkSession, sink_dir: str, schema: T.StructType) -> DataFrame:
+    """The rows that a sink holds as rejected, as they came."""
+    sink = spark.read.schema(T.StructType([T.StructField(GIVEN, schema), T.StructField(OUTCOME, T.StringType())])).parquet(sink_dir)
+    return sink.filter(F.col(OUTCOME) == REJECTED_ROWS).select(f"{GIVEN}.*")

@@ -158,6 +158,7 @@ def test_stream_drains_backlog_in_bounded_batches(spark, wb):
     out = spark.read.parquet(sink)
     batch = scoring.score_batch(model, wb.test.select(*cols), digits=4)
     assert out.count() == batch.count()
+    out = out.drop("outcome", "given")
     assert out.exceptAll(batch.select(*out.columns)).count() == 0
 
 
@@ -171,13 +172,52 @@ def test_text_formatting_keeps_null(spark):
     assert det == "{type: PAYMENT, amount: null, predicted_label: 1}"
 
 
-def test_bad_rows_do_not_stop_the_stream(spark, wb):
+def test_every_row_leaves_the_stream(spark, wb):
+    """Rows that can't be scored come out of the same pass with null scores, and as they came."""
     model = catalog._saturated_lr(wb)
     base = files.scratch_dir(spark, "test-stream-bad")
     cols = ["txn_id", "type", "amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
     good = wb.test.select(*cols)
     bad = spark.createDataFrame([(-1, "BARTER", 1.0, 1.0, 1.0, 1.0, 1.0), (-2, None, 1.0, 1.0, 1.0, 1.0, 1.0)], good.schema)
     good.unionByName(bad).write.parquet(f"{base}/in")
-    out = scoring_stream.score_stream(spark, model, f"{base}/in", f"{base}/out", f"{base}/ck", good.schema, rejected_dir=f"{base}/bad")
-    assert out.count() == good.count()
-    assert {r.txn_id for r in spark.read.parquet(f"{base}/bad").collect()} == {-1, -2}
+    out = scoring_stream.score_stream(spark, model, f"{base}/in", f"{base}/out", f"{base}/ck", good.schema)
+    assert out.count() == good.count() + 2
+    odd = {r.txn_id: r for r in out.filter("txn_id < 0").collect()}
+    assert set(odd) == {-1, -2} and all(r.probability is None and r.prediction is None for r in odd.values())
+    assert out.filter("txn_id >= 0 and probability is null").count() == 0
+    kept = scoring_stream.rejected_rows(spark, f"{base}/out", good.schema)
+    assert kept.exceptAll(bad).count() == 0 and bad.exceptAll(kept).count() == 0
+    again = scoring_stream.score_stream(spark, model, f"{base}/in", f"{base}/out", f"{base}/ck", good.schema)
+    assert again.count() == good.count() + 2
+
+
+def test_batch_scoring_returns_every_row(spark, wb):
+    from ledgerlens.operators import features as feat
+
+    fitted = models.full_pipeline(feat.feature_stages(), models.logistic_regression()).fit(wb.train)
+    cols = ["txn_id", "type", "amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
+    good = wb.test.select(*cols)
+    bad = spark.createDataFrame([(-1, "BARTER", 1.0, 1.0, 1.0, 1.0, 1.0), (-2, "DEBIT", None, 1.0, 1.0, 1.0, 1.0)], good.schema)
+    out = scoring.score_batch(fitted, good.unionByName(bad), keep=("txn_id", "type", "amount"))
+    odd = {r.txn_id: r for r in out.filter("txn_id < 0").collect()}
+    assert (odd[-1].type, odd[-2].amount) == ("BARTER", None) and all(r.probability is None for r in odd.values())
+    plain = scoring.scored_columns(fitted.transform(good), keep=("txn_id", "type", "amount"))
+    assert out.filter("txn_id >= 0").exceptAll(plain).count() == 0
+
+
+def test_detector_keeps_the_cheapest_of_its_starts(wb):
+    """Never worse than any single start, and better than a coin at every size."""
+    points = wb.train_features()
+    many = anomaly.fit_anomaly(points, seed=wb.seed)
+    singles = [anomaly.fit_anomaly(points, seed=wb.seed + i, starts=1).stages[-1].summary.trainingCost for i in range(anomaly.STARTS)]
+    assert many.stages[-1].summary.trainingCost <= min(singles) * (1 + 1e-9)
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_detector_beats_a_coin_at_every_size(spark, sf):
+    from ledgerlens.plans.training import fitted_model
+    from ledgerlens.plans.workbench import workbench
+
+    other = workbench(spark, sf)
+    pred = anomaly.anomaly_predictions(fitted_model(other, "AnomalyDetector"), other.test_features(), other.train_features(), fallback="highest")
+    assert ev.auc_exact(pred).first().roc_auc > 0.5
