@@ -53,6 +53,8 @@ def main(argv=None) -> int:
                     help="fraction of the CSV read to infer its schema (layout=infer)")
     ap.add_argument("--score-with", default=None,
                     help="saved features+model pipeline: score --input instead of training")
+    ap.add_argument("--train-partitions", type=int, default=None,
+                    help="partitions of the training frame; by default they follow from its rows")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
@@ -68,6 +70,8 @@ def main(argv=None) -> int:
     names = ALL_MODELS if args.models is None else check_names([n for n in args.models.split(",") if n])
     if args.tables:
         source = args.tables
+        if args.train_partitions:
+            register_workbench(spark, source, Workbench(spark, source, args.seed, train_partitions=args.train_partitions), args.seed)
     else:
         if args.input.endswith(".parquet"):
             df = files.with_row_key(files.read_parquet_checked(spark, args.input))
@@ -75,7 +79,8 @@ def main(argv=None) -> int:
             schema = {"infer": None, "payments": PAYMENTS_CSV_SCHEMA, "fixture": TXN_CSV_SCHEMA}[args.layout]
             df = files.read_labelled_csv(spark, args.input, schema, args.schema_sample)
         source = f"input:{args.input}"
-        register_workbench(spark, source, Workbench(spark, None, args.seed, txn=df), args.seed)
+        register_workbench(spark, source, Workbench(spark, None, args.seed, txn=df, train_partitions=args.train_partitions),
+                           args.seed)
     out = run_job(spark, source, args.out, names, args.seed)
     print(json.dumps(out, indent=2, default=str))
     return 0

@@ -9,7 +9,8 @@ a built-in array expression (no Python UDF).
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,7 @@ from ..functions.exprs import squared_distance
 from ..sources.schema import CLUSTER_MAJORITY_RATE, DEFAULT_SEED, KMEANS_K, LABEL, PCA_K
 from .features import pca_stage
 from .models import kmeans
+from .parallel import side_by_side
 
 
 def group_rates(pred: DataFrame, group: str = "prediction", label: str = LABEL) -> DataFrame:
@@ -45,9 +47,22 @@ def distance_score(points: Column, centre: Column | list[float]) -> Column:
     return -squared_distance(points, centre)
 
 
+#: Seeded starts of the cluster fit; the one of the lowest training cost is kept.
+STARTS = 5
+
+
 def fit_anomaly(train_features: DataFrame, k_pca: int = PCA_K, k: int = KMEANS_K,
-                seed: int = DEFAULT_SEED, features: str = "features") -> PipelineModel:
-    return Pipeline(stages=[pca_stage(k_pca, features), kmeans(k=k, seed=seed)]).fit(train_features)
+                seed: int = DEFAULT_SEED, features: str = "features", starts: int = STARTS, **kw) -> PipelineModel:
+    """PCA, then KMeans from ``starts`` seeds, side by side on the projected rows;
+    a single start may end in a poor optimum.  Among equal costs the first seed wins."""
+    pca = pca_stage(k_pca, features).fit(train_features)
+    points = pca.transform(train_features).select("pcaFeatures").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        points.count()
+        made = side_by_side(train_features.sparkSession, [(f"start-{i}", lambda i=i: kmeans(k=k, seed=seed + i, **kw).fit(points)) for i in range(starts)])
+    finally:
+        points.unpersist()
+    return PipelineModel(stages=[pca, min(made, key=lambda m: m.summary.trainingCost)])
 
 
 def anomaly_predictions(model: PipelineModel, test_features: DataFrame,

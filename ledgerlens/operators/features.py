@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.schema import LABEL, NUMERIC_FEATURES, TYPE, WEIGHT_COL, WIDE_EXTRA_FEATURES
+from ..sources.schema import LABEL, NUMERIC_FEATURES, TYPE, TYPE_ORDINALS, WEIGHT_COL, WIDE_EXTRA_FEATURES
 from .joins import join_small
 
 BALANCE_TOLERANCE = 0.01
@@ -42,6 +42,12 @@ def balance_deltas_stage() -> SQLTransformer:
                                     f"CAST(coalesce({mismatch}, false) AS DOUBLE) AS balanceMismatch FROM __THIS__")
 
 
+def type_code_stage() -> SQLTransformer:
+    """The type's fixed code as a number (unknown types: NULL), saved with a pipeline."""
+    codes = " ".join(f"WHEN '{k}' THEN {float(v)}D" for k, v in TYPE_ORDINALS.items())
+    return SQLTransformer(statement=f"SELECT *, CASE {TYPE} {codes} END AS type_code FROM __THIS__")
+
+
 def class_weight_table(df: DataFrame, label: str = LABEL) -> DataFrame:
     """(label, weight) with weight = n / (2 * n_class), n over labels {0, 1}.
 

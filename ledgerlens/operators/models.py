@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import VectorAssembler
 
 from ..sources.schema import (
-    BOOST_MAX_DEPTH, BOOST_ROUNDS, BOOST_STEP, DEFAULT_SEED, KMEANS_K, LABEL, LR_MAX_ITER,
+    BOOST_MAX_DEPTH, BOOST_ROUNDS, BOOST_STEP, DEFAULT_SEED, FORM_NUMBERS, KMEANS_K, LABEL, LR_MAX_ITER,
     RF_MAX_DEPTH, RF_NUM_TREES, WEIGHT_COL, WIDE_LR_MAX_ITER,
 )
 
@@ -65,6 +66,17 @@ def boosted_trees(seed: int = DEFAULT_SEED, rounds: int = BOOST_ROUNDS,
                          maxDepth=max_depth, stepSize=step, seed=seed, **kw)
 
 
+def form_pipeline(**kw) -> Pipeline:
+    """The scoring form's model: amount, the two origin balances and the type's
+    fixed code, without the other columns of a transaction.  Unknown types and the
+    type of code 0 are missing values, as zeros are."""
+    from . import features as feat
+    from .boosting import SecondOrderBoosting
+
+    assemble = VectorAssembler(inputCols=[*FORM_NUMBERS, "type_code"], outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[feat.type_code_stage(), assemble, SecondOrderBoosting(**kw)])
+
+
 def kmeans(k: int = KMEANS_K, seed: int = DEFAULT_SEED, features: str = "pcaFeatures", **kw) -> KMeans:
     return KMeans(k=k, featuresCol=features, seed=seed, **kw)
 

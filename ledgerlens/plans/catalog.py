@@ -4,7 +4,8 @@ paired (where SQL can express it) with an independent DuckDB oracle.
 Queries take ``(spark, sf_dir)`` and return a DataFrame over the whole
 tables.  Exact-class queries (E/ER) round computed doubles on both sides
 (4 dp for model outputs, 6 for statistics, 9 for evaluation metrics).
-Rows-only queries (R) have no oracle; their invariants are in ``tests/``.
+Where a fitted model has no closed form, the query returns what must hold for
+it (score equations, a rule that it has to find) next to the moments of the data.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.coin import coin_salt, hash_coin
@@ -26,11 +27,11 @@ from ..operators import anomaly, evaluation as ev, explain, features as feat, mo
 from ..operators.joins import join_small
 from ..sources import files
 from ..sources.schema import (
-    LABEL, METRIC_NAMES, NUMERIC_FEATURES, REQUEST_SCHEMA, TXN_CSV_SCHEMA, TYPE_ORDINALS, WEIGHT_COL,
+    FORM_SCHEMA, LABEL, METRIC_NAMES, NUMERIC_FEATURES, REQUEST_SCHEMA, SPLIT_FRACTIONS, TXN_CSV_SCHEMA, TYPE_ORDINALS, WEIGHT_COL,
 )
 from ..streaming import scoring_stream
 from . import oracle as O
-from .training import BOOSTED, fit_predict, fitted_model, scored_for_metrics
+from ..operators.parallel import side_by_side
 from .workbench import workbench
 
 
@@ -118,18 +119,25 @@ def src_request_rows(spark, sf_dir):
     return _wb(spark, sf_dir).test.select(*[f.name for f in REQUEST_SCHEMA.fields]).to(REQUEST_SCHEMA)
 
 
-def _rules_long(spark, sf_dir) -> DataFrame:
+def _rules_scored(spark, sf_dir) -> list[tuple[str, DataFrame]]:
     test = _wb(spark, sf_dir).test
-    preds = [(rule[0], _rule_scored(test, rule)) for rule in RULES]
-    long = ev.metrics_long(preds, score=F.col("score"))
+    return [(rule[0], _rule_scored(test, rule)) for rule in RULES]
+
+
+def _rules_long(spark, sf_dir) -> DataFrame:
+    long = ev.metrics_long(_rules_scored(spark, sf_dir), score=F.col("score"))
     return long.withColumn("value", F.round("value", METRIC_DIGITS))
 
 
 def _rules_long_sql() -> str:
+    return _models_sql([(rule[0], _rule_scored_sql(rule)) for rule in RULES])
+
+
+def _models_sql(scored: list[tuple[str, str]]) -> str:
+    """CTEs up to ``mw``, the raw metrics of each (name, SQL of its scored rows)."""
     parts, ctes = [], []
-    for pos, rule in enumerate(RULES):
-        name = rule[0]
-        ctes.append(f"sc{pos} AS ({_rule_scored_sql(rule)})")
+    for pos, (name, rows) in enumerate(scored):
+        ctes.append(f"sc{pos} AS ({rows})")
         auc = O.auc_select(f"sc{pos}").replace("pts AS", f"pts{pos} AS").replace("FROM pts", f"FROM pts{pos}")
         auc = (auc.replace("cum AS", f"cum{pos} AS").replace("FROM cum", f"FROM cum{pos}")
                   .replace("auc_terms AS", f"auc_terms{pos} AS").replace("FROM auc_terms", f"FROM auc_terms{pos}")
@@ -274,10 +282,39 @@ def sample_balance_3to1(spark, sf_dir):
     return sampling.balance(wb.txn, seed=wb.seed).select("txn_id", LABEL)
 
 
-@query("sample_bernoulli_native", None, "R")
+def _draw_checks(drawn: DataFrame, source: DataFrame, fraction: Column, by: str) -> DataFrame:
+    """What must hold for a native draw, as rows (class, check, value): how many of
+    the class there are, how many drawn rows are not rows of the input or occur
+    twice, and whether the number drawn is within four standard deviations."""
+    n = source.groupBy(by).agg(F.count(F.lit(1)).alias("rows")).withColumn("f", fraction)
+    got = drawn.groupBy(by).agg(F.count(F.lit(1)).alias("drawn"), F.count_distinct("txn_id").alias("ids"))
+    strange = drawn.join(source.select("txn_id", F.col(by).alias("own")), "txn_id", "left").groupBy(by).agg(
+        F.count_if(~F.col("own").eqNullSafe(F.col(by))).alias("strange"))
+    all_ = n.join(got, by, "left").join(strange, by, "left").na.fill(0, ["drawn", "ids", "strange"])
+    sigma = F.sqrt(F.col("rows") * F.col("f") * (1 - F.col("f")))
+    near = F.abs(F.col("drawn") - F.col("rows") * F.col("f")) <= 4 * sigma
+    return all_.select(F.col(by).alias("label"), F.col("rows").cast("long").alias("rows"),
+                       F.col("strange").cast("long").alias("outside_input"), (F.col("drawn") - F.col("ids")).cast("long").alias("drawn_twice"),
+                       near.alias("within_four_sigma"))
+
+
+@query("sample_bernoulli_native", O.with_base(None, """SELECT isFraud AS label, count(*) AS rows, CAST(0 AS BIGINT) AS outside_input,
+  CAST(0 AS BIGINT) AS drawn_twice, true AS within_four_sigma FROM txn GROUP BY isFraud"""))
 def sample_bernoulli_native(spark, sf_dir):
+    """The native draw of the majority and all positives, checked per class: a
+    positive is drawn with probability one, so all of them must be there."""
+    wb = _wb(spark, sf_dir)
+    f = F.when(F.col(LABEL) == 1.0, F.lit(1.0)).otherwise(sampling.keep_fraction(wb.txn))
+    return _draw_checks(sampling.balance_native(wb.txn, seed=wb.seed).select("txn_id", LABEL), wb.txn, f, LABEL)
+
+
+@query("sample_stratified_native", O.with_base(None, """SELECT isFraud AS label, count(*) AS rows, CAST(0 AS BIGINT) AS outside_input,
+  CAST(0 AS BIGINT) AS drawn_twice, true AS within_four_sigma FROM balanced GROUP BY isFraud"""))
+def sample_stratified_native(spark, sf_dir):
+    """The native stratified draw (``sampleBy``), checked per class."""
     wb = _wb(spark, sf_dir)
-    return sampling.balance_native(wb.txn, seed=wb.seed).select("txn_id", LABEL)
+    f = sampling.stratum_fraction(LABEL, SPLIT_FRACTIONS)
+    return _draw_checks(sampling.sample_by_native(wb.balanced, seed=wb.seed).select("txn_id", LABEL), wb.balanced, f, LABEL)
 
 
 @query("sample_stratified", O.with_base(None, "SELECT txn_id, isFraud FROM train"))
@@ -579,17 +616,46 @@ def feat_pca_2d(spark, sf_dir):
     return out.select("component", *[F.round(c, 6).alias(c) for c in ("explained_variance", "loading_0", "loading_1")])
 
 
-@query("feat_pca_k5", None, "R")
+_PCA_K, _PCA_N = 5, 9
+
+
+def _pca_sql() -> str:
+    """Components by repeated squaring: a covariance matrix, squared and scaled to trace 1
+    again and again, becomes the projector on its first component, whose row of
+    the largest diagonal element is the component with that loading positive.  The
+    component is then taken out of the matrix, and the next one follows."""
+    n = range(_PCA_N)
+    xs = ", ".join(f"CASE WHEN d{i} = 0 THEN 0.0 ELSE f{i} / d{i} END AS x{i}" for i in n)
+    cov = "[" + ", ".join("[" + ", ".join(f"covar_samp(x{i}, x{j})" for j in n) + "]" for i in n) + "]"
+    trace = "list_sum(list_transform(range(1, {n}), lambda k: x[k][k]))".format(n=_PCA_N + 1)
+    ctes = [_SD_ALL_SQL, f"xtr AS (SELECT {xs} FROM tr, sd)", f"xte AS (SELECT txn_id, {xs} FROM te, sd)", f"c0 AS (SELECT {cov} AS c FROM xtr)"]
+    for k in range(_PCA_K):
+        ctes.append(f"""q{k}(i, m) AS (SELECT 0, c FROM c{k} UNION ALL
+  SELECT i + 1, list_transform(x, lambda r: list_transform(r, lambda e: e / t)) FROM (SELECT i, x, {trace} AS t FROM (
+    SELECT i, list_transform(m, lambda r: list_transform(m, lambda s: list_dot_product(r, s))) AS x FROM q{k} WHERE i < 40)))""")
+        ctes.append(f"p{k} AS (SELECT m, c, list_sum(list_transform(range(1, {_PCA_N + 1}), lambda r: list_dot_product(m[r], c[r]))) AS l "
+                    f"FROM q{k}, c{k} WHERE i = 40)")
+        ctes.append(f"v{k} AS (SELECT list_transform(m[j], lambda e: e / sqrt(m[j][j])) AS v FROM (SELECT m, list_position(d, list_max(d)) AS j "
+                    f"FROM (SELECT m, list_transform(range(1, {_PCA_N + 1}), lambda r: m[r][r]) AS d FROM p{k})))")
+        ctes.append(f"c{k + 1} AS (SELECT list_transform(range(1, {_PCA_N + 1}), lambda r: list_transform(range(1, {_PCA_N + 1}), "
+                    f"lambda s: c[r][s] - l * m[r][s])) AS c FROM p{k})")
+    row = "[" + ", ".join(f"x{i}" for i in n) + "]"
+    select = "SELECT txn_id, " + ", ".join(f"round(list_dot_product({row}, v{k}.v), 4) + 0.0 AS pc{k}" for k in range(_PCA_K)) \
+        + " FROM xte, " + ", ".join(f"v{k}" for k in range(_PCA_K))
+    return O.with_base(",\n".join(ctes), select).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("feat_pca_k5", _pca_sql(), "CF")
 def feat_pca_k5(spark, sf_dir):
     """PCA(k=5) projections of the test features, each component's sign fixed
     so that its largest-magnitude loading is positive."""
     wb = _wb(spark, sf_dir)
-    model = wb.fitted("pca5", lambda: feat.pca_stage(5).fit(wb.train_features()))
+    model = wb.fitted("pca5", lambda: feat.pca_stage(_PCA_K).fit(wb.train_features()))
     pc = model.pc.toArray()                                  # d x k model state
     raw = [[float(pc[r, k]) for r in range(pc.shape[0])] for k in range(pc.shape[1])]
     flips = feat.pca_sign_flips(raw)
-    out = feat.vector_columns(model.transform(wb.test_features()), "pcaFeatures", 5, prefix="pc")
-    return out.select("txn_id", *[(F.col(f"pc{k}") * F.lit(flips[k])).alias(f"pc{k}") for k in range(5)])
+    out = feat.vector_columns(model.transform(wb.test_features()), "pcaFeatures", _PCA_K, prefix="pc")
+    return out.select("txn_id", *[(F.round(F.col(f"pc{k}") * F.lit(flips[k]), 4) + 0.0).alias(f"pc{k}") for k in range(_PCA_K)])
 
 
 # ============================================================= evaluation
@@ -659,14 +725,15 @@ def metrics_summary(spark, sf_dir):
 @query("metrics_wide", O.with_base(_rules_long_sql() + ",\n" + _MW2_SQL + ",\n" + _UNPIVOT_SQL,
                                    f"SELECT model, position, {_WIDE_COLS_SQL} FROM long GROUP BY model, position"), "ER")
 def metrics_wide(spark, sf_dir):
-    return ev.metrics_wide(_rules_long(spark, sf_dir))
+    table = ev.metrics_table(_rules_scored(spark, sf_dir), score=F.col("score"))
+    return table.select("model", "position", *[F.round(m, METRIC_DIGITS).alias(m) for m in METRIC_NAMES])
 
 
 @query("select_best_model", O.with_base(_rules_long_sql() + ",\n" + _MW2_SQL + ",\n" + _UNPIVOT_SQL,
                                         """SELECT model AS best_model, value AS best_F1 FROM long
 WHERE metric = 'F1' AND value IS NOT NULL ORDER BY value DESC, position ASC LIMIT 1"""))
 def select_best_model(spark, sf_dir):
-    return ev.select_best(ev.metrics_wide(_rules_long(spark, sf_dir)))
+    return ev.select_best(metrics_wide(spark, sf_dir))
 
 
 # ========================================================== closed-form models
@@ -681,6 +748,11 @@ def _saturated_lr(wb):
         LogisticRegression(featuresCol="features", labelCol=LABEL, maxIter=100, tol=1e-12)]).fit(wb.train))
 
 
+def _weighted_saturated_lr(wb):
+    return wb.fitted("lr_weighted_saturated", lambda: Pipeline(stages=_type_only_stages() + [
+        models.weighted_logistic_regression(max_iter=100, tol=1e-12)]).fit(feat.with_class_weights(wb.train)))
+
+
 def _per_type(model, df: DataFrame, digits: int = 4) -> DataFrame:
     types = df.select("type").distinct()
     p = vector_to_array(F.col("probability"))[1]
@@ -701,9 +773,7 @@ def model_lr_saturated(spark, sf_dir):
     "SELECT type, round(sum(wt * isFraud) / sum(wt), 4) AS probability FROM tw GROUP BY type"), "CF")
 def model_lr_weighted(spark, sf_dir):
     wb = _wb(spark, sf_dir)
-    model = wb.fitted("lr_weighted_saturated", lambda: Pipeline(stages=_type_only_stages() + [
-        models.weighted_logistic_regression(max_iter=100, tol=1e-12)]).fit(feat.with_class_weights(wb.train)))
-    return _per_type(model, wb.train)
+    return _per_type(_weighted_saturated_lr(wb), wb.train)
 
 
 @query("model_gbt_saturated", O.with_base(None, "SELECT type, CAST(avg(isFraud) > 0.5 AS INTEGER) AS prediction "
@@ -767,68 +837,218 @@ def model_kmeans_1d(spark, sf_dir):
 
 
 # ================================================================ full models
-def _lr_full(wb):
-    return fitted_model(wb, "LogisticRegression")
+#: Score equations are checked to this size (mean of (p - y) x).
+EQUATION_LIMIT = 1e-4
 
 
-def _rf_full(wb):
-    return fitted_model(wb, "RandomForest")
+def _score_equations(pred: DataFrame, weight: Column, width: int) -> DataFrame:
+    """Of a logistic regression at its optimum: per feature (-1: the intercept) the
+    weighted mean of y x, and whether the one of p x equals it."""
+    x, p = vector_to_array("features"), vector_to_array("probability")[1]
+    rows = pred.select(F.col(LABEL).alias("y"), p.alias("p"), weight.alias("w"),
+                       F.posexplode(F.concat(F.array(F.lit(1.0)), x)).alias("feature", "x"))
+    means = rows.groupBy("feature").agg(*[(F.sum(F.col("w") * F.col(c) * F.col("x")) / F.sum("w")).alias(c) for c in ("y", "p")])
+    return means.filter(F.col("feature") <= width).select(
+        (F.col("feature") - 1).alias("feature"), F.round("y", 6).alias("label_moment"),
+        (F.abs(F.col("p") - F.col("y")) < EQUATION_LIMIT).alias("equation_holds"))
 
 
-def _gbt_full(wb):
-    return fitted_model(wb, BOOSTED)
+def _moments_sql(rows: str, width: int, weight: str = "1.0") -> str:
+    cols = ["1.0"] + [f"x{i}" for i in range(width)]
+    return "\nUNION ALL ".join(f"SELECT {i - 1} AS feature, round(sum({weight} * isFraud * {c}) / sum({weight}), 6) AS label_moment, "
+                               f"true AS equation_holds FROM {rows}" for i, c in enumerate(cols))
 
 
-def _anomaly_full(wb):
-    return fitted_model(wb, "AnomalyDetector")
+@query("model_lr_full", O.with_base(
+    _SD_ALL_SQL + ",\nz AS (SELECT train.isFraud, " + ", ".join(f"CASE WHEN d{i} = 0 THEN 0.0 ELSE f{i} / d{i} END AS x{i}" for i in range(9))
+    + " FROM tr JOIN train USING (txn_id), sd)", _moments_sql("z", 9)), "CF")
+def model_lr_full(spark, sf_dir):
+    """Logistic regression on all scaled features, run to convergence: its score
+    equations hold on the training side."""
+    wb = _wb(spark, sf_dir)
+    model = wb.fitted("lr_converged", lambda: models.logistic_regression(max_iter=500, tol=1e-12).fit(wb.train_features()))
+    return _score_equations(model.transform(wb.train_features()), F.lit(1.0), 9)
 
 
-def _prediction_rows(pred: DataFrame) -> DataFrame:
-    p = vector_to_array(F.col("probability"))[1]
-    return pred.select("txn_id", LABEL, F.round(p, 6).alias("probability"),
-                       F.col("prediction").cast("int").alias("prediction"))
+_WIDE_SD = ",\n".join([
+    O.type_index_cte(), "nl AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM idx)",
+    "cw AS (SELECT CAST(count_if(isFraud = 0.0) AS BIGINT) AS n0, CAST(count_if(isFraud = 1.0) AS BIGINT) AS n1 FROM train)",
+    """wt AS (SELECT *, oldbalanceOrg - newbalanceOrig AS deltaOrig, newbalanceDest - oldbalanceDest AS deltaDest,
+  CAST(coalesce(abs((oldbalanceOrg - newbalanceOrig) - amount) > 0.01
+       OR abs((newbalanceDest - oldbalanceDest) - amount) > 0.01, false) AS DOUBLE) AS balanceMismatch,
+  CASE WHEN isFraud = 0.0 THEN CAST(n0 + n1 AS DOUBLE) / (2.0 * n0) ELSE CAST(n0 + n1 AS DOUBLE) / (2.0 * n1) END AS w FROM train, cw)""",
+    "wf AS (SELECT isFraud, w, " + ", ".join(f"{c} AS f{i}" for i, c in enumerate(_WIDE)) + ", "
+    + ", ".join(f"CAST(coalesce(idx.type_index, nl.n) = {float(i)} AS DOUBLE) AS f{8 + i}" for i in range(5))
+    + " FROM wt LEFT JOIN idx ON wt.type = idx.type, nl)",
+    "wsd AS (SELECT " + ", ".join(f"stddev_samp(f{i}) AS d{i}" for i in range(13)) + " FROM wf)",
+    "z AS (SELECT isFraud, w, " + ", ".join(f"CASE WHEN d{i} = 0 THEN 0.0 ELSE f{i} / d{i} END AS x{i}" for i in range(13)) + " FROM wf, wsd)"])
 
 
-@query("model_lr_full", None, "R")
-def model_lr_full(spark, sf_dir):
+@query("model_linear_wide_weighted", O.with_base(_WIDE_SD, _moments_sql("z", 13, "w")), "CF")
+def model_linear_wide_weighted(spark, sf_dir):
+    """Wide features (balance deltas, unseen-type slot, NaN-keeping assembly),
+    scaled, class-weighted binomial LR without regularisation, run to
+    convergence: its weighted score equations hold on the training side."""
     wb = _wb(spark, sf_dir)
-    return _prediction_rows(_lr_full(wb).transform(wb.test_features()))
+    model = wb.fitted("linear_wide_converged", lambda: models.full_pipeline(
+        feat.feature_stages(wide=True), models.weighted_logistic_regression(max_iter=500, tol=1e-12)).fit(wb.wide_train()))
+    return _score_equations(model.transform(wb.wide_train()), F.col(WEIGHT_COL), 13)
+
 
+RULE_TYPES = ("TRANSFER", "CASH_OUT")      # model_rf_full: label = bucket >= 7 and one of these types
+_RULE_TYPES_SQL = "coalesce(type IN (" + ", ".join(f"'{t}'" for t in RULE_TYPES) + "), false)"
 
-@query("model_rf_full", None, "R")
+
+@query("model_rf_full", O.with_base(None, f"""SELECT txn_id, CAST(CAST(floor(amount / {RF_RULE_BUCKET}) AS DOUBLE) >= {RF_RULE_CUT}
+  AND {_RULE_TYPES_SQL} AS INTEGER) AS prediction FROM test"""), "CF")
 def model_rf_full(spark, sf_dir):
+    """The registry's forest (50 bagged trees of depth 10, random feature subsets)
+    on a label made of two rules, which it must find exactly."""
     wb = _wb(spark, sf_dir)
-    return _prediction_rows(_rf_full(wb).transform(wb.test_features()))
 
+    def rows(df: DataFrame) -> DataFrame:
+        both = _rf_rule_frame(df).join(df.select("txn_id", "type"), "txn_id")
+        listed = F.coalesce(F.col("type").isin(*RULE_TYPES), F.lit(False))
+        return both.withColumn("listed", listed.cast("double")).withColumn("rule_label", F.col("rule_label") * F.col("listed"))
 
-@query("model_gbt_full", None, "R")
-def model_gbt_full(spark, sf_dir):
+    def fit():
+        assemble = VectorAssembler(inputCols=["bucket", "listed"], outputCol="features")
+        return Pipeline(stages=[assemble, models.random_forest(seed=wb.seed, label="rule_label")]).fit(rows(wb.train))
+    model = wb.fitted("rf_two_rules", fit)
+    return model.transform(rows(wb.test)).select("txn_id", F.col("prediction").cast("int").alias("prediction"))
+
+
+# ------------------------------------------------------- second-order boosting
+FORM_BUCKET = 1000.0       # form rows: amount in whole thousands, balances left out (0)
+
+
+def _form_rows(df: DataFrame, *keep: str) -> DataFrame:
+    """Transactions as the scoring form's four fields."""
+    thousands = F.floor(F.col("amount") / F.lit(FORM_BUCKET)).cast("double")
+    return df.select(*keep, "type", thousands.alias("amount"), F.lit(0.0).alias("oldbalanceOrg"), F.lit(0.0).alias("newbalanceOrig"))
+
+
+def _boost_sql(rounds: int, step: float) -> str:
+    """CTEs up to ``boosted(b, c, p)``: stumps boosted by gradients and Hessians on two
+    features, over their cells instead of rows.  A candidate is a cut and a side for the missing."""
+    leaf = "-{s} * {g} / ({h} + 1.0)"
+    gain = "0.5 * (e.lg * e.lg / (e.lh + 1.0) + (sg - e.lg) * (sg - e.lg) / (sh - e.lh + 1.0) - sg * sg / (sh + 1.0))"
+    return f"""fr AS (SELECT txn_id, floor(amount / {FORM_BUCKET}) AS b, CAST({_ORD_CASE} AS DOUBLE) AS c, isFraud, 1 AS own FROM train
+  UNION ALL SELECT txn_id, floor(amount / {FORM_BUCKET}), CAST({_ORD_CASE} AS DOUBLE), isFraud, 0 FROM test),
+cells AS (SELECT row_number() OVER (ORDER BY b, c NULLS LAST) AS k, b, c, CAST(sum(own) AS DOUBLE) AS n, sum(own * isFraud) AS pos FROM fr GROUP BY b, c),
+arr AS (SELECT list(n ORDER BY k) AS ns, list(pos ORDER BY k) AS ps, count(*) AS nk FROM cells),
+vals AS (SELECT DISTINCT 0 AS f, b AS v FROM cells WHERE n > 0 AND b <> 0 UNION ALL SELECT DISTINCT 1, c FROM cells WHERE n > 0 AND c <> 0),
+cut AS (SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS t FROM vals),
+cand AS (SELECT row_number() OVER (ORDER BY f, v, ml DESC) AS idx, f, t, ml FROM cut, (VALUES (true), (false)) z(ml) WHERE t IS NOT NULL OR NOT ml),
+sides AS (SELECT idx, list(CASE WHEN x IS NULL OR x = 0 THEN ml ELSE t IS NULL OR x < t END ORDER BY k) AS l
+  FROM (SELECT cand.*, k, CASE WHEN f = 0 THEN b ELSE c END AS x FROM cand, cells) GROUP BY idx),
+cs AS (SELECT list({{'idx': idx, 'l': l}} ORDER BY idx) AS cs FROM sides),
+boost(i, m) AS (SELECT 0, list_transform(ns, lambda z: 0.0::DOUBLE) FROM arr UNION ALL
+  SELECT i + 1, list_transform(range(1, nk + 1), lambda k: m[k] + CASE
+      WHEN best IS NULL OR best.gain <= 1e-6 THEN {leaf.format(s=step, g='sg', h='sh')}
+      WHEN best.l[k] THEN {leaf.format(s=step, g='best.lg', h='best.lh')} ELSE {leaf.format(s=step, g='(sg - best.lg)', h='(sh - best.lh)')} END)
+  FROM (SELECT i, m, nk, sg, sh, list_sort(list_transform(list_filter(sc, lambda e: e.lh >= 1 AND sh - e.lh >= 1),
+      lambda e: {{'gain': {gain}, 'first': -e.idx, 'lg': e.lg, 'lh': e.lh, 'l': e.l}}), 'DESC')[1] AS best
+    FROM (SELECT *, list_sum(g) AS sg, list_sum(h) AS sh, list_transform(cs, lambda a: {{'idx': a.idx, 'l': a.l,
+        'lg': list_sum(list_transform(range(1, nk + 1), lambda k: CASE WHEN a.l[k] THEN g[k] ELSE 0.0 END)),
+        'lh': list_sum(list_transform(range(1, nk + 1), lambda k: CASE WHEN a.l[k] THEN h[k] ELSE 0.0 END))}}) AS sc
+      FROM (SELECT i, m, nk, cs,
+          list_transform(range(1, nk + 1), lambda k: ns[k] / (1.0 + exp(-m[k])) - ps[k]) AS g,
+          list_transform(range(1, nk + 1), lambda k: ns[k] / (1.0 + exp(-m[k])) * (1.0 - 1.0 / (1.0 + exp(-m[k])))) AS h
+        FROM boost, arr, cs WHERE i < {rounds})))),
+boosted AS (SELECT b, c, 1.0 / (1.0 + exp(-m[k])) AS p FROM cells, boost WHERE i = {rounds}),
+scored AS (SELECT test.*, p FROM test JOIN boosted ON boosted.b = floor(amount / {FORM_BUCKET})
+  AND boosted.c IS NOT DISTINCT FROM CAST({_ORD_CASE} AS DOUBLE))"""
+
+
+def _recursive(body: str, select: str) -> str:
+    return O.with_base(body, select).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _stumps(wb, rounds: int, step: float):
+    train = wb.train.select("txn_id", LABEL).join(_form_rows(wb.train, "txn_id"), "txn_id")
+    return wb.fitted(f"stumps-{rounds}", lambda: models.form_pipeline(rounds=rounds, stepSize=step, maxDepth=1).fit(train))
+
+
+_BOOST_COLUMNS = "round(p, 6) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction"
+
+
+def _boost_rows(pred: DataFrame, *keep: str) -> DataFrame:
+    p = vector_to_array("probability")[1]
+    return pred.select(*keep, F.round(p, 6).alias("probability"), F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("model_boosted_stump", _recursive(_boost_sql(1, 1.0), f"SELECT txn_id, {_BOOST_COLUMNS} FROM scored"), "CF")
+def model_boosted_stump(spark, sf_dir):
+    """One split, with the missing rows (zeros, unknown types) on the better side and leaves of -G / (H + 1)."""
     wb = _wb(spark, sf_dir)
-    return _prediction_rows(_gbt_full(wb).transform(wb.test_features()))
+    return _boost_rows(_stumps(wb, 1, 1.0).transform(_form_rows(wb.test, "txn_id")), "txn_id")
 
 
-@query("model_anomaly", None, "R")
-def model_anomaly(spark, sf_dir):
+@query("model_gbt_full", _recursive(_boost_sql(50, 0.1), f"SELECT txn_id, {_BOOST_COLUMNS} FROM scored"), "CF")
+def model_gbt_full(spark, sf_dir):
+    """50 rounds of second-order boosting with the reference's shrinkage, on stumps."""
     wb = _wb(spark, sf_dir)
-    pred = anomaly.anomaly_predictions(_anomaly_full(wb), wb.test_features(), wb.train_features())
-    return pred.select("txn_id", LABEL, F.round("rawPrediction", 6).alias("rawPrediction"),
-                       F.col("prediction").cast("int").alias("prediction"), "fraud_cluster")
+    return _boost_rows(_stumps(wb, 50, 0.1).transform(_form_rows(wb.test, "txn_id")), "txn_id")
 
 
-@query("model_anomaly_test_mapped", None, "R")
-def model_anomaly_test_mapped(spark, sf_dir):
-    """The original mapping: clusters mapped to classes with the test labels."""
+@query("score_form_rows", _recursive(_boost_sql(50, 0.1), f"""SELECT type, floor(amount / {FORM_BUCKET}) AS amount, round(p, 4) AS probability,
+  CAST(p > 0.5 AS INTEGER) AS prediction, CASE WHEN p > 0.5 THEN 'FRAUD' ELSE 'NOT FRAUD' END AS label_text FROM scored"""), "CF")
+def score_form_rows(spark, sf_dir):
+    """The scoring form's four fields alone (``FORM_SCHEMA``), scored by the form's model."""
     wb = _wb(spark, sf_dir)
-    pred = anomaly.anomaly_predictions(_anomaly_full(wb), wb.test_features(), wb.test_features())
-    return pred.select("txn_id", LABEL, F.round("rawPrediction", 6).alias("rawPrediction"),
-                       F.col("prediction").cast("int").alias("prediction"), "fraud_cluster")
+    rows = _form_rows(wb.test).to(FORM_SCHEMA)
+    return scoring.score_batch(_stumps(wb, 50, 0.1), rows, keep=("type", "amount"), digits=4).drop("probability_text")
 
 
-@query("model_linear_wide_weighted", None, "R")
-def model_linear_wide_weighted(spark, sf_dir):
-    """Wide features (balance deltas, unseen-type slot, NaN-keeping assembly),
-    scaled, class-weighted binomial LR (maxIter 50, no regularisation)."""
-    return _prediction_rows(fit_predict(_wb(spark, sf_dir), "LinearWeighted"))
+# ------------------------------------------------------------ cluster detector
+def _detector_1d(wb):
+    """Detector on the amount alone (in thousands): (model, train, test)."""
+    def points(df: DataFrame) -> DataFrame:
+        x = df.select("txn_id", LABEL, (F.col("amount") / F.lit(KMEANS_1D_SCALE)).alias("x"))
+        return VectorAssembler(inputCols=["x"], outputCol="features").transform(x)
+    train, test = points(wb.train), points(wb.test)
+    return wb.fitted("anomaly_1d", lambda: anomaly.fit_anomaly(train, k_pca=1, seed=wb.seed, maxIter=100, tol=1e-9)), train, test
+
+
+def _detector_sql(mapped_on: str) -> str:
+    """CTEs up to ``det(txn_id, isFraud, raw, prediction)``: the best split of the sorted training values."""
+    x = f"amount / {KMEANS_1D_SCALE}"
+    return f"""dg AS (SELECT {x} AS x, count(*) AS n, sum({x}) AS sx FROM train GROUP BY 1),
+dc AS (SELECT x, sum(n) OVER (ORDER BY x ROWS UNBOUNDED PRECEDING) AS nl, sum(sx) OVER (ORDER BY x ROWS UNBOUNDED PRECEDING) AS sl FROM dg),
+dt AS (SELECT sum(n) AS nt, sum(sx) AS st FROM dg),
+db AS (SELECT sl / nl AS ml, (st - sl) / (nt - nl) AS mr FROM dc, dt WHERE nt - nl > 0
+  ORDER BY CAST(nl AS DOUBLE) * (nt - nl) * (sl / nl - (st - sl) / (nt - nl)) * (sl / nl - (st - sl) / (nt - nl)) DESC LIMIT 1),
+da AS (SELECT txn_id, isFraud, {x} AS x, abs({x} - ml) > abs({x} - mr) AS high, ml, mr FROM {mapped_on}, db),
+dr AS (SELECT high, avg(isFraud) AS rate FROM da GROUP BY high),
+df AS (SELECT high FROM dr ORDER BY rate DESC, high LIMIT 1),
+det AS (SELECT test.txn_id, test.isFraud, -({x} - CASE WHEN high THEN mr ELSE ml END) * ({x} - CASE WHEN high THEN mr ELSE ml END) AS raw,
+  CAST((abs({x} - ml) > abs({x} - mr)) = high AS INTEGER) AS prediction FROM test, db, df)"""
+
+
+def _detected(wb, mapped_on: str) -> DataFrame:
+    model, train, test = _detector_1d(wb)
+    return anomaly.anomaly_predictions(model, test, train if mapped_on == "train" else test, fallback="highest")
+
+
+_DETECTED_SQL = "SELECT txn_id, isFraud, round(raw, 4) + 0.0 AS rawPrediction, prediction FROM det"
+
+
+def _detected_rows(pred: DataFrame) -> DataFrame:
+    return pred.select("txn_id", LABEL, (F.round("rawPrediction", 4) + 0.0).alias("rawPrediction"), F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("model_anomaly", O.with_base(_detector_sql("train"), _DETECTED_SQL), "CF")
+def model_anomaly(spark, sf_dir):
+    """PCA -> KMeans from several starts -> clusters mapped to classes by the training labels -> distance
+    score, on one column, where the optimum is known."""
+    return _detected_rows(_detected(_wb(spark, sf_dir), "train"))
+
+
+@query("model_anomaly_test_mapped", O.with_base(_detector_sql("test"), _DETECTED_SQL), "CF")
+def model_anomaly_test_mapped(spark, sf_dir):
+    """The original mapping: clusters mapped to classes with the test labels."""
+    return _detected_rows(_detected(_wb(spark, sf_dir), "test"))
 
 
 @query("results_json_roundtrip", O.with_base(_rules_long_sql() + ",\n" + _MW2_SQL + ",\n" + _UNPIVOT_SQL
@@ -845,22 +1065,41 @@ def results_json_roundtrip(spark, sf_dir):
     return files.nested_metrics_to_long(back, keep=("best_model",))
 
 
-def leaderboard_predictions(wb) -> list[tuple[str, DataFrame]]:
-    test = wb.test_features()
-    return [
-        ("LogisticRegression", _lr_full(wb).transform(test)),
-        ("RandomForest", _rf_full(wb).transform(test)),
-        ("AnomalyDetector", anomaly.anomaly_predictions(_anomaly_full(wb), test, wb.train_features())),
-        (BOOSTED, _gbt_full(wb).transform(test)),
-    ]
+def _by_rate(weighted: bool) -> str:
+    w = "CASE WHEN isFraud = 0.0 THEN 0.5 / n0 ELSE 0.5 / n1 END" if weighted else "1.0"
+    return (f"SELECT test.*, round(q.p, 4) AS score, CAST(coalesce(q.p > 0.5, false) AS DOUBLE) AS prediction FROM test LEFT JOIN "
+            f"(SELECT type, sum({w} * isFraud) / sum({w}) AS p FROM train, lw GROUP BY type) q ON test.type = q.type")
 
 
-@query("leaderboard", None, "R")
+_LEADERBOARD_SQL = [
+    ("TypeLogistic", _by_rate(False)), ("WeightedTypeLogistic", _by_rate(True)),
+    ("AnomalyDetector", "SELECT test.*, round(raw, 4) AS score, CAST(det.prediction AS DOUBLE) AS prediction FROM test JOIN det USING (txn_id)"),
+    ("BoostedStump", "SELECT scored.* EXCLUDE (p), round(p, 4) AS score, CAST(p > 0.5 AS DOUBLE) AS prediction FROM scored"),
+]
+
+
+def _leaderboard_sql() -> str:
+    body = ",\n".join(["lw AS (SELECT CAST(count_if(isFraud = 0.0) AS DOUBLE) AS n0, CAST(count_if(isFraud = 1.0) AS DOUBLE) AS n1 FROM train)",
+                       _detector_sql("train"), _boost_sql(1, 1.0), _models_sql(_LEADERBOARD_SQL), _MW2_SQL, _UNPIVOT_SQL])
+    return _recursive(body, f"SELECT model, position, {_WIDE_COLS_SQL} FROM long GROUP BY model, position")
+
+
+@query("leaderboard", _leaderboard_sql(), "CF")
 def leaderboard(spark, sf_dir):
-    """All four models, metrics side by side (model x metric), best first."""
+    """A list of models fitted side by side and measured in one pass (model x
+    metric); the models are ones whose optimum is known."""
     wb = _wb(spark, sf_dir)
-    long = ev.metrics_long([(n, scored_for_metrics(wb, p)) for n, p in leaderboard_predictions(wb)])
-    return ev.metrics_wide(long.withColumn("value", F.round("value", METRIC_DIGITS)))
+    wb.train.count()
+    lr, weighted, _, stump = side_by_side(spark, [
+        ("lr", lambda: _saturated_lr(wb)), ("weighted", lambda: _weighted_saturated_lr(wb)),
+        ("anomaly", lambda: _detector_1d(wb)), ("stump", lambda: _stumps(wb, 1, 1.0))])
+    p = F.round(vector_to_array("probability")[1], 4)
+    form = wb.test.select("txn_id", LABEL).join(_form_rows(wb.test, "txn_id"), "txn_id")
+    scored = [lr.transform(wb.test).withColumn("score", p), weighted.transform(wb.test).withColumn("score", p),
+              _detected(wb, "train").withColumn("score", F.round("rawPrediction", 4)), stump.transform(form).withColumn("score", p)]
+    named = [(name, df) for (name, _), df in zip(_LEADERBOARD_SQL, scored)]
+    table = ev.metrics_table(named, score=F.col("score"))
+    return table.select("model", "position", *[F.round(m, METRIC_DIGITS).alias(m) for m in METRIC_NAMES])
 
 
 # =================================================================== scoring
@@ -902,29 +1141,25 @@ def score_stream(spark, sf_dir):
 
 
 # =============================================================== explanation
-@query("explain_prompt_text", O.with_base(f"sc AS ({_rule_scored_sql()})", """SELECT txn_id,
-  'You are a helpful fraud-detection assistant. Read the transaction below and in simple English do three short things:'
-  || chr(10) || chr(10) || '1) One-line explanation why the model predicted: '
-  || CASE WHEN prediction = 1 THEN 'FRAUD' ELSE 'NOT FRAUD' END || '.' || chr(10)
-  || '2) List up to 3 attributes that look suspicious (amount, balances, type etc.).' || chr(10)
-  || '3) Suggest one short next action (e.g., hold transaction, ask customer, investigate account).'
-  || chr(10) || chr(10) || 'Transaction: {type: ' || coalesce(type, 'null')
-  || ', amount: ' || coalesce(printf('%.4f', amount), 'null') || ', oldbalanceOrg: ' || coalesce(printf('%.4f', oldbalanceOrg), 'null')
-  || ', newbalanceOrig: ' || coalesce(printf('%.4f', newbalanceOrig), 'null') || ', oldbalanceDest: ' || coalesce(printf('%.4f', oldbalanceDest), 'null')
-  || ', newbalanceDest: ' || coalesce(printf('%.4f', newbalanceDest), 'null') || ', predicted_label: '
-  || CAST(CAST(prediction AS INTEGER) AS VARCHAR) || '}' || chr(10) || chr(10)
-  || 'Keep the answer short (max 120 words). Use clear bullet points or numbered lines.' AS prompt
-FROM sc WHERE prediction = 1"""))
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+_DETAILS_SQL = " || ', ' || ".join(
+    f"'{c}: ' || coalesce({c if c == 'type' else f'printf({chr(39)}%.4f{chr(39)}, {c})'}, 'null')" for c in explain.DETAIL_FIELDS)
+
+
+@query("explain_prompt_text", O.with_base(f"sc AS ({_rule_scored_sql()})", f"""SELECT txn_id, {_sql_text(explain.PROMPT_HEAD)}
+  || {_sql_text(explain.PROMPT_STEP1)} || CASE WHEN prediction = 1 THEN 'FRAUD' ELSE 'NOT FRAUD' END || '.' || chr(10)
+  || {_sql_text(explain.PROMPT_STEP2)} || {_sql_text(explain.PROMPT_STEP3)} || 'Transaction: {{' || {_DETAILS_SQL}
+  || ', predicted_label: ' || CAST(CAST(prediction AS INTEGER) AS VARCHAR) || '}}' || chr(10) || chr(10)
+  || {_sql_text(explain.PROMPT_TAIL)} AS prompt FROM sc WHERE prediction = 1"""))
 def explain_prompt_text(spark, sf_dir):
     """Prompt text for every flagged test transaction, as a column."""
     scored = _rule_scored(_wb(spark, sf_dir).test)
     return explain.with_prompt(scored).select("txn_id", "prompt")
 
 
-def _sql_text(text: str) -> str:
-    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
-
-
 _REQUEST_SQL = (
     f"SELECT test.txn_id, {_sql_text(explain.REQUEST_HEAD)} || " + " || ".join(
         f"{_sql_text(label)} || coalesce(" + ("test.type" if c == "type" else f"printf('%.4f', {c})") + ", 'null') || chr(10)"
@@ -976,17 +1211,24 @@ def explain_top3_reasons(spark, sf_dir):
     return reasons.select("txn_id", *[F.try_element_at("r", F.lit(k)).alias(f"reason_{k}") for k in (1, 2, 3)])
 
 
-@query("explain_top3_reasons_lr", None, "R")
+@query("explain_top3_reasons_lr", O.with_base(O.type_index_cte() + """,
+lw AS (SELECT CAST(count_if(isFraud = 0.0) AS DOUBLE) AS n0, CAST(count_if(isFraud = 1.0) AS DOUBLE) AS n1 FROM train),
+rate AS (SELECT type, sum(CASE WHEN isFraud = 1.0 THEN 0.5 / n1 ELSE 0.0 END) / sum(CASE WHEN isFraud = 0.0 THEN 0.5 / n0 ELSE 0.5 / n1 END) AS p
+  FROM train, lw GROUP BY type),
+base AS (SELECT idx.type, p FROM idx JOIN rate USING (type) ORDER BY type_index DESC LIMIT 1)""",
+    """SELECT test.txn_id, CASE WHEN test.type <> base.type AND rate.p > base.p THEN 'type=' || test.type END AS reason_1,
+  CAST(NULL AS VARCHAR) AS reason_2, CAST(NULL AS VARCHAR) AS reason_3
+FROM test JOIN rate ON test.type = rate.type, base WHERE rate.p > 0.5"""), "CF")
 def explain_top3_reasons_lr(spark, sf_dir):
-    """Reason codes from the fitted logistic regression: the three largest
-    positive ``coef_j * x_j`` over its scaled features, for every test row
-    the model flags."""
-    wb = _wb(spark, sf_dir)
-    lr = _lr_full(wb)
-    labels = wb.feature_model().stages[0].labels
-    names = NUMERIC_FEATURES + [f"type={t}" for t in labels[:-1]]      # one-hot drops the last label
-    contrib = explain.model_contributions("features", lr.coefficients.toArray().tolist(), names)
-    flagged = lr.transform(wb.test_features()).filter(F.col("prediction") == 1.0)
+    """Reason codes from a fitted (class-weighted) logistic regression: the three
+    largest positive ``coef_j * x_j`` for every test row that the model flags.  On
+    the types alone a coefficient is a difference of the group rates' logits."""
+    wb = _wb(spark, sf_dir)
+    model = _weighted_saturated_lr(wb)
+    labels = model.stages[0].labels
+    names = [f"type={t}" for t in labels[:-1]]      # one-hot drops the last label
+    contrib = explain.model_contributions("features", model.stages[-1].coefficients.toArray().tolist(), names)
+    flagged = scoring.transform_all(model, wb.test).filter((F.col("prediction") == 1.0) & F.col(scoring.SCORED))
     bound = flagged.select("txn_id", *[v.alias(f"c{i}") for i, v in enumerate(contrib.values())])
     reasons = bound.select("txn_id", explain.top_reasons(
         {n: F.col(f"c{i}") for i, n in enumerate(contrib)}, 3).alias("r"))

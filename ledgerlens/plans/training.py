@@ -7,14 +7,14 @@ load -> balance (hash coin) -> split (complementary filters) -> fit features
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions.exprs import score_of
-from ..operators import anomaly, evaluation as ev, features as feat, models
+from ..operators import anomaly, boosting, evaluation as ev, features as feat, models
+from ..operators.parallel import FITS_AT_ONCE, side_by_side
 from ..sources import files
-from ..sources.schema import LABEL
 from .workbench import Workbench, workbench
 
 BOOSTED = "GradientBoostedTrees"
@@ -35,8 +35,10 @@ REGISTRY = {
     "RandomForest": ("rf", lambda wb: models.random_forest(seed=wb.seed).fit(wb.train_features())),
     BOOSTED: ("gbt", lambda wb: models.boosted_trees(seed=wb.seed).fit(wb.train_features())),
     "AnomalyDetector": ("anomaly", lambda wb: anomaly.fit_anomaly(wb.train_features(), seed=wb.seed)),
-    "LinearWeighted": ("linear_weighted", lambda wb: linear_weighted_pipeline().fit(
-        feat.with_class_weights(feat.with_balance_deltas(wb.train)))),
+    "LinearWeighted": ("linear_weighted", lambda wb: linear_weighted_pipeline().fit(wb.wide_train())),
+    # the scoring form's model: four fields, the type as its fixed code, zeros as missing values
+    "FormBoosted": ("form_boosted", lambda wb: models.form_pipeline().fit(wb.train)),
+    "SecondOrderBoosting": ("second_order", lambda wb: boosting.SecondOrderBoosting().fit(wb.train_features())),
 }
 if models.xgboost_available():
     REGISTRY["XGBoost"] = ("xgboost", lambda wb: models.boosted_trees(seed=wb.seed, engine="xgboost").fit(wb.train_features()))
@@ -56,12 +58,21 @@ def fitted_model(wb: Workbench, name: str):
     return wb.fitted(key, lambda: fit(wb))
 
 
+def fit_all(wb: Workbench, names: Sequence[str], at_once: int = FITS_AT_ONCE) -> list:
+    """Every named model, fitted side by side on the shared persisted frames."""
+    check_names(names)
+    wb.train_features().count()          # made once, before the fits ask for it together
+    return side_by_side(wb.spark, [(n, lambda n=n: fitted_model(wb, n)) for n in names], at_once)
+
+
 def artifact(wb: Workbench, name: str) -> PipelineModel:
     """Everything that scoring new rows needs, as one pipeline: the features,
     the model and, for the cluster detector, the class of its clusters."""
     fitted = fitted_model(wb, name)
     if name == "LinearWeighted":      # carries its own features but for the deltas
         return PipelineModel(stages=[feat.balance_deltas_stage(), *fitted.stages])
+    if name == "FormBoosted":
+        return fitted
     if name == "AnomalyDetector":
         return anomaly.scoring_pipeline(wb.feature_model(), fitted, wb.train_features())
     return models.combine(wb.feature_model(), fitted)
@@ -76,22 +87,25 @@ def fit_predict(wb: Workbench, name: str, map_on: str = "train") -> DataFrame:
         return anomaly.anomaly_predictions(m, test, test if map_on == "test" else wb.train_features())
     if name == "LinearWeighted":
         return m.transform(feat.with_balance_deltas(wb.test))
+    if name == "FormBoosted":
+        return m.transform(wb.test)
     return m.transform(wb.test_features())
 
 
-def scored_for_metrics(wb: Workbench, pred: DataFrame) -> DataFrame:
-    """The three columns the metrics read, persisted: confusion counts and the
-    two AUC passes then reuse one model inference instead of three."""
-    narrow = pred.select(F.col(LABEL), F.col("prediction").cast("double").alias("prediction"),
-                         score_of(pred.schema).alias("rawPrediction"))
-    return wb.persist(narrow)
-
-
 def evaluate(spark: SparkSession, sf_dir: str, names=ALL_MODELS, seed: int = 42) -> DataFrame:
     """Wide metrics table (model, position, six metrics) for ``names``."""
-    wb = workbench(spark, sf_dir, seed)
-    long = ev.metrics_long([(n, scored_for_metrics(wb, fit_predict(wb, n))) for n in names])
-    return ev.metrics_wide(long)
+    return metrics_of(workbench(spark, sf_dir, seed), names)
+
+
+def metrics_of(wb: Workbench, names: Sequence[str]) -> DataFrame:
+    """The metrics table of the named models: fitted side by side, measured in one
+    pass, and kept by the workbench, so that picking the best reads it again."""
+    names = check_names(names)
+
+    def make() -> DataFrame:
+        fit_all(wb, names)
+        return wb.persist(ev.metrics_table([(n, fit_predict(wb, n)) for n in names]))
+    return wb.memo(("metrics", names), make)
 
 
 def run_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, names=ALL_MODELS,
@@ -101,7 +115,7 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, names=
     in the shared ``spark.checkpoint.dir`` by default)."""
     names = check_names(names)
     wb = workbench(spark, sf_dir, seed)
-    wide = evaluate(spark, sf_dir, names, seed).persist()
+    wide = evaluate(spark, sf_dir, names, seed)
     best = ev.select_best(wide).first()
     out = out_dir or files.scratch_dir(spark, "job")
     best_name = best["best_model"] if best else None
@@ -111,7 +125,6 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, names=
     files.write_metrics_json(long, f"{out}/metrics")
     files.write_results_json(long, ev.select_best(wide), f"{out}/results")
     rows = wide.orderBy("position").collect()    # one row per model
-    wide.unpersist()
     wb.close()
     return {"best_model": best_name, "out_dir": out,
             "all_metrics": {r["model"]: {k: r[k] for k in r.asDict() if k not in ("model", "position")}
@@ -121,5 +134,4 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None, names=
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """load -> balance -> split -> features + LR -> score -> fused metrics."""
     wb = workbench(spark, sf_dir)
-    pred = scored_for_metrics(wb, fit_predict(wb, "LogisticRegression"))
-    return ev.metrics_wide(ev.metrics_long([("LogisticRegression", pred)]))
+    return ev.metrics_table([("LogisticRegression", fit_predict(wb, "LogisticRegression"))])
