@@ -113,26 +113,30 @@ class Linear:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -700, 700)))
 
 
+def risk(theta: np.ndarray, owner: np.ndarray, flat: np.ndarray, x: np.ndarray, positive: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """``(first term, second term, gradient to follow)`` of the non-negative risk with the
+    logistic loss: prior * l+ of the positives, and l- of the unlabelled less prior * l- of
+    the positives.  Where the second term is below zero the gradient is that of
+    raising it."""
+    n_texts, n_pos, n_unl = len(positive), positive.sum(), (~positive).sum()
+    z = np.bincount(owner, theta[flat] * x, n_texts) + theta[-1]
+    p = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
+    minus = np.logaddexp(0, z)                                  # l(z, -)
+    rest = minus[~positive].mean() - prior * minus[positive].mean()
+    down = np.where(positive, -prior * p / n_pos, p / n_unl)    # gradient of the second term
+    g = down + np.where(positive, prior * (p - 1) / n_pos, 0.0) if rest >= 0 else -down
+    return prior * np.logaddexp(0, -z[positive]).mean(), rest, np.append(np.bincount(flat, g[owner] * x, len(theta) - 1), g.sum())
+
+
 def fit_pu(owner: np.ndarray, flat: np.ndarray, x: np.ndarray, positive: np.ndarray, n_features: int, prior: float,
            epochs: int = EPOCHS, rate: float = RATE, decay: float = DECAY) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam on the non-negative risk, from the
     entries (text number, feature number, rate) of the texts."""
-    n_texts = len(positive)
-    n_pos, n_unl = positive.sum(), (~positive).sum()
     theta = np.zeros(n_features + 1)
     theta[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, epochs + 1):
-        z = np.bincount(owner, theta[flat] * x, n_texts) + theta[-1]
-        p = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
-        minus = np.logaddexp(0, z)                                  # l(z, -)
-        rest = minus[~positive].mean() - prior * minus[positive].mean()
-        down = np.where(positive, -prior * p / n_pos, p / n_unl)    # gradient of the second term
-        if rest >= 0:
-            g = down + np.where(positive, prior * (p - 1) / n_pos, 0.0)
-        else:
-            g = -down
-        grad = np.append(np.bincount(flat, g[owner] * x, n_features), g.sum())
+        _, _, grad = risk(theta, owner, flat, x, positive, prior)
         grad[:-1] += decay * theta[:-1]
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
@@ -152,33 +156,35 @@ def evidence(p: Column, u: Column, n_pos: int, n_unl: int) -> Column:
     return F.when(own > 2 * other, ratio).otherwise(0.0)
 
 
-def _some(ids: DataFrame, n: int) -> DataFrame:
-    """Up to ``n`` ids, the smallest by a seeded hash."""
-    return ids.distinct().orderBy(F.xxhash64(F.col("id"), F.lit("toxicity")), "id").limit(n)
+def _some(rows: DataFrame, n: int) -> DataFrame:
+    """Up to ``n`` different ``rows(id, h)``, ids in the order of a seeded hash."""
+    return rows.distinct().orderBy(F.xxhash64(F.col("id"), F.lit("toxicity")), "id", "h").limit(n)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
           folds: int = FOLDS, fold: int = FOLD, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Linear:
-    """Fit on rows whose id is not in the held-out fold.
+    """Fit on rows whose id is not in the held-out fold: ``positives`` confirmed and
+    ``unlabelled`` rows at most, each different id and text once however often it is repeated.
 
     Without confirmed or without other rows the score is constant: the share of
     toxic labels, 0.0 if there are none at all.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).filter(
-        F.col("id").isNotNull() & ~held_out(F.col("id"), folds, fold))
+        F.col("id").isNotNull() & ~held_out(F.col("id"), folds, fold)).withColumn("h", F.xxhash64("text"))
     known = one_label(labels, id_col, label).filter(~held_out(F.col("id"), folds, fold))
     n, toxic = known.agg(F.count("*"), F.coalesce(F.sum((F.col("label") == 1).cast("int")), F.lit(0))).first()
     prior = float(np.clip(toxic / n if n else 0.0, 0.0, 1.0))
     if not 0 < toxic:
         return Linear({}, float(np.log(1e-6)))
-    prior = min(max(prior, 1e-3), 0.5)
+    prior = min(max(prior, 1e-3), 1 - 1e-3)
     toxic_ids = known.filter("label = 1").select("id")
-    ids = rows.select("id")
+    ids = rows.select("id", "h")
     # both samples are bounded, so they may be broadcast
     chosen = _some(ids.join(toxic_ids, "id", "left_semi"), positives).withColumn("y", F.lit(1)).unionByName(
         _some(ids, unlabelled).withColumn("y", F.lit(0)))
-    sample = written(rows.join(F.broadcast(written(chosen, "toxicity-ids")), "id").select("y", "text"), "toxicity-sample")
+    met = rows.join(F.broadcast(written(chosen, "toxicity-ids")), ["id", "h"])
+    sample = written(met.groupBy("id", "h", "y").agg(F.any_value("text").alias("text")).select("y", "text"), "toxicity-sample")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
                                               pa.array([[r for _, r in o] for o in own], pa.list_(pa.float64()))], ["y", "f", "r"])
 
     # a fixed order of the rows gives the same sums in every run
-    got = sample.mapInArrow(numbered, "y int, f array<int>, r array<double>").orderBy("y", "f", "r").toArrow()
+    got = sample.mapInArrow(numbered, "y int, f array<int>, r array<double>").orderBy(F.xxhash64("y", "f", "r"), "y", "f", "r").toArrow()
     lists, values = got.column("f").combine_chunks(), got.column("r").combine_chunks()
     owner = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
     weights, bias = fit_pu(owner, np.asarray(lists.flatten()), np.asarray(values.flatten()), np.asarray(got.column("y")) == 1,

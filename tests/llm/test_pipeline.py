@@ -34,3 +34,26 @@ def test_stages_keep_the_columns_and_take_effect(spark):
 
 def test_run_equals_the_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+def odd_docs(spark, ids):
+    """Null and repeated ids, null and empty texts and sources, repeated rows, a long text, columns with clashing names."""
+    text = "One two three four five six seven eight nine ten. " * 12
+    rows = [(None, text, "en", "a"), (1, text + "x", "en", None), (1, text + "x", "en", None), (2, None, None, "b"), (3, "", "en", "b"),
+            (4, "word and another one here. " * 4000, "en", "a"), (5, text.replace("two", "zwei"), "de", "c"), (6, text + "y", "en", "c")]
+    docs = spark.createDataFrame([(i, t, lang, s, len(t or ""), 1, "z", 2.0) for i, t, lang, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, id int, take string, score double")
+    return docs.withColumn("doc_id", docs.doc_id.cast(ids))
+
+
+def test_stages_take_odd_rows_and_any_id(spark):
+    for ids in ("long", "string"):
+        docs = odd_docs(spark, ids)
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, SF)
+            rows = out.collect()
+            assert i == 4 or out.columns == docs.columns, name
+            assert dict(out.dtypes)["doc_id"] == dict(docs.dtypes)["doc_id"], name
+            if name in ("near_dedup", "token_ids"):      # the other stages may drop any of them
+                assert rows, name
+            assert stage(spark, docs.limit(0), SF).count() == 0, name
