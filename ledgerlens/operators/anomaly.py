@@ -48,7 +48,7 @@ def distance_score(points: Column, centre: Column | list[float]) -> Column:
 
 
 #: Seeded starts of the cluster fit; the one of the lowest training cost is kept.
-STARTS = 5
+STARTS = 3
 
 
 def fit_anomaly(train_features: DataFrame, k_pca: int = PCA_K, k: int = KMEANS_K,
