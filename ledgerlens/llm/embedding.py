@@ -316,6 +316,7 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector: str = "embedd
     null, empty, zero, or has null or non-finite components link with nothing
     and are components of their own.  Repeated rows count as rows; a null id
     never names a component.  Equal vectors are compared once, by their value.
+    An empty table gives no rows; other columns are ignored.
     """
     # vectors travel as they are stored; every product is taken in double precision
     kind = "float" if table.schema[vector].dataType.simpleString() == "array<float>" else "double"

@@ -302,7 +302,9 @@ def with_main_text(pages: DataFrame, html_col: str = "html", out: str = "text",
     """``pages`` with the main text of ``html_col`` in ``out``.
 
     Each page is worked on whole and by itself, a batch at a time; nothing is
-    shuffled.  Repeated rows give equal texts; other columns pass through.
+    shuffled.  Repeated rows give equal texts; other columns pass through, but
+    one named ``out`` is replaced.  A page may be of any length; an empty table
+    gives no rows.
     """
     def values(texts: list) -> pa.Array:
         return pa.array([main_text((t or b"").decode()) for t in texts], pa.string())

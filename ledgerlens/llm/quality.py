@@ -188,7 +188,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     but the text enters a score.  Null and empty texts are scored by the same
     model on zero counts.  Repeated rows are scored, and counted in training, as
     often as they come; an id with several labels takes the largest.  Rows with
-    a null id are scored and never trained on.  Extra columns are not read.
+    a null id are scored and never trained on.  Texts are scored whole, however
+    long.  An empty table gives no rows.  Extra columns are not read.
     """
     model = train(docs, labels, id_col, text, label, folds, fold)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
@@ -199,7 +200,12 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
              threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` scored at ``threshold`` or above, columns unchanged."""
+    """The rows of ``docs`` scored at ``threshold`` or above, columns unchanged.
+
+    Nulls, empty and very long texts and repeated rows are scored as in
+    :func:`classify`; an empty table gives an empty one, and without labelled rows
+    every score is 0.5, so all rows stay.  Columns may have any names.
+    """
     score = free_name(docs, "score")
     scored = with_score(docs, train(docs, labels, id_col, text, label), text, score)
     return scored.filter(F.col(score) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -237,7 +237,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     Nothing but the text enters a score.  Null and empty texts get the score of
     a text without known features.  Repeated rows are scored as often as they
     come; an id with several labels takes the largest; rows with a null id are
-    scored and never trained on.  Extra columns are not read.
+    scored and never trained on.  Texts are scored whole, however long.  An empty
+    table gives no rows.  Extra columns are not read.
     """
     model = train(docs, labels, id_col, text, label, folds, fold)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))

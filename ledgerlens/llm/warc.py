@@ -338,7 +338,8 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url: str = "url", h
 
     Of equal payloads of at least ``least_bytes`` the one with the smallest id is
     a response (so are repeated rows of that id, and all rows if every id is
-    null); the others revisit it.  Null texts have an empty payload.  The first
+    null); the others revisit it.  Null texts have an empty payload, texts may be of any
+    length, other columns are not read, and an empty table gives no records.  The first
     id of a payload is found with map-side combining; a payload that very many
     pages share is split by the adaptive join.
     """

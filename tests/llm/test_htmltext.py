@@ -116,3 +116,8 @@ def test_ratios_equal_a_plain_sum():
         weight = {q: sum(len(t) - k for r, _, t, k, _ in found if r == q) for q in near}
         mean = sum(raw[q] * weight[q] for q in near) / sum(weight.values()) if any(weight.values()) else 0
         assert abs(smooth[p] - ((raw[p] + mean) / 2 if weight[p] else 0)) < 1e-9
+
+
+def test_a_column_named_as_the_result_is_replaced(spark):
+    df = spark.createDataFrame([(1, "<p>New text.</p>", "old")], "page_id long, html string, text string")
+    assert [tuple(r) for r in htmltext.with_main_text(df).collect()] == [(1, "New text.")]
