@@ -3,6 +3,12 @@
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that the one
 before it kept; :func:`run` writes each stage's rows as Parquet into the shared
 folder and reads them back for the next.
+
+In every stage ids may be null, repeated or of any type, texts and sources null,
+texts empty or very long, rows repeated, and further columns of any name pass
+through all stages but the last; an empty table gives an empty result.  Null and
+empty texts have no words: the rules reject them, and a stage called on its
+own keeps one of them as near-duplicates, takes none into the mix, and gives them no tokens.
 """
 
 from __future__ import annotations
