@@ -18,9 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import free_name, with_value
+from .common import free_name, with_value, written
 
 STATS = ("words", "word_length", "symbols", "exclamations", "capitals", "digits", "stops", "wide",
          "lines", "line_copies", "vocabulary", "short_words")
@@ -162,22 +162,42 @@ def fit(rows: DataFrame, pooled: float = SHRINK_POOLED, identity: float = SHRINK
     return Discriminant(mean, np.stack(whiten), np.array(log_det), float(np.log(n[1] / n[0])))
 
 
+def labelled(rows: DataFrame, labels: DataFrame, id_col: str, label: str, folds: int, fold: int) -> DataFrame:
+    """``rows(id, x)`` outside the held-out fold with their ``label``."""
+    trained = F.col("id").isNotNull() & ~held_out(F.col("id"), folds, fold)
+    return rows.filter(trained).join(one_label(labels, id_col, label), "id")
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
           folds: int = FOLDS, fold: int = 0) -> Discriminant | Constant:
-    """Fit on the labelled rows of ``docs`` whose id is not in the held-out fold."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).filter(
-        F.col("id").isNotNull() & ~held_out(F.col("id"), folds, fold))
-    return fit(with_statistics(rows).join(one_label(labels, id_col, label), "id"))
+    """Fit on the labelled rows of ``docs`` whose id is not in the held-out fold.
+
+    Only their statistics are shuffled, never a text.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    return fit(labelled(with_statistics(rows), labels, id_col, label, folds, fold))
 
 
-def with_score(docs: DataFrame, model: Discriminant | Constant, text: str = "text", out: str = "score",
-               drop_text: bool = False) -> DataFrame:
+def with_score(docs: DataFrame, model: Discriminant | Constant, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the score of ``text`` (0 to 1) in ``out``."""
     def values(texts: list) -> pa.Array:
         x = np.array([statistics(t) for t in texts], np.float64).reshape(-1, len(STATS))
         return pa.array(model.score(x), pa.float64())
 
-    return with_value(docs, text, values, out, DoubleType(), drop_text)
+    return with_value(docs, text, values, out, DoubleType())
+
+
+def with_scored(rows: DataFrame, model: Discriminant | Constant, out: str = "score") -> DataFrame:
+    """``rows(..., x)`` with the score of the statistics ``x`` in their place."""
+    keep = [f for f in rows.schema.fields if f.name != "x"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.asarray(batch.column("x").flatten(), np.float64).reshape(-1, len(STATS))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), pa.array(model.score(x), pa.float64())],
+                                             [*(f.name for f in keep), out])
+
+    return rows.mapInArrow(run, StructType([*keep, StructField(out, DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
@@ -191,9 +211,11 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     a null id are scored and never trained on.  Texts are scored whole, however
     long.  An empty table gives no rows.  Extra columns are not read.
     """
-    model = train(docs, labels, id_col, text, label, folds, fold)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    return with_score(rows, model, drop_text=True).select(
+    # the texts are read once: training and scoring share the table of statistics
+    rows = written(with_statistics(rows), "document-statistics")
+    model = fit(labelled(rows, labels, id_col, label, folds, fold))
+    return with_scored(rows, model).select(
         "id", held_out(F.col("id"), folds, fold).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
