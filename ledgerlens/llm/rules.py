@@ -11,7 +11,7 @@ order changes the work and the reason reported, never which documents stay.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,13 +22,26 @@ SYMBOLS = r"[#*$%&|<>]"
 SAMPLE_ROWS = 2000
 
 
+@dataclass(frozen=True)
+class Measures:
+    """What the rules look at: columns of a table, or expressions over its text."""
+
+    n_words: Column
+    word_chars: Column
+    n_symbols: Column
+    exclamations: Column
+    capitals: Column
+    n_lines: Column
+    n_dup_lines: Column
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``rejects`` maps (text, words) to a Boolean; the work is
+    """``rejects`` maps the measures to a Boolean; the work is
     ``per_char`` and ``per_word`` units for each character and word."""
 
     name: str
-    rejects: Callable[[Column, Column], Column]
+    rejects: Callable[[Measures], Column]
     per_char: float
     per_word: float
 
@@ -45,14 +58,16 @@ def _lines(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
 
-def n_lines(text: Column) -> Column:
-    return F.size(_lines(text)).cast("long")
+def n_dup_lines(lines: Column) -> Column:
+    """Lines that equal an earlier line."""
+    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
-def n_dup_lines(text: Column) -> Column:
-    """Lines with a word that equal an earlier line."""
-    lines = _lines(text)
-    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
+def measures_of(text: Column, words: Column) -> Measures:
+    """The measures as expressions, each worked out where a rule uses it."""
+    whole, lines = F.coalesce(text, F.lit("")), _lines(text)
+    return Measures(F.size(words).cast("long"), word_chars(words), n_symbols(text), F.regexp_count(whole, F.lit("!")),
+                    F.regexp_count(whole, F.lit("[A-Z]")), F.size(lines).cast("long"), n_dup_lines(lines))
 
 
 def window_hashes(words: Column) -> Column:
@@ -116,12 +131,12 @@ def with_repeat_words(docs: DataFrame, words: str, out: str) -> DataFrame:
 
 #: Fixed thresholds of the default rules, as whole-number comparisons.
 DEFAULT_RULES = (
-    Rule("symbols", lambda t, w: n_symbols(t) * 10 > F.size(w), 1.0, 0.0),
-    Rule("exclamations", lambda t, w: F.regexp_count(F.coalesce(t, F.lit("")), F.lit("!")) * 5 > F.size(w), 1.0, 0.0),
-    Rule("short_words", lambda t, w: word_chars(w) < F.size(w) * 2, 0.2, 2.0),
-    Rule("long_words", lambda t, w: word_chars(w) > F.size(w) * 12, 0.2, 2.0),
-    Rule("capitals", lambda t, w: F.regexp_count(F.coalesce(t, F.lit("")), F.lit("[A-Z]")) * 2 > word_chars(w), 1.5, 2.0),
-    Rule("line_copies", lambda t, w: n_dup_lines(t) * 2 > n_lines(t), 3.0, 0.0),
+    Rule("symbols", lambda m: m.n_symbols * 10 > m.n_words, 1.0, 0.0),
+    Rule("exclamations", lambda m: m.exclamations * 5 > m.n_words, 1.0, 0.0),
+    Rule("short_words", lambda m: m.word_chars < m.n_words * 2, 0.2, 2.0),
+    Rule("long_words", lambda m: m.word_chars > m.n_words * 12, 0.2, 2.0),
+    Rule("capitals", lambda m: m.capitals * 2 > m.word_chars, 1.5, 2.0),
+    Rule("line_copies", lambda m: m.n_dup_lines * 2 > m.n_lines, 3.0, 0.0),
 )
 
 
@@ -134,15 +149,22 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     nothing is shuffled, and a row's work grows as n log n of its words.  A
     column of ``docs`` with the name of a measure is replaced.
     """
-    w = free_name(docs, "w_words")
-    t = F.col(text)
-    out = with_repeat_words(with_held(docs, w, words_of(t)), w, "n_repeat_words")
+    n = free_name(docs, "w_lines")
+    return _measured(docs, text, n).drop(n)
+
+
+def _measured(docs: DataFrame, text: str, line_count: str) -> DataFrame:
+    """:func:`with_measures`, and the number of lines with a word in ``line_count``."""
+    w, lines = free_name(docs, "w_words"), free_name(docs, "w_line_array")
+    out = with_held(docs, w, words_of(F.col(text)))
+    out = with_held(with_repeat_words(out, w, "n_repeat_words"), lines, _lines(F.col(text)))
     return out.withColumns({
         "n_words": F.size(w).cast("long"),
         "word_chars": word_chars(F.col(w)),
-        "n_symbols": n_symbols(t),
-        "n_dup_lines": n_dup_lines(t),
-    }).drop(w)
+        "n_symbols": n_symbols(F.col(text)),
+        "n_dup_lines": n_dup_lines(F.col(lines)),
+        line_count: F.size(lines).cast("long"),
+    }).drop(w, lines)
 
 
 def rule_order(docs: DataFrame, rules=DEFAULT_RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS,
@@ -155,21 +177,22 @@ def rule_order(docs: DataFrame, rules=DEFAULT_RULES, text: str = "text", sample_
         return [{"rule": r, "cost": r.per_char + r.per_word, "rejects": 0.0} for r in rules]
     sample = docs.select(F.col(text).alias("t")).sample(fraction=min(1.0, sample_rows / n), seed=seed)
     sample = sample.withColumn("w", words_of(F.col("t")))
+    seen = measures_of(F.col("t"), F.col("w"))
     sums = sample.agg(
         F.count("*"), F.coalesce(F.sum(F.length("t")), F.lit(0)), F.coalesce(F.sum(F.size("w")), F.lit(0)),
-        *[F.coalesce(F.sum(r.rejects(F.col("t"), F.col("w")).cast("int")), F.lit(0)) for r in rules]).first()
+        *[F.coalesce(F.sum(r.rejects(seen).cast("int")), F.lit(0)) for r in rules]).first()
     rows = max(1, sums[0])
     out = [{"rule": r, "cost": max(1.0, r.per_char * sums[1] / rows + r.per_word * sums[2] / rows), "rejects": sums[3 + i] / rows}
            for i, r in enumerate(rules)]
     return sorted(out, key=lambda x: -x["rejects"] / x["cost"])
 
 
-def cascade(words: Column, text: Column, ordered: list[dict]) -> Column:
+def cascade(seen: Measures, ordered: list[dict]) -> Column:
     """Name of the first rule in ``ordered`` that rejects, else null."""
     first, *rest = [x["rule"] for x in ordered]
-    out = F.when(first.rejects(text, words), F.lit(first.name))
+    out = F.when(first.rejects(seen), F.lit(first.name))
     for rule in rest:
-        out = out.when(rule.rejects(text, words), F.lit(rule.name))
+        out = out.when(rule.rejects(seen), F.lit(rule.name))
     return out
 
 
@@ -181,7 +204,7 @@ def judge(docs: DataFrame, rules=DEFAULT_RULES, text: str = "text", sample_rows:
     w = free_name(docs, "w_words")
     ordered = rule_order(docs, rules, text, sample_rows)
     return (with_held(docs, w, words_of(F.col(text)))
-            .withColumn("rejected_by", cascade(F.col(w), F.col(text), ordered)).drop(w))
+            .withColumn("rejected_by", cascade(measures_of(F.col(text), F.col(w)), ordered)).drop(w))
 
 
 def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
@@ -196,11 +219,13 @@ def quality_rules(docs: DataFrame, rules=DEFAULT_RULES, text: str = "text", samp
     The cascade runs only on rows that pass the base check.
     """
     ordered = rule_order(docs, rules, text, sample_rows)
-    out = with_measures(docs, text)
+    n = free_name(docs, "w_lines")
+    out = _measured(docs, text, n)
     out = out.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    w = free_name(out, "w_words")
-    out = with_held(out, w, F.when(~F.col("base_failed"), words_of(F.col(text))))
-    out = out.withColumn("rejected_by", F.when(~F.col("base_failed"), cascade(F.col(w), F.col(text), ordered))).drop(w)
+    # the base measures are there already; the others are worked out inside the cascade
+    seen = replace(measures_of(F.col(text), F.lit(None).cast("array<string>")), n_lines=F.col(n),
+                   **{c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines")})
+    out = out.withColumn("rejected_by", F.when(~F.col("base_failed"), cascade(seen, ordered))).drop(n)
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
 
 
@@ -211,9 +236,11 @@ def passing(docs: DataFrame, rules=DEFAULT_RULES, text: str = "text", sample_row
     left the repeated windows.
     """
     ordered = rule_order(docs, rules, text, sample_rows)
-    w = free_name(docs, "w_words")
-    out = with_held(docs, w, words_of(F.col(text)))
-    out = out.filter((F.size(w) >= 50) & cascade(F.col(w), F.col(text), ordered).isNull())
+    w, chars = free_name(docs, "w_words"), free_name(docs, "w_chars")
+    out = with_held(docs, w, words_of(F.col(text))).filter(F.size(w) >= 50)
+    out = with_held(out, chars, word_chars(F.col(w)))
+    seen = replace(measures_of(F.col(text), F.col(w)), word_chars=F.col(chars))
+    out = out.filter(cascade(seen, ordered).isNull())
     n = free_name(docs, "w_repeat")
     out = with_repeat_words(out, w, n)
     return out.filter(~base_failed(F.size(w), F.col(n))).select(*[F.col(f"`{c}`") for c in docs.columns])
