@@ -123,6 +123,27 @@ def sainte_lague(parties: DataFrame, seats: int, votes: str = "votes", cap: str
     return joined.withColumn("quota", F.col("sure") + F.coalesce("won", F.lit(0))).drop("sure", "most", "k", "won")
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the ``key`` that they are dealt by and their ``copies``.
+
+    A row alone with its id is dealt by the id.  Rows that share an id, or have
+    none, are dealt by their contents as well, so that no id is a hot shard; equal
+    ones become one row that stands for its copies, added up before any shuffle.
+    """
+    alone = rows.withColumns({"key": F.col("id").cast("string"), "copies": F.lit(1).cast("long")})
+    many = written(rows.filter("id is not null").groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
+                   .select(F.col("id").alias("many")), "mix-repeated")
+    nameless = rows.filter("id is null")
+    if many.isEmpty() and nameless.isEmpty():
+        return alone
+    met = rows.filter("id is not null").join(many, F.col("id") == F.col("many"), "left")
+    shared = met.filter("many is not null").drop("many").unionByName(nameless)
+    shared = shared.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+    shared = shared.withColumn("key", F.concat_ws("#", F.col("id").cast("string"), F.col("row_hash").cast("string"), F.col("size").cast("string")))
+    alone = met.filter("many is null").select(*rows.columns, F.col("id").cast("string").alias("key"), F.lit(1).cast("long").alias("copies"))
+    return written(alone.unionByName(shared), "mix-keyed")
+
+
 def mix(docs: DataFrame, source: str = "source", text: str = "text", id_col: str = "doc_id", weights=WEIGHTS,
         share: float = SHARE, max_epochs: int = MAX_EPOCHS, block_tokens: int = BLOCK_TOKENS,
         shard_tokens: int = SHARD_TOKENS, row_hash: Column | None = None) -> DataFrame:
@@ -133,19 +154,21 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", id_col: str
     array of ``(start, n)`` word ranges of one further copy taken in part.  Null
     texts have size 0 and are never taken; a null source is a source of its own;
     an empty table gives an empty result; other columns are not read.  Order
-    inside a shard is by a seeded hash of the id; rows equal in id and size may
-    swap their shares, which changes nothing that is returned.
+    inside a shard is by a seeded hash of the id; rows that share an id, or have
+    none, are dealt and ordered by ``row_hash`` (of the text, if not given) as
+    well, and equal rows lie next to each other.
     """
     rows = written(docs.select(F.col(source).alias("source"), F.col(id_col).alias("id"),
-                               (F.lit(0).cast("long") if row_hash is None else row_hash).alias("row_hash"),
+                               (F.xxhash64(F.col(text)) if row_hash is None else row_hash).alias("row_hash"),
                                n_words_of(F.col(text)).alias("size")), "mix-sizes")
     by_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(with_targets(by_source, weights, share, max_epochs), "mix-targets")
 
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_tokens)).cast("bigint")
-    dealt = rows.join(targets.withColumnRenamed("source", "to"), F.col("source").eqNullSafe(F.col("to"))).drop("to")
-    dealt = dealt.withColumn("shard", _draw(F.lit("shard"), F.col("id")) % shards)
-    sizes = dealt.groupBy("source", "shard", "source_size", "target").agg(F.sum("size").alias("shard_size")).filter("shard_size > 0")
+    dealt = _keyed(rows).join(targets.withColumnRenamed("source", "to"), F.col("source").eqNullSafe(F.col("to"))).drop("to")
+    dealt = dealt.withColumn("shard", _draw(F.lit("shard"), F.col("key")) % shards)
+    held = F.col("size") * F.col("copies")
+    sizes = dealt.groupBy("source", "shard", "source_size", "target").agg(F.sum(held).alias("shard_size")).filter("shard_size > 0")
     sizes = written(sizes.withColumns({
         "votes": F.col("target") * F.col("shard_size") / F.col("source_size"),
         "cap": F.ceil(F.col("shard_size") * max_epochs / block_tokens).cast("bigint"),
@@ -158,9 +181,10 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", id_col: str
         (_draw(F.lit("run"), F.col("source"), F.col("shard")) % F.ceil(F.col("shard_size") / block_tokens) * block_tokens).alias("begin")),
         "mix-quotas")
 
-    stream = Window.partitionBy("source", "shard").orderBy("draw", "id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = dealt.withColumn("draw", _draw(F.lit("order"), F.col("id"))).withColumn("end", F.sum("size").over(stream))
-    placed = placed.withColumn("at", F.col("end") - F.col("size"))
+    stream = Window.partitionBy("source", "shard").orderBy("draw", "id", "size", "row_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = dealt.withColumn("draw", _draw(F.lit("order"), F.col("key"))).withColumn("end", F.sum(held).over(stream))
+    placed = placed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    placed = placed.withColumn("at", F.col("end") - F.col("size") * F.col("copy")).withColumn("end", F.col("at") + F.col("size"))
     out = placed.join(quotas, F.col("source").eqNullSafe(F.col("to")) & (F.col("shard") == F.col("to_shard")), "left")
     none = F.lit(0).cast("bigint")
     length = F.coalesce(F.col("tokens") % F.col("shard_size"), none)

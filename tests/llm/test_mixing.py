@@ -75,6 +75,26 @@ def test_repeated_null_and_empty(spark):
     assert mixing.mix(none).count() == 0 and mixing.mixed(none).count() == 0
 
 
+def test_rows_that_share_an_id_are_dealt_over_the_shards(spark):
+    """A third of all rows without an id, a sixth with one id, and equal rows: no shard is hot, every row comes back."""
+    rows = [(None if i % 3 == 0 else 7 if i % 6 == 1 else i, " ".join(f"w{i}x{j}" for j in range(10 + i % 5)), "s") for i in range(1200)]
+    rows += [(5000, "a b c d", "s")] * 100
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    flat = df.select("source", F.col("doc_id").alias("id"), F.xxhash64("text").alias("row_hash"), F.lit(1).cast("long").alias("size"))
+    keyed = mixing._keyed(flat).withColumn("shard", mixing._draw(F.lit("shard"), F.col("key")) % 20)
+    per_shard = [r["count"] for r in keyed.groupBy("shard").count().collect()]
+    assert len(per_shard) == 20 and max(per_shard) < 3 * 1201 / 20
+    assert keyed.agg(F.sum("copies")).first()[0] == 1300
+    got = mixing.mix(df, shard_tokens=500).collect()
+    assert Counter((r.id, r.size) for r in got) == Counter((i, len(t.split())) for i, t, _ in rows)
+    assert all(0 <= r.taken <= 2 * r.size for r in got)
+    total = sum(r.size for r in got)
+    assert abs(sum(r.taken for r in got) - 1.5 * total) < 0.02 * total
+    again = mixing.mix(df.repartition(7), shard_tokens=500).collect()
+    assert Counter((r.id, r.row_hash, r.taken) for r in again) == Counter((r.id, r.row_hash, r.taken) for r in got)
+    assert sum(len(r.text.split()) for r in mixing.mixed(df, shard_tokens=500).collect()) == sum(r.taken for r in got)
+
+
 def brute_seats(votes, caps, seats):
     own = dict.fromkeys(votes, 0)
     for _ in range(seats):
