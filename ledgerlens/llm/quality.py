@@ -162,19 +162,24 @@ def fit(rows: DataFrame, pooled: float = SHRINK_POOLED, identity: float = SHRINK
     return Discriminant(mean, np.stack(whiten), np.array(log_det), float(np.log(n[1] / n[0])))
 
 
+def trainable(rows: DataFrame, folds: int, fold: int) -> DataFrame:
+    """The ``rows(id, ...)`` that have an id outside the held-out fold."""
+    return rows.filter(F.col("id").isNotNull() & ~held_out(F.col("id"), folds, fold))
+
+
 def labelled(rows: DataFrame, labels: DataFrame, id_col: str, label: str, folds: int, fold: int) -> DataFrame:
     """``rows(id, x)`` outside the held-out fold with their ``label``."""
-    trained = F.col("id").isNotNull() & ~held_out(F.col("id"), folds, fold)
-    return rows.filter(trained).join(one_label(labels, id_col, label), "id")
+    return trainable(rows, folds, fold).join(one_label(labels, id_col, label), "id")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
           folds: int = FOLDS, fold: int = 0) -> Discriminant | Constant:
     """Fit on the labelled rows of ``docs`` whose id is not in the held-out fold.
 
-    Only their statistics are shuffled, never a text.
+    Only their statistics are shuffled, never a text; held-out texts are not read
+    into statistics at all.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    rows = trainable(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), folds, fold)
     return fit(labelled(with_statistics(rows), labels, id_col, label, folds, fold))
 
 
