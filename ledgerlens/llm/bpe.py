@@ -14,7 +14,7 @@ import re
 import unicodedata
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from . import lexicon
 from .common import utf8_values, with_value, write_shared, written
@@ -33,6 +33,8 @@ LONGEST = 40
 CACHE_WORDS = 300_000
 CHUNK = 1 << 20
 GATHER = 200_000
+#: Bytes of texts, about, that are coded at a time where ids need not leave the task.
+SLICE = 4 << 20
 SIDE_BY_SIDE, ROUND_WORDS = 40, 4096
 _NO_RANK = 1 << 40
 #: Fixed pattern of the vocabulary's pre-tokenisation (after lower-casing); no
@@ -416,3 +418,41 @@ def decode(coded: DataFrame, lexicon_file: str, ids: str = "ids", out: str = "de
 
     schema = coded.select(*names).schema.add(out, StringType())
     return coded.select(*names).mapInArrow(run, schema)
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold SLICE bytes, or a single longer text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0)
+    begin, held = 0, 0
+    for i, size in enumerate(sizes.to_pylist()):
+        if held and held + size > SLICE:
+            yield begin, i
+            begin, held = i, 0
+        held += size
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
+def with_coded(docs: DataFrame, lexicon_file: str, values: Callable[[pa.ListArray, pa.Array], list[pa.Array]],
+               fields: list[StructField], text: str = "text") -> DataFrame:
+    """``docs`` without ``text`` and with the columns ``fields`` = ``values(ids, decoded texts)``.
+
+    :func:`encode` and :func:`decode` in one pass: a task needs one Python worker, and
+    ids and texts stay in it, a slice of a batch at a time, unless ``values`` hands
+    them on.  ``fields`` replace columns of their names; nulls and long texts as in :func:`encode`.
+    """
+    made = {f.name for f in fields}
+    keep = [f for f in docs.schema.fields if f.name != text and f.name not in made]
+    names = [f.name for f in keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(lexicon_file)
+        for batch in batches:
+            for a, b in _slices(batch.column(text)):
+                part = batch.slice(a, b - a)
+                ids = coder.encode_batch(utf8_values(part.column(text)))
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *values(ids, coder.decode_batch(ids))],
+                                                 [*names, *(f.name for f in fields)])
+
+    picked = docs.select(*[F.col(f"`{c}`") for c in [*names, text]])
+    return picked.mapInArrow(run, StructType([*keep, *fields]))

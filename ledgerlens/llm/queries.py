@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField
 
 from ..session import shared_dir
 from . import (bpe, conversation, embedding, fingerprint, htmltext, mixing, quality, rules, search, simhash, toxicity, urlfilter,
                warc)
-from .common import prepare
+from .common import prepare, utf8_values
 
 #: Fixed rules of the URL query.
 URL_RULES = [urlfilter.UrlRule("com/", "allow"), urlfilter.UrlRule("example.com/en/", "block"),
@@ -89,18 +90,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def digests(docs: DataFrame, lexicon_file: str) -> DataFrame:
     """Token counts and digests of the ids and of the text decoded from them."""
-    coded = bpe.decode(bpe.encode(docs, lexicon_file, drop_text=True), lexicon_file)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(1)
-            flat, ends = np.asarray(ids.flatten(), "<u4"), np.concatenate([[0], np.cumsum(np.asarray(ids.value_lengths()))])
-            made = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids.value_lengths().cast(pa.int64()), pa.array(made, pa.string()), batch.column(2)],
-                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    hashed = coded.select("doc_id", "ids", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
-    return hashed.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def values(ids: pa.ListArray, decoded: pa.Array) -> list[pa.Array]:
+        sizes = ids.value_lengths()
+        flat, ends = np.asarray(ids.flatten(), "<u4"), np.concatenate([[0], np.cumsum(np.asarray(sizes))])
+        made = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(ends[:-1], ends[1:])]
+        again = [hashlib.sha256(t).hexdigest() for t in utf8_values(decoded)]
+        return [sizes.cast(pa.int64()), pa.array(made, pa.string()), pa.array(again, pa.string())]
+
+    return bpe.with_coded(docs.select("doc_id", "text"), lexicon_file, values,
+                          [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
 
 
 def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,10 +75,23 @@ def test_query_on_odd_rows(spark, library):
                      hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
     assert sorted(tuple(r) for r in got) == sorted(want)
     assert bpe.encode(docs, name).count() == len(rows)
+    apart = bpe.decode(bpe.encode(docs, name, out="ids"), name)
+    assert sorted((r.doc_id, len(r.ids), r.decoded) for r in apart.collect()) == sorted(
+        (i, n, library.decode(library.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False))
+        for (i, t, _), (_, n, *_) in zip(rows, want))
     none = spark.createDataFrame([], docs.schema)
     assert queries.digests(none.select("doc_id", "text"), bpe.lexicon_of(none, PATH)).count() == 0
 
 
+def test_slices_change_nothing(spark, monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(bpe, "SLICE", 10)
+    texts = pa.array(["", None, "abc", "abcdefgh", "x" * 25, "a", None])
+    assert list(bpe._slices(texts)) == [(0, 3), (3, 4), (4, 5), (5, 7)]
+    assert list(bpe._slices(texts.slice(0, 0))) == []
+    assert list(bpe._slices(pa.array(["", None]))) == [(0, 2)]
+
+
 def test_word_counts_cover_all_texts(spark):
     docs = spark.createDataFrame([(i, "the cat the") for i in range(50)], "doc_id long, text string")
     assert {r.word: r.n for r in bpe.frequent_words(docs).collect()} == {"the": 100, "cat": 50}
