@@ -94,6 +94,22 @@ def test_rounds_beyond_the_cut_and_odd_labels(spark, monkeypatch):
         boosting.SecondOrderBoosting(rounds=1).fit(df.limit(0))
 
 
+def test_rounds_go_over_groups_of_equal_bins_and_label(spark, monkeypatch):
+    rows = made(9, 600)
+    df = frame(spark, rows)
+    tables, table = [], boosting.SecondOrderBoosting._table
+    monkeypatch.setattr(boosting.SecondOrderBoosting, "_table", staticmethod(lambda d: tables.append(table(d)) or tables[-1]))
+    monkeypatch.setattr(boosting, "CUT_ROUNDS", 1)
+    model = boosting.SecondOrderBoosting(rounds=2, maxDepth=2, stepSize=0.3).fit(df.unionByName(df).unionByName(df))
+    groups = len({(*(0.0 if v != v else v for v in r[1:4]), r[4]) for r in rows})     # zeros and NaN are missing values
+    assert groups < 600 and [t.count() for t in tables] == [groups, groups]
+    assert [t.agg({"n": "sum"}).first()[0] for t in tables] == [1800, 1800]
+    thrice = [r for r in rows for _ in range(3)]
+    want = plain(np.array([r[1:4] for r in thrice]), np.array([r[4] for r in thrice]), 2, 2)
+    got = probabilities(model, df)
+    assert np.allclose([got[r[0]] for r in thrice], 1 / (1 + np.exp(-want)), atol=1e-6)
+
+
 def test_many_values_are_cut_at_quantiles(spark):
     df = spark.range(3000).selectExpr("id AS txn_id", "cast(id AS double) AS a", "0.0D AS b", "cast(id > 2000 AS double) AS isFraud")
     df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
